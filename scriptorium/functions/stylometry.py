@@ -9,13 +9,14 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions.profiles import ARABIC, UNICODE_BLANKS, TextProfile
 from scriptorium.functions.text import _col, _text, char_count, preprocess_text, word_count
+from scriptorium.plans.bounds import with_once
 
 COUNT_COLUMNS = ("f_diacritics", "f_colons", "f_particles", "f_first_person")
 
 
 def count_diacritics(text: Column | str, profile: TextProfile = ARABIC) -> Column:
     """Number of vowel marks, including the rarer ones that cleaning keeps."""
-    return F.coalesce(F.regexp_count(_col(text), F.lit(f"[{profile.counted_marks}]")), F.lit(0))
+    return F.size(F.split(_text(text), f"[{profile.counted_marks}]")) - 1
 
 
 def count_colons(text: Column | str, profile: TextProfile = ARABIC) -> Column:
@@ -67,7 +68,7 @@ def count_first_person(text: Column | str, profile: TextProfile = ARABIC) -> Col
 
 def with_clean_text(df: DataFrame, text: str = "text", profile: TextProfile = ARABIC) -> DataFrame:
     """Add ``text_clean``, ``char_count`` and ``word_count``."""
-    return df.withColumn("text_clean", preprocess_text(text, profile)).withColumns(
+    return with_once(df, "text_clean", preprocess_text(text, profile)).withColumns(
         {"char_count": char_count("text_clean"), "word_count": word_count("text_clean")}
     )
 

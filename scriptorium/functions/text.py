@@ -32,10 +32,13 @@ def fold_letters(text: Column | str, profile: TextProfile = ARABIC) -> Column:
     return F.translate(_text(text), "".join(sources) + profile.elongation, "".join(targets))
 
 
+def _outside_script(profile: TextProfile) -> str:
+    return f"[^{profile.range_first}-{profile.range_last}]+"
+
+
 def keep_script_range(text: Column | str, profile: TextProfile = ARABIC) -> Column:
     """Everything outside the script becomes one space between words; the ends are trimmed."""
-    outside = f"[^{profile.range_first}-{profile.range_last}]+"
-    return F.trim(F.regexp_replace(_text(text), outside, " "))
+    return F.trim(F.regexp_replace(_text(text), _outside_script(profile), " "))
 
 
 def remove_stopwords(text: Column | str, profile: TextProfile = ARABIC) -> Column:
@@ -44,22 +47,18 @@ def remove_stopwords(text: Column | str, profile: TextProfile = ARABIC) -> Colum
     return F.array_join(F.filter(words, lambda w: (w != "") & ~w.isin(*profile.stopwords)), " ")
 
 
-def _normalised(text: Column | str, profile: TextProfile) -> Column:
-    """Marks, stretching and folding in a single translate, then the script range."""
-    sources, targets = zip(*profile.folds)
-    dropped = profile.stripped_marks + profile.elongation
-    folded = F.translate(_text(text), "".join(sources) + dropped, "".join(targets))
-    return keep_script_range(folded, profile)
-
-
 def preprocess_text(text: Column | str, profile: TextProfile = ARABIC) -> Column:
     """The full cleaning chain: marks, folding, script range, stopwords.
 
-    Words are single-spaced after the script range step, so a plain split is enough here.
-    The stopword list is matched as written against folded text.
+    One translate covers the marks, the stretching character and the folding. No blank lies inside the
+    script range, so splitting at everything outside of it yields the words. The stopword list is
+    matched as written against folded text.
     """
-    words = F.split(_normalised(text, profile), " ")
-    return F.array_join(F.filter(words, lambda w: ~w.isin(*profile.stopwords)), " ")
+    sources, targets = zip(*profile.folds)
+    dropped = profile.stripped_marks + profile.elongation
+    folded = F.translate(_text(text), "".join(sources) + dropped, "".join(targets))
+    words = F.split(folded, _outside_script(profile))
+    return F.array_join(F.filter(words, lambda w: (w != "") & ~w.isin(*profile.stopwords)), " ")
 
 
 def char_count(clean: Column | str) -> Column:

@@ -1,14 +1,33 @@
-"""Joins on words: broadcast while the word table is proven small, salted shuffle beyond."""
+"""Plan shapes that depend on size: what is computed once, spread out, broadcast or salted."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 256 * 1024 * 1024
 WORD_BYTES = 64
 
 
+def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """Add a costly column that is computed once per row.
+
+    A filter on a projected column is pushed below the projection together with a copy of the
+    expression, and every later use may copy it again. Generated columns are left where they are.
+    """
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def spread_small_input(df: DataFrame) -> DataFrame:
+    """Redistribute a scan with fewer partitions than the cluster has cores; others stay as they are.
+
+    Meant for a few files that cannot be split further. A large table has more splits than cores and
+    is not shuffled.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def fits_in_memory(table: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> bool:
     """Whether `table`, at `row_bytes` per row, stays below `max_bytes`. Counts no further than that."""
     most = max_bytes // row_bytes

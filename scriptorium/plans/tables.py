@@ -23,6 +23,7 @@ from scriptorium.operators.reshape import (
     drop_null_short_text,
     min_clean_length_filter,
 )
+from scriptorium.plans.bounds import spread_small_input, with_once
 
 # Our own mapping of the test texts to Arabic script: common words first, then single letters.
 WORD_MAP = (
@@ -56,7 +57,8 @@ def to_arabic(text: Column | str) -> Column:
 
 def arabic_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(doc_id, text) in Arabic script."""
-    return table(spark, sf_dir, "documents").select("doc_id", to_arabic("text").alias("text"))
+    docs = spread_small_input(table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("given")))
+    return with_once(docs, "text", to_arabic("given")).drop("given")
 
 
 def _pick(position: Column, values: tuple[str, ...]) -> Column:
