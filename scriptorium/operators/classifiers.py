@@ -84,10 +84,9 @@ def quality(scored: DataFrame, positive_only: bool = False) -> Quality:
     """Accuracy, F1 (weighted, or of class 1 alone) and exact ROC area of scored rows."""
     judged = with_positive_score(scored).select("label", "prediction", "score").persist()
     try:
-        f1 = metrics.positive_f1 if positive_only else metrics.weighted_f1
-        return Quality(
-            metrics.accuracy(judged).first()[0], f1(judged).first()[0], metrics.roc_auc(judged).first()[0]
-        )
+        found = metrics.prediction_quality(judged).first()
+        f1 = found["positive_f1"] if positive_only else found["weighted_f1"]
+        return Quality(found["accuracy"], f1, metrics.roc_auc(judged).first()[0])
     finally:
         judged.unpersist()
 

@@ -33,11 +33,14 @@ def accuracy(df: DataFrame) -> DataFrame:
     return df.agg(F.avg((F.col("label") == F.col("prediction")).cast("int")).alias("accuracy"))
 
 
+def _weighted_f1() -> Column:
+    tn, fp, fn, tp, total = (F.col(c) for c in ("tn", "fp", "fn", "tp", "total"))
+    return _ratio(_f1(tp, fp, fn) * (tp + fn) + _f1(tn, fn, fp) * (tn + fp), total)
+
+
 def weighted_f1(df: DataFrame) -> DataFrame:
     """F1 of both classes, weighted by their number of rows."""
-    tn, fp, fn, tp, total = (F.col(c) for c in ("tn", "fp", "fn", "tp", "total"))
-    mixed = _f1(tp, fp, fn) * (tp + fn) + _f1(tn, fn, fp) * (tn + fp)
-    return _cells(df).select(_ratio(mixed, total).alias("weighted_f1"))
+    return _cells(df).select(_weighted_f1().alias("weighted_f1"))
 
 
 def positive_f1(df: DataFrame) -> DataFrame:
@@ -45,6 +48,16 @@ def positive_f1(df: DataFrame) -> DataFrame:
     return _cells(df).select(_f1(F.col("tp"), F.col("fp"), F.col("fn")).alias("positive_f1"))
 
 
+def prediction_quality(df: DataFrame) -> DataFrame:
+    """Accuracy and both kinds of F1 in one pass."""
+    tn, fp, fn, tp = (F.col(c) for c in ("tn", "fp", "fn", "tp"))
+    return _cells(df).select(
+        _ratio(tp + tn, F.col("total")).alias("accuracy"),
+        _weighted_f1().alias("weighted_f1"),
+        _f1(tp, fp, fn).alias("positive_f1"),
+    )
+
+
 def confusion_matrix(df: DataFrame) -> DataFrame:
     """Rows are labels, columns are predictions."""
     return (

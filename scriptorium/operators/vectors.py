@@ -23,6 +23,7 @@ from scriptorium.functions.text import ml_tokenize
 from scriptorium.operators.reshape import nonempty_clean_filter
 from scriptorium.operators.similarity import document_similarity_variance
 from scriptorium.plans.bounds import WORD_BYTES, join_words
+from scriptorium.session import through_table
 
 # The sizes and column order of the feature vector.
 STYLE_COLUMNS = (
@@ -88,7 +89,9 @@ def mean_word_vector(docs: DataFrame, key: str, tokens: str, vectors: DataFrame,
     return summed.select(key, "n_tokens", mean.alias("mean_vector"))
 
 
-def hashing_tf(docs: DataFrame, tokens: str, output: str = "raw_features", features: int = HASH_FEATURES) -> DataFrame:
+def hashing_tf(
+    docs: DataFrame, tokens: str, output: str = "raw_features", features: int = HASH_FEATURES
+) -> DataFrame:
     return HashingTF(inputCol=tokens, outputCol=output, numFeatures=features).transform(docs)
 
 
@@ -125,7 +128,9 @@ def tfidf_fit(docs: DataFrame, text: str = "text_clean") -> PipelineModel:
     ).fit(docs)
 
 
-def assembler(columns: Sequence[str] = (*STYLE_COLUMNS, "w2v_features"), output: str = "features_raw") -> VectorAssembler:
+def assembler(
+    columns: Sequence[str] = (*STYLE_COLUMNS, "w2v_features"), output: str = "features_raw"
+) -> VectorAssembler:
     """Scalars and vectors side by side; a NULL input raises."""
     return VectorAssembler(inputCols=list(columns), outputCol=output)
 
@@ -154,12 +159,15 @@ def embedding_features(
     return df.withColumn(output, F.when(usable, F.col(embedding)).otherwise(zero))
 
 
-def full_feature_table(styled: DataFrame, key: str, partitions: int | None = None) -> tuple[DataFrame, PipelineModel, Word2VecModel]:
+def full_feature_table(
+    styled: DataFrame, key: str, partitions: int | None = None
+) -> tuple[DataFrame, PipelineModel, Word2VecModel]:
     """Style columns to the full feature table, with the fitted term and word-vector models.
 
-    Word vectors are fitted once and serve both the document vectors and the variance feature.
+    Word vectors are fitted once and serve both the document vectors and the variance feature. The
+    cleaned rows are stored first, as every fit reads them again.
     """
-    docs = nonempty_clean_filter(styled)
+    docs = through_table(nonempty_clean_filter(styled), "styled")
     tfidf = tfidf_fit(docs)
     weighted = tfidf.transform(docs).withColumn("tokens_w2v", ml_tokenize("text_clean"))
     word_model = word2vec_fit(weighted, "tokens_w2v", partitions=partitions)
