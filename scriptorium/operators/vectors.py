@@ -76,9 +76,13 @@ def word_counts_per_document(docs: DataFrame, key: str, tokens: str) -> DataFram
 
 
 def mean_word_vector(docs: DataFrame, key: str, tokens: str, vectors: DataFrame, dims: int) -> DataFrame:
-    """(key, n_tokens, mean_vector): vectors of known tokens summed, divided by the count of all tokens."""
+    """(key, n_tokens, mean_vector): vectors of known tokens summed, divided by the count of all tokens.
+
+    Partitioning by the key once serves both aggregations: the word counts and, as long as the word
+    table is broadcast, the sums. No vector is shuffled then.
+    """
     zero = array_to_vector(F.array_repeat(F.lit(0.0), dims))
-    counted = word_counts_per_document(docs, key, tokens)
+    counted = word_counts_per_document(docs.select(key, tokens).repartition(key), key, tokens)
     joined = join_words(counted, vectors.select("word", "vector"), 8 * dims + WORD_BYTES, how="left")
     vector = F.coalesce("vector", zero)
     summed = joined.groupBy(key).agg(
@@ -112,7 +116,7 @@ def term_idf(counts: DataFrame, documents: Column, min_doc_freq: int = MIN_DOC_F
 def tfidf_terms(docs: DataFrame, key: str, tokens: str, min_doc_freq: int = MIN_DOC_FREQ) -> DataFrame:
     """(key, word, tf, idf, tfidf): term weights without hashing."""
     counts = word_counts_per_document(docs, key, tokens).filter(F.col("word").isNotNull())
-    idf = term_idf(counts, F.lit(docs.count()), min_doc_freq).select("word", "idf")
+    idf = through_table(term_idf(counts, F.lit(docs.count()), min_doc_freq).select("word", "idf"), "idf")
     weighted = join_words(counts, idf, 8 + WORD_BYTES)
     return weighted.select(key, "word", F.col("n").alias("tf"), "idf", (F.col("n") * F.col("idf")).alias("tfidf"))
 

@@ -28,8 +28,17 @@ def built_once(spark, sf_dir: str, name: str, build: Callable[[], Any]) -> Any:
     return _BUILT[key]
 
 
+def stored_corpus(spark, sf_dir):
+    """(doc_id, text_clean) of the cleaned corpus as a table, since fitting reads it several times."""
+
+    def build():
+        return through_table(t.clean_corpus(spark, sf_dir).select("doc_id", "text_clean"), "clean-corpus")
+
+    return built_once(spark, sf_dir, "clean corpus", build)
+
+
 def tokenized_corpus(spark, sf_dir):
-    return t.clean_corpus(spark, sf_dir).select("doc_id", ml_tokenize("text_clean").alias("tokens"))
+    return stored_corpus(spark, sf_dir).select("doc_id", ml_tokenize("text_clean").alias("tokens"))
 
 
 def corpus_word_model(spark, sf_dir):
@@ -102,8 +111,8 @@ _DOC_VECTORS = (
 
 def document_vectors(spark, sf_dir):
     """(doc_id, n_tokens, mean_vector) over the word vectors derived from the embeddings table."""
-    tokens = tokenized_corpus(spark, sf_dir)
-    return vectors.mean_word_vector(tokens, "doc_id", "tokens", t.word_vectors(spark, sf_dir), t.VECTOR_DIMS)
+    words = through_table(t.word_vectors(spark, sf_dir, stored_corpus(spark, sf_dir)), "word-vectors")
+    return vectors.mean_word_vector(tokenized_corpus(spark, sf_dir), "doc_id", "tokens", words, t.VECTOR_DIMS)
 
 
 @query(
@@ -172,7 +181,7 @@ def tfidf_terms(spark, sf_dir):
 @query("tfidf_fit")
 def tfidf_fit(spark, sf_dir):
     """Tokenizer, hashing and IDF fitted together; per document the size and total of its weights."""
-    docs = t.clean_corpus(spark, sf_dir).select("doc_id", "text_clean")
+    docs = stored_corpus(spark, sf_dir)
     weights = vector_to_array("tfidf_features")
     return (
         vectors.tfidf_fit(docs)

@@ -64,7 +64,7 @@ def avg_length_per_column(spark, sf_dir):
     ),
 )
 def class_balance(spark, sf_dir):
-    return _rounded(stats.class_balance(t.long_corpus(spark, sf_dir)), "percent")
+    return _rounded(stats.class_balance(t.corpus_tags(spark, sf_dir)), "percent")
 
 
 def _count_query(name: str, column: str, relation: str, cte: str, source):
@@ -76,8 +76,8 @@ def _count_query(name: str, column: str, relation: str, cte: str, source):
 
 
 _count_query("rows_per_method", "generation_method", "wide", o.WIDE, t.wide_corpus)
-_count_query("label_distribution", "label", "long", o.LONG, t.long_corpus)
-_count_query("source_distribution", "source", "long", o.LONG, t.long_corpus)
+_count_query("label_distribution", "label", "long", o.LONG, t.corpus_tags)
+_count_query("source_distribution", "source", "long", o.LONG, t.corpus_tags)
 
 
 @query(
@@ -260,7 +260,7 @@ _SPLIT = f"CASE WHEN {_BUCKET} < 70 THEN 'train' WHEN {_BUCKET} < 85 THEN 'valid
 
 @query("stratified_split", o.with_ctes(f"SELECT doc_id, label, {_SPLIT} AS split FROM long", o.LONG))
 def stratified_split(spark, sf_dir):
-    return sampling.stratified_split(t.long_corpus(spark, sf_dir).select("doc_id", "label"), "doc_id")
+    return sampling.stratified_split(t.corpus_tags(spark, sf_dir).select("doc_id", "label"), "doc_id")
 
 
 @query(
@@ -272,24 +272,24 @@ def stratified_split(spark, sf_dir):
     ),
 )
 def split_class_counts(spark, sf_dir):
-    return stats.split_class_counts(sampling.stratified_split(t.long_corpus(spark, sf_dir), "doc_id"))
+    return stats.split_class_counts(sampling.stratified_split(t.corpus_tags(spark, sf_dir), "doc_id"))
 
 
 @query("random_stratified_split")
 def random_stratified_split(spark, sf_dir):
-    parts = sampling.random_stratified_split(t.long_corpus(spark, sf_dir).select("doc_id", "label"), "label")
+    parts = sampling.random_stratified_split(t.corpus_tags(spark, sf_dir).select("doc_id", "label"), "label")
     named = [part.withColumn("split", F.lit(n)) for part, n in zip(parts, ("train", "validation", "test"))]
     return named[0].union(named[1]).union(named[2])
 
 
 @query("fraction_sample", o.with_ctes(f"SELECT doc_id, label FROM long WHERE {_BUCKET} < 25", o.LONG))
 def fraction_sample(spark, sf_dir):
-    return sampling.fraction_sample_by_key(t.long_corpus(spark, sf_dir).select("doc_id", "label"), "doc_id", 25)
+    return sampling.fraction_sample_by_key(t.corpus_tags(spark, sf_dir).select("doc_id", "label"), "doc_id", 25)
 
 
 @query("bernoulli_sample")
 def bernoulli_sample(spark, sf_dir):
-    return sampling.fraction_sample(t.long_corpus(spark, sf_dir).select("doc_id", "label"), 0.25)
+    return sampling.fraction_sample(t.corpus_tags(spark, sf_dir).select("doc_id", "label"), 0.25)
 
 
 SAMPLE_SIZES = {0: 400, 1: 1600}
@@ -300,7 +300,7 @@ _SAMPLE = (
 
 
 def fixed_sample(spark, sf_dir):
-    docs = t.long_corpus(spark, sf_dir).select("doc_id", "label")
+    docs = t.corpus_tags(spark, sf_dir).select("doc_id", "label")
     return sampling.stratified_fixed_sample(docs, "label", "doc_id", SAMPLE_SIZES)
 
 
@@ -327,7 +327,7 @@ def sample_label_counts(spark, sf_dir):
     ),
 )
 def stratified_holdout(spark, sf_dir):
-    docs = t.long_corpus(spark, sf_dir).select("doc_id", "label")
+    docs = t.corpus_tags(spark, sf_dir).select("doc_id", "label")
     return sampling.stratified_holdout(docs, "label", "doc_id").select("doc_id", "label", "split")
 
 

@@ -69,18 +69,26 @@ def _row_of(doc_id: str = "doc_id") -> Column:
     return F.floor(F.col(doc_id) / 5)
 
 
-def long_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, text, label, source, generation_method): five texts per corpus row, the first human."""
+def _with_tags(docs: DataFrame) -> DataFrame:
     place = F.col("doc_id") % 5
-    return arabic_documents(spark, sf_dir).select(
-        "doc_id",
-        "text",
+    return docs.select(
+        "*",
         F.when(place == 0, 0).otherwise(1).alias("label"),
         _pick(place, SOURCES).alias("source"),
         _pick(_row_of() % 3, GENERATION_METHODS).alias("generation_method"),
     )
 
 
+def long_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text, label, source, generation_method): five texts per corpus row, the first human."""
+    return _with_tags(arabic_documents(spark, sf_dir))
+
+
+def corpus_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """`long_corpus` without the text, which is then neither read nor mapped."""
+    return _with_tags(table(spark, sf_dir, "documents").select("doc_id"))
+
+
 def wide_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(row_id, five text columns, generation_method): the same texts, one corpus row each."""
     place = F.col("doc_id") % 5
@@ -124,9 +132,9 @@ def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs.join(labels, "doc_id").withColumn("prediction", F.when(F.col("score") >= 48, 1.0).otherwise(0.0))
 
 
-def word_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+def word_vectors(spark: SparkSession, sf_dir: str, clean: DataFrame) -> DataFrame:
     """(word, vector): each corpus word with the embedding its hash points to, if there is one."""
-    words = clean_corpus(spark, sf_dir).select(F.explode(clean_words("text_clean")).alias("word")).distinct()
+    words = clean.select(F.explode(clean_words("text_clean")).alias("word")).distinct()
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return (
         words.withColumn("vec_id", hash_bucket("word", VECTOR_WORD_BUCKETS))

@@ -73,7 +73,7 @@ def nonempty_clean_filter(spark, sf_dir):
 
 @query("source_filter", o.with_ctes("SELECT doc_id, source, label FROM long WHERE source <> 'human'", o.LONG))
 def source_filter(spark, sf_dir):
-    docs = t.long_corpus(spark, sf_dir).select("doc_id", "source", "label")
+    docs = t.corpus_tags(spark, sf_dir).select("doc_id", "source", "label")
     return reshape.source_filter(docs, "source", "human", equal=False)
 
 
