@@ -86,27 +86,32 @@ def words_of(df: DataFrame, text: str = "text_clean", keep: Sequence[str] = ())
     return df.select(*keep, F.explode(clean_words(text)).alias("word"))
 
 
-def vocabulary_richness(df: DataFrame) -> DataFrame:
-    """Per source: words, distinct words and their ratio.
+def vocabulary_stats(df: DataFrame) -> DataFrame:
+    """Per source: words, distinct words, their ratio, and mean words per document, in one pass.
 
-    Spark first aggregates by (source, word), so a source that holds most words is spread by word.
-    Sources whose texts have no word at all report zeros.
+    Spark first aggregates by (source, word), so a source that holds most words is spread by word. The
+    document's own word count rides along with its first word. A text without words counts as a document.
     """
-    words = df.select("source", F.explode_outer(clean_words("text_clean")).alias("word"))
-    return (
-        words.groupBy("source")
-        .agg(F.count("word").alias("total_words"), F.countDistinct("word").alias("unique_words"))
-        .withColumn(
-            "ttr",
-            F.when(F.col("total_words") > 0, F.col("unique_words") / F.col("total_words")).otherwise(F.lit(0.0)),
-        )
+    first = F.coalesce(F.col("pos"), F.lit(0)) == 0
+    total, unique = F.col("total_words"), F.col("unique_words")
+    words = df.select("source", "word_count", F.posexplode_outer(clean_words("text_clean")).alias("pos", "word"))
+    counted = words.groupBy("source").agg(
+        F.count("word").alias("total_words"),
+        F.countDistinct("word").alias("unique_words"),
+        F.avg(F.when(first, F.col("word_count"))).alias("avg_words_per_abstract"),
+    )
+    return counted.select(
+        "source",
+        "total_words",
+        "unique_words",
+        F.when(total > 0, unique / total).otherwise(F.lit(0.0)).alias("ttr"),
+        "avg_words_per_abstract",
     )
 
 
-def vocabulary_stats(df: DataFrame) -> DataFrame:
-    """`vocabulary_richness` with the mean words per document."""
-    means = df.groupBy("source").agg(F.avg("word_count").alias("avg_words_per_abstract"))
-    return vocabulary_richness(df).join(means, "source")
+def vocabulary_richness(df: DataFrame) -> DataFrame:
+    """Per source: words, distinct words and their ratio; zeros where no text has a word."""
+    return vocabulary_stats(df).drop("avg_words_per_abstract")
 
 
 def word_frequency(df: DataFrame, text: str = "text_clean") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.plans.prefix import with_running_totals
+from scriptorium.session import through_table
 
 
 def _cells(df: DataFrame) -> DataFrame:
@@ -76,18 +77,22 @@ def class_recall(df: DataFrame) -> DataFrame:
 
 
 def _by_score(df: DataFrame, score: str) -> DataFrame:
-    """Positives and negatives per distinct score, with running totals from the highest score down."""
+    """Positives and negatives per distinct score, with running totals from the highest score down.
+
+    The grouped scores are stored: they are read three times, their input only once.
+    """
     per_score = df.groupBy(F.col(score).cast("double").alias("score")).agg(
         F.sum(F.col("label").cast("bigint")).alias("pos"),
         F.sum((1 - F.col("label")).cast("bigint")).alias("neg"),
     )
-    return with_running_totals(per_score, "score", {"tp": "pos", "fp": "neg"}, descending=True)
+    return with_running_totals(through_table(per_score, "scores"), "score", {"tp": "pos", "fp": "neg"}, descending=True)
 
 
 def roc_points(df: DataFrame, score: str = "score") -> DataFrame:
     """(threshold, fpr, tpr) for every distinct score, highest first; ties share one point."""
-    totals = df.agg(F.sum(F.col("label")).alias("p"), F.sum(1 - F.col("label")).alias("n")).first()
-    return _by_score(df, score).select(
+    points = _by_score(df, score)
+    totals = points.agg(F.sum("pos").alias("p"), F.sum("neg").alias("n")).first()
+    return points.select(
         F.col("score").alias("threshold"),
         _ratio(F.col("fp"), F.lit(totals["n"] or 0)).alias("fpr"),
         _ratio(F.col("tp"), F.lit(totals["p"] or 0)).alias("tpr"),

@@ -84,10 +84,9 @@ def mean_word_vector(docs: DataFrame, key: str, tokens: str, vectors: DataFrame,
     zero = array_to_vector(F.array_repeat(F.lit(0.0), dims))
     counted = word_counts_per_document(docs.select(key, tokens).repartition(key), key, tokens)
     joined = join_words(counted, vectors.select("word", "vector"), 8 * dims + WORD_BYTES, how="left")
-    vector = F.coalesce("vector", zero)
+    vector, weight = F.coalesce("vector", zero), F.greatest(F.col("n"), F.lit(1)).cast("double")
     summed = joined.groupBy(key).agg(
-        F.sum("n").alias("n_tokens"),
-        vector_to_array(Summarizer.sum(vector, F.col("n").cast("double"))).alias("total"),
+        F.sum("n").alias("n_tokens"), vector_to_array(Summarizer.sum(vector, weight)).alias("total")
     )
     mean = F.transform("total", lambda x: F.when(F.col("n_tokens") > 0, x / F.col("n_tokens")).otherwise(0.0))
     return summed.select(key, "n_tokens", mean.alias("mean_vector"))
@@ -155,12 +154,12 @@ def standard_scale(df: DataFrame, columns: Sequence[str], prefix: str = "scaled_
 
 
 def embedding_features(
-    df: DataFrame, embedding: str, text: str, dims: int, output: str = "embedding", shortest: int = 5
+    df: DataFrame, embedding: str, text: str, dims: int, output: str | None = None, shortest: int = 5
 ) -> DataFrame:
     """Precomputed vectors as features; a missing or very short text gets the zero vector."""
     zero = F.array_repeat(F.lit(0.0).cast("float"), dims)
     usable = F.coalesce(F.length(text) >= shortest, F.lit(False)) & F.col(embedding).isNotNull()
-    return df.withColumn(output, F.when(usable, F.col(embedding)).otherwise(zero))
+    return df.withColumn(output or embedding, F.when(usable, F.col(embedding)).otherwise(zero))
 
 
 def full_feature_table(

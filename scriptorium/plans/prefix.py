@@ -24,8 +24,11 @@ def with_running_totals(
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     inner = [i / buckets for i in range(1, buckets)]
     cuts = df.approxQuantile(order, inner, 1 / (4 * buckets)) if inner else []
-    splits = [-math.inf, *sorted(set(cuts)), math.inf]
-    ranged = Bucketizer(splits=splits, inputCol=order, outputCol=_BUCKET).transform(df)
+    if cuts:
+        splits = [-math.inf, *sorted(set(cuts)), math.inf]
+        ranged = Bucketizer(splits=splits, inputCol=order, outputCol=_BUCKET).transform(df)
+    else:
+        ranged = df.withColumn(_BUCKET, F.lit(0.0))
 
     along = F.col(_BUCKET).desc() if descending else F.col(_BUCKET).asc()
     before = Window.orderBy(along).rowsBetween(Window.unboundedPreceding, -1)
