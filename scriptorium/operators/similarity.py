@@ -11,14 +11,12 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.plans.bounds import BROADCAST_BYTES, WORD_BYTES, fits_in_memory, join_words
 
-_MERGE_WAYS = 32
 _HELD_DOUBLES = 4 * 1024 * 1024
 
 
@@ -64,55 +62,96 @@ def _row_variance(unit: np.ndarray, counts: np.ndarray) -> float:
     return max(second - first * first, 0.0)
 
 
+def _finish(dims: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
+    """Rows (key, n, vector, moments) sorted by key to (key, variance), one accumulator at a time.
+
+    A row holds either a vector with its multiplicity or the moments of many vectors.
+    """
+
+    def added(batch: pd.DataFrame) -> np.ndarray:
+        parts = [m for m in batch["moments"] if m is not None]
+        vectors = batch[batch["vector"].notna()]
+        if len(vectors):
+            parts.append(_moments(_unit(np.stack(vectors["vector"].to_numpy())), vectors["n"].to_numpy("float64")))
+        return np.sum(parts, axis=0)
+
+    def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        current, total = None, None
+        for batch in batches:
+            done: list[tuple] = []
+            keys = batch["key"].to_numpy()
+            starts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1), len(keys)] if len(keys) else []
+            for begin, end in zip(starts, starts[1:]):
+                part = added(batch.iloc[begin:end])
+                if total is not None and keys[begin] == current:
+                    total = total + part
+                    continue
+                if total is not None:
+                    done.append((current, _variance(total, dims)))
+                current, total = keys[begin], part
+            yield pd.DataFrame(done, columns=["key", "variance"])
+        if total is not None:
+            yield pd.DataFrame([(current, _variance(total, dims))], columns=["key", "variance"])
+
+    return finish
+
+
+def _variance_by_key(parts: DataFrame, dims: int, key: str, name: str) -> DataFrame:
+    key_type = parts.schema["key"].dataType.simpleString()
+    return (
+        parts.select("key", "n", "vector", "moments")
+        .repartition("key")
+        .sortWithinPartitions("key")
+        .mapInPandas(_finish(dims), f"key {key_type}, variance double")
+        .select(F.col("key").alias(key), F.col("variance").cast("float").alias(name))
+    )
+
+
 def group_similarity_variance(
     df: DataFrame, key: str, vector: str, dims: int, name: str = "f_embed_variance"
 ) -> DataFrame:
-    """(key, variance) over all vector pairs of each group, groups of any size.
+    """(key, variance) over all vector pairs of each group, for non-NULL keys and groups of any size.
 
-    Every task reduces its rows to one moment row per group; those are added in two steps, so that a
-    group which fills a third of the table does not meet in one task until little is left of it.
+    Every task sends each of its groups in the smaller form: the vectors themselves, or one row of
+    moments in their place. A group which fills a third of the table so arrives as a few rows per
+    task, and many small groups cost no more than their vectors.
     """
     width = 3 + dims + dims * (dims + 1) // 2
 
-    def partial(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows_of(held: dict) -> pd.DataFrame:
+        return pd.DataFrame({"key": list(held), "n": 1, "vector": None, "moments": list(held.values())})
+
+    def smaller_form(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         held: dict = {}
         for batch in batches:
             if not len(batch):
                 continue
-            unit = _unit(np.stack(batch["vector"].to_numpy()).astype("float64"))
-            for value, rows in batch.groupby("key", sort=False, dropna=False).indices.items():
+            unit = _unit(np.stack(batch["vector"].to_numpy()))
+            sent = np.zeros(len(batch), dtype=bool)
+            for value, rows in batch.groupby("key", sort=False).indices.items():
+                if value not in held and len(rows) * dims < width:
+                    sent[rows] = True
+                    continue
                 part = _moments(unit[rows], np.ones(len(rows)))
                 held[value] = held[value] + part if value in held else part
+            if sent.any():
+                yield pd.DataFrame(
+                    {"key": batch["key"][sent], "n": 1, "vector": batch["vector"][sent], "moments": None}
+                )
             if len(held) * width > _HELD_DOUBLES:
-                yield pd.DataFrame({"key": list(held), "moments": list(held.values())})
+                yield rows_of(held)
                 held = {}
         if held:
-            yield pd.DataFrame({"key": list(held), "moments": list(held.values())})
+            yield rows_of(held)
 
-    rows = df.select(F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector"))
-    key_type = rows.schema["key"].dataType.simpleString()
-    parts = rows.mapInPandas(partial, f"key {key_type}, moments array<double>").select(
-        "key",
-        F.pmod(F.spark_partition_id(), F.lit(_MERGE_WAYS)).alias("way"),
-        array_to_vector("moments").alias("moments"),
+    rows = df.filter(F.col(key).isNotNull()).select(
+        F.col(key).alias("key"), F.col(vector).cast("array<double>").alias("vector")
     )
-    merged = (
-        parts.groupBy("key", "way")
-        .agg(Summarizer.sum(F.col("moments")).alias("moments"))
-        .groupBy("key")
-        .agg(vector_to_array(Summarizer.sum(F.col("moments"))).alias("m"))
+    key_type = rows.schema["key"].dataType.simpleString()
+    parts = rows.mapInPandas(
+        smaller_form, f"key {key_type}, n bigint, vector array<double>, moments array<double>"
     )
-
-    def square_sum(values: Column) -> Column:
-        return F.aggregate(values, F.lit(0.0), lambda acc, x: acc + x * x)
-
-    m = F.col("m")
-    n = F.get(m, F.lit(0))
-    pairs = n * (n - 1) / 2
-    first = (square_sum(F.slice(m, 4, dims)) - F.get(m, F.lit(1))) / 2 / pairs
-    second = (square_sum(F.slice(m, 4 + dims, width - 3 - dims)) - F.get(m, F.lit(2))) / 2 / pairs
-    variance = F.when(n < 2, F.lit(0.0)).otherwise(F.greatest(second - first * first, F.lit(0.0)))
-    return merged.select(F.col("key").alias(key), variance.cast("float").alias(name))
+    return _variance_by_key(parts, dims, key, name)
 
 
 def token_similarity_variance(vectors: DataFrame, max_bytes: int = BROADCAST_BYTES) -> Callable[[Column], Column]:
@@ -165,28 +204,6 @@ def document_similarity_variance(
     if fits_in_memory(vectors, 8 * dims + WORD_BYTES, max_bytes):
         return docs.withColumn(name, token_similarity_variance(vectors, max_bytes)(F.col(tokens)))
 
-    def per_document(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        current, total = None, None
-        for batch in batches:
-            done: list[tuple] = []
-            if not len(batch):
-                continue
-            unit = _unit(np.stack(batch["vector"].to_numpy()))
-            counts = batch["n"].to_numpy().astype("float64")
-            keys = batch["key"].to_numpy()
-            starts = [0, *(np.flatnonzero(keys[1:] != keys[:-1]) + 1), len(keys)]
-            for begin, end in zip(starts, starts[1:]):
-                value, part = keys[begin], _moments(unit[begin:end], counts[begin:end])
-                if total is not None and value == current:
-                    total = total + part
-                    continue
-                if total is not None:
-                    done.append((current, _variance(total, dims)))
-                current, total = value, part
-            yield pd.DataFrame(done, columns=["key", "variance"])
-        if total is not None:
-            yield pd.DataFrame([(current, _variance(total, dims))], columns=["key", "variance"])
-
     counted = (
         docs.select(F.col(key).alias("key"), F.explode(tokens).alias("word"))
         .groupBy("key", "word")
@@ -198,12 +215,6 @@ def document_similarity_variance(
         8 * dims + WORD_BYTES,
         max_bytes=max_bytes,
     )
-    key_type = counted.schema["key"].dataType.simpleString()
-    variances = (
-        known.select("key", "n", "vector")
-        .repartition("key")
-        .sortWithinPartitions("key")
-        .mapInPandas(per_document, f"key {key_type}, variance double")
-        .select(F.col("key").alias(key), F.col("variance").cast("float").alias(name))
-    )
+    no_moments = F.lit(None).cast("array<double>").alias("moments")
+    variances = _variance_by_key(known.select("key", "n", "vector", no_moments), dims, key, name)
     return docs.join(variances, key, "left").withColumn(name, F.coalesce(name, F.lit(0.0).cast("float")))

@@ -14,8 +14,7 @@ from pyspark.ml.feature import (
     Word2Vec,
     Word2VecModel,
 )
-from pyspark.ml.functions import array_to_vector, vector_to_array
-from pyspark.ml.stat import Summarizer
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -81,15 +80,18 @@ def mean_word_vector(docs: DataFrame, key: str, tokens: str, vectors: DataFrame,
     Partitioning by the key once serves both aggregations: the word counts and, as long as the word
     table is broadcast, the sums. No vector is shuffled then.
     """
-    zero = array_to_vector(F.array_repeat(F.lit(0.0), dims))
     counted = word_counts_per_document(docs.select(key, tokens).repartition(key), key, tokens)
-    joined = join_words(counted, vectors.select("word", "vector"), 8 * dims + WORD_BYTES, how="left")
-    vector, weight = F.coalesce("vector", zero), F.greatest(F.col("n"), F.lit(1)).cast("double")
+    arrays = vectors.select("word", vector_to_array("vector").alias("vector"))
+    joined = join_words(counted, arrays, 8 * dims + WORD_BYTES, how="left")
     summed = joined.groupBy(key).agg(
-        F.sum("n").alias("n_tokens"), vector_to_array(Summarizer.sum(vector, weight)).alias("total")
+        F.sum("n").alias("n_tokens"),
+        *(F.sum(F.col("n") * F.get("vector", F.lit(i))).alias(f"total_{i}") for i in range(dims)),
     )
-    mean = F.transform("total", lambda x: F.when(F.col("n_tokens") > 0, x / F.col("n_tokens")).otherwise(0.0))
-    return summed.select(key, "n_tokens", mean.alias("mean_vector"))
+    mean = [
+        F.when(F.col("n_tokens") > 0, F.coalesce(F.col(f"total_{i}") / F.col("n_tokens"), F.lit(0.0))).otherwise(0.0)
+        for i in range(dims)
+    ]
+    return summed.select(key, "n_tokens", F.array(*mean).alias("mean_vector"))
 
 
 def hashing_tf(
