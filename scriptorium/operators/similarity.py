@@ -199,13 +199,16 @@ def document_similarity_variance(
     """Add the variance of each document's known tokens, whatever the size of the word table.
 
     A small table is broadcast and nothing is shuffled. Otherwise words are counted per document,
-    joined with their vectors and streamed through one accumulator per document.
+    joined with their vectors and streamed through one accumulator per document. Rows that share a key
+    must be copies of each other; one of them is computed for all.
     """
     if fits_in_memory(vectors, 8 * dims + WORD_BYTES, max_bytes):
         return docs.withColumn(name, token_similarity_variance(vectors, max_bytes)(F.col(tokens)))
 
     counted = (
-        docs.select(F.col(key).alias("key"), F.explode(tokens).alias("word"))
+        docs.select(F.col(key).alias("key"), F.col(tokens).alias("tokens"))
+        .dropDuplicates(["key"])
+        .select("key", F.explode("tokens").alias("word"))
         .groupBy("key", "word")
         .agg(F.count("*").alias("n"))
     )
