@@ -8,32 +8,45 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from scriptorium.functions.profiles import ARABIC, UNICODE_BLANKS, TextProfile
-from scriptorium.functions.text import _col, _text, char_count, preprocess_text, word_count
-from scriptorium.plans.bounds import with_once
+from scriptorium.functions.text import _col, _text, char_count, clean_tokens
 
 COUNT_COLUMNS = ("f_diacritics", "f_colons", "f_particles", "f_first_person")
 
 
 def count_diacritics(text: Column | str, profile: TextProfile = ARABIC) -> Column:
     """Number of vowel marks, including the rarer ones that cleaning keeps."""
-    return F.size(F.split(_text(text), f"[{profile.counted_marks}]")) - 1
+    return F.length(_text(text)) - F.length(F.translate(_text(text), profile.counted_marks, ""))
 
 
 def count_colons(text: Column | str, profile: TextProfile = ARABIC) -> Column:
     """Number of colons, ASCII and full-width."""
     text = _text(text)
-    rest = reduce(lambda c, mark: F.replace(c, F.lit(mark), F.lit("")), profile.colons, text)
-    return F.length(text) - F.length(rest)
 
+    def occurrences(mark: str) -> Column:
+        lost = F.octet_length(text) - F.octet_length(F.replace(text, F.lit(mark), F.lit("")))
+        return (lost / len(mark.encode())).cast("int")
 
-def surface_words(text: Column | str, profile: TextProfile = ARABIC) -> Column:
-    """Words of the raw text without vowel marks, letters unfolded, punctuation attached.
+    return reduce(lambda a, b: a + b, map(occurrences, profile.colons))
 
-    One translate turns every Unicode blank into a space and drops the marks, so the split is on a
-    single character. Empty pieces stay; no word list holds the empty word.
+
+def surface_text(text: Column | str, profile: TextProfile = ARABIC) -> Column:
+    """The raw text without the marks that cleaning strips, every Unicode blank turned into a space."""
+    return F.translate(_text(text), UNICODE_BLANKS + profile.stripped_marks, " " * len(UNICODE_BLANKS))
+
+
+def surface_words(surface: Column | str) -> Column:
+    """Words of a surface text, letters unfolded, punctuation attached.
+
+    Empty pieces between blanks stay; no word list holds the empty word.
     """
-    spaces = " " * len(UNICODE_BLANKS)
-    return F.split(F.translate(_text(text), UNICODE_BLANKS + profile.stripped_marks, spaces), " ")
+    return F.split(_col(surface), " ")
+
+
+def _diacritics_from_surface(text: Column | str, surface: Column | str, profile: TextProfile) -> Column:
+    """Marks that `surface` lacks, plus the counted ones that it keeps, looked for only where there are any."""
+    kept = "".join(m for m in profile.counted_marks if m not in profile.stripped_marks)
+    rare = F.when(_col(surface).rlike(f"[{kept}]"), F.size(F.split(_col(surface), f"[{kept}]")) - 1).otherwise(0)
+    return F.length(_text(text)) - F.length(_col(surface)) + rare
 
 
 def count_particles_in(words: Column | str, profile: TextProfile = ARABIC) -> Column:
@@ -58,32 +71,41 @@ def count_first_person_in(words: Column | str, profile: TextProfile = ARABIC) ->
 
 def count_particles(text: Column | str, profile: TextProfile = ARABIC) -> Column:
     """Number of function words of the particle list, as written in the text."""
-    return count_particles_in(surface_words(text, profile), profile)
+    return count_particles_in(surface_words(surface_text(text, profile)), profile)
 
 
 def count_first_person(text: Column | str, profile: TextProfile = ARABIC) -> Column:
     """Number of first-person pronouns and first-person verb endings."""
-    return count_first_person_in(surface_words(text, profile), profile)
+    return count_first_person_in(surface_words(surface_text(text, profile)), profile)
 
 
 def with_clean_text(df: DataFrame, text: str = "text", profile: TextProfile = ARABIC) -> DataFrame:
-    """Add ``text_clean``, ``char_count`` and ``word_count``."""
-    return with_once(df, "text_clean", preprocess_text(text, profile)).withColumns(
-        {"char_count": char_count("text_clean"), "word_count": word_count("text_clean")}
-    )
+    """Add ``text_clean``, ``char_count`` and ``word_count``, each text being split once.
+
+    As a text without words counts one, the word count is that of the kept words, or one.
+    """
+
+    def joined_and_counted(words: Column) -> Column:
+        return F.struct(
+            F.array_join(words, " ").alias("text_clean"), F.greatest(F.size(words), F.lit(1)).alias("word_count")
+        )
+
+    cleaned = F.transform(F.array(clean_tokens(text, profile)), joined_and_counted)
+    return df.select("*", F.inline(cleaned)).withColumn("char_count", char_count("text_clean"))
 
 
 def with_style_counts(df: DataFrame, text: str = "text", profile: TextProfile = ARABIC) -> DataFrame:
-    """Add the four counts; particles and first person share one split of the text."""
+    """Add the four counts, which share the surface text and one split of it."""
     return (
-        df.withColumn("__words", surface_words(text, profile))
+        df.withColumn("__surface", surface_text(text, profile))
+        .withColumn("__words", surface_words("__surface"))
         .withColumns(
             {
-                "f_diacritics": count_diacritics(text, profile),
+                "f_diacritics": _diacritics_from_surface(text, "__surface", profile),
                 "f_colons": count_colons(text, profile),
                 "f_particles": count_particles_in("__words", profile),
                 "f_first_person": count_first_person_in("__words", profile),
             }
         )
-        .drop("__words")
+        .drop("__surface", "__words")
     )

@@ -44,11 +44,11 @@ def keep_script_range(text: Column | str, profile: TextProfile = ARABIC) -> Colu
 def remove_stopwords(text: Column | str, profile: TextProfile = ARABIC) -> Column:
     """Drop list members; the other words keep their order and repetitions."""
     words = F.split(F.translate(_text(text), UNICODE_BLANKS, " " * len(UNICODE_BLANKS)), " ")
-    return F.array_join(F.filter(words, lambda w: (w != "") & ~w.isin(*profile.stopwords)), " ")
+    return F.array_join(F.filter(words, lambda w: ~w.isin("", *profile.stopwords)), " ")
 
 
-def preprocess_text(text: Column | str, profile: TextProfile = ARABIC) -> Column:
-    """The full cleaning chain: marks, folding, script range, stopwords.
+def clean_tokens(text: Column | str, profile: TextProfile = ARABIC) -> Column:
+    """The words that cleaning keeps: marks, folding, script range and stopwords in that order.
 
     One translate covers the marks, the stretching character and the folding. No blank lies inside the
     script range, so splitting at everything outside of it yields the words. The stopword list is
@@ -58,7 +58,12 @@ def preprocess_text(text: Column | str, profile: TextProfile = ARABIC) -> Column
     dropped = profile.stripped_marks + profile.elongation
     folded = F.translate(_text(text), "".join(sources) + dropped, "".join(targets))
     words = F.split(folded, _outside_script(profile))
-    return F.array_join(F.filter(words, lambda w: (w != "") & ~w.isin(*profile.stopwords)), " ")
+    return F.filter(words, lambda w: ~w.isin("", *profile.stopwords))
+
+
+def preprocess_text(text: Column | str, profile: TextProfile = ARABIC) -> Column:
+    """The full cleaning chain as text: the kept words joined by single spaces."""
+    return F.array_join(clean_tokens(text, profile), " ")
 
 
 def char_count(clean: Column | str) -> Column:
