@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_KEY = "spark.checkpoint.dir"
+_LOCAL_DIRS: dict[str, str] = {}
 
 
 def build_session(app_name: str = "scriptorium", master: str | None = None, **conf: str) -> SparkSession:
@@ -34,9 +35,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError(f"set {CHECKPOINT_KEY} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="scriptorium-")
-    spark.conf.set(CHECKPOINT_KEY, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _LOCAL_DIRS:
+        _LOCAL_DIRS[application] = tempfile.mkdtemp(prefix="scriptorium-")
+    return _LOCAL_DIRS[application]
 
 
 def new_path(spark: SparkSession, name: str) -> str:

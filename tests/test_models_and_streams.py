@@ -1,3 +1,5 @@
+from types import SimpleNamespace
+
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
@@ -97,3 +99,13 @@ def test_shared_folder_comes_from_the_session(spark):
     assert new_path(spark, "a").startswith(shared_dir(spark)) and new_path(spark, "a") != new_path(spark, "a")
     stored = through_table(spark.range(3), "ids")
     assert stored.count() == 3 and all(shared_dir(spark) in f for f in stored.inputFiles())
+
+
+def test_only_a_local_session_may_do_without_a_shared_folder():
+    def session(master):
+        context = SimpleNamespace(master=master, applicationId=f"app-{master}")
+        return SimpleNamespace(conf={}, sparkContext=context)
+
+    assert shared_dir(session("local[2]")) == shared_dir(session("local[2]"))
+    with pytest.raises(ValueError, match=CHECKPOINT_KEY):
+        shared_dir(session("spark://host:7077"))
