@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.llm.batches import text_slices
 from scriptorium.llm.words import full_grams, gram_hashes, split_words, word_hashes
 from scriptorium.session import through_table
 
@@ -68,7 +69,8 @@ def text_counts(text: Column | str, window: int = 5) -> Column:
 
     @F.arrow_udf(COUNTS)
     def counts(column: pa.Array) -> pa.Array:
-        return count_texts(column, window)
+        parts = text_slices(pa.RecordBatch.from_arrays([column], ["text"]), "text")
+        return pa.concat_arrays([count_texts(part.column("text"), window) for part in parts] or [count_texts(column, window)])
 
     return counts(text)
 
