@@ -14,14 +14,14 @@ SLICE_ROWS = 2000
 _BETWEEN_WORDS = re.compile(r" (?=\S)(?<=\S )")
 
 
-def text_slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
-    """Cut a batch between rows into slices of about `most` bytes of text and `SLICE_ROWS` rows; a longer text is a slice of its own."""
+def text_slices(batch: pa.RecordBatch, text: str, most: int = SLICE_BYTES, rows: int = SLICE_ROWS) -> Iterator[pa.RecordBatch]:
+    """Cut a batch between rows into slices of about `most` bytes of text and `rows` rows; a longer text is a slice of its own."""
     lengths = pc.fill_null(pc.binary_length(batch.column(text)), 0).to_numpy(zero_copy_only=False)
     ends = np.cumsum(lengths, dtype=np.int64)
     at = 0
     while at < batch.num_rows:
         before = ends[at - 1] if at else 0
-        upto = min(at + SLICE_ROWS, max(at + 1, int(np.searchsorted(ends, before + most, side="right"))))
+        upto = min(at + rows, max(at + 1, int(np.searchsorted(ends, before + most, side="right"))))
         yield batch.slice(at, upto - at)
         at = upto
 

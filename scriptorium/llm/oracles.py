@@ -68,3 +68,43 @@ counted AS (
 SELECT doc_id, source, text, copy, md5('shuffle 17:' || identity || ':' || copy) AS shuffle_key
 FROM (SELECT *, unnest(range(1, copies::BIGINT + 1))::INT AS copy FROM counted)
 """
+
+SUBSTRING_SQL = rf"""
+WITH docs AS (SELECT doc_id, {WORDS} AS words FROM documents),
+grams AS (
+    SELECT doc_id, p, md5(array_to_string(list_slice(words, p, p + 19), ' ')) AS gram
+    FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS p FROM docs)
+),
+again AS (SELECT doc_id, p FROM (SELECT doc_id, p, row_number() OVER (PARTITION BY gram ORDER BY doc_id, p) AS n FROM grams) WHERE n > 1),
+gone AS (SELECT doc_id, list(DISTINCT q) AS qs FROM (SELECT doc_id, unnest(range(p, p + 20)) AS q FROM again) GROUP BY doc_id),
+kept AS (
+    SELECT d.doc_id, list(word ORDER BY q) AS words
+    FROM (SELECT doc_id, unnest(words) AS word, generate_subscripts(words, 1) AS q FROM docs) d
+    LEFT JOIN (SELECT doc_id, unnest(qs) AS gone_q FROM gone) g ON d.doc_id = g.doc_id AND d.q = g.gone_q
+    WHERE gone_q IS NULL GROUP BY d.doc_id
+)
+SELECT docs.doc_id, len(docs.words) AS n_words, coalesce(len(qs), 0) AS n_removed,
+    sha256(coalesce(array_to_string(kept.words, ' '), '')) AS kept_sha256
+FROM docs LEFT JOIN gone ON docs.doc_id = gone.doc_id LEFT JOIN kept ON docs.doc_id = kept.doc_id
+"""
+
+JACCARD_SQL = rf"""
+WITH RECURSIVE docs AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x20\x09-\x0D]+') AS words FROM documents
+),
+shingles AS (
+    SELECT DISTINCT doc_id, CASE WHEN len(words) < 5 THEN array_to_string(words, ' ') ELSE array_to_string(list_slice(words, p, p + 4), ' ') END AS s
+    FROM (SELECT doc_id, words, unnest(range(1, greatest(len(words) - 4, 1) + 1)) AS p FROM docs WHERE len(words) > 0)
+),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+pairs AS (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS n_both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+),
+links AS (
+    SELECT x, y FROM pairs JOIN sizes p ON x = p.doc_id JOIN sizes q ON y = q.doc_id WHERE 100 * n_both >= 75 * (p.n + q.n - n_both)
+),
+reached AS (SELECT doc_id AS x, doc_id AS y FROM docs UNION SELECT r.x, l.y FROM reached r JOIN links l ON r.y = l.x)
+SELECT docs.doc_id, coalesce(n, 0) AS n_shingles, component_id
+FROM docs LEFT JOIN sizes ON docs.doc_id = sizes.doc_id JOIN (SELECT x, min(y) AS component_id FROM reached GROUP BY x) ON docs.doc_id = x
+"""

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm import byte_bpe, language, mixing, quality, token_counts, token_files
-from scriptorium.llm.oracles import MIXING_SQL, QUALITY_SQL
+from scriptorium.llm import byte_bpe, jaccard, language, mixing, quality, substrings, token_counts, token_files
+from scriptorium.llm.oracles import JACCARD_SQL, MIXING_SQL, QUALITY_SQL, SUBSTRING_SQL
 from scriptorium.plans.catalog import query
 from scriptorium.plans.tables import table
 from scriptorium.session import new_path
@@ -21,6 +21,16 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path, with_ids=False)
 
 
+@query("op3_substring_dedup", SUBSTRING_SQL)
+def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.substring_report(table(spark, sf_dir, "documents"))
+
+
+@query("op4_ngram_jaccard", JACCARD_SQL)
+def op4_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 @query("op5_token_counts")
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_50k.json")

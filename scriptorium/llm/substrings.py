@@ -24,7 +24,7 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.llm.batches import text_slices, whole_texts
@@ -33,7 +33,7 @@ from scriptorium.session import through_table
 
 WINDOW = 20
 ANCHOR = 8
-_LAST = np.iinfo(np.int64).max
+_NO_KEY = 2**63 - 1
 
 
 def _leftmost_least(values: np.ndarray, width: int) -> np.ndarray:
@@ -70,8 +70,7 @@ def paths(words: Words, window: int, anchor: int) -> tuple[np.ndarray, ...]:
 
 
 def _identities(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    keys = pc.fill_null(part.column("key"), _LAST).to_numpy(zero_copy_only=False)
-    return keys, part.column("digest").to_numpy(zero_copy_only=False)
+    return part.column("key").to_numpy(zero_copy_only=False), part.column("digest").to_numpy(zero_copy_only=False)
 
 
 def _settle(keys: np.ndarray, digests: np.ndarray, names: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -115,7 +114,7 @@ def _edge_rows(part, row, start, n, names) -> pa.RecordBatch:
 def _places(rows: DataFrame) -> DataFrame:
     """Number the documents of each (a, b) along their keys, and mark names `a` with more than one row or `b`."""
     by_name = Window.partitionBy("a")
-    in_order = Window.partitionBy("a", "b").orderBy(F.col("key").asc_nulls_last(), "digest")
+    in_order = Window.partitionBy("a", "b").orderBy("key", "digest")
     marked = rows.select(
         "*",
         F.row_number().over(in_order).alias("place"),
@@ -128,8 +127,7 @@ def _places(rows: DataFrame) -> DataFrame:
 def repeated_runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -> DataFrame:
     """(key, digest, start, n): windows start … start + n - 1 of a document occur in an earlier document.
 
-    `docs` has (key bigint, digest bigint, text); documents are ordered by key, missing keys last, then
-    by digest.
+    `docs` has (key bigint, digest bigint, text); documents are ordered by key, then by digest.
     """
 
     def to_paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,18 +155,12 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -
     settled = found.filter(F.col("settled") | (F.col("place") > 1))
     branching = found.filter(~F.col("settled") & F.col("branches") & (F.col("place") == 1))
     asked = branching.groupBy("key", "digest").agg(F.collect_list(F.struct("a", "start", "n")).alias("asked"))
-    opened = _on_identity(docs.dropDuplicates(["key", "digest"]), asked, "inner")
-    edges = _places(opened.select("key", "digest", "text", "asked").mapInArrow(to_edges, _EDGE))
+    opened = docs.join(asked, ["key", "digest"]).dropDuplicates(["key", "digest"])
+    edges = _places(opened.mapInArrow(to_edges, _EDGE))
     repeated = edges.filter(F.col("settled") | (F.col("place") > 1))
     return settled.select("key", "digest", "start", "n").unionAll(repeated.select("key", "digest", "start", "n"))
 
 
-def _on_identity(docs: DataFrame, other: DataFrame, how: str) -> DataFrame:
-    other = other.withColumnsRenamed({"key": "__key", "digest": "__digest"})
-    same = F.col("key").eqNullSafe(F.col("__key")) & (F.col("digest") == F.col("__digest"))
-    return docs.join(other, same, how).drop("__key", "__digest")
-
-
 def covered_words(words: Words, runs: pa.Array, window: int) -> np.ndarray:
     """Which words lie in a window that an earlier document has, or that begins earlier in the same text."""
     cover = np.zeros(len(words.begin) + 1, np.int64)
@@ -191,15 +183,18 @@ def _with_runs(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """`docs` (key, digest, text, …) with the array `runs` of each document's repeated windows."""
     runs = repeated_runs(docs.select("key", "digest", "text"), window, anchor)
     by_document = runs.groupBy("key", "digest").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
-    joined = _on_identity(docs, by_document, "left")
+    joined = docs.join(by_document, ["key", "digest"], "left")
     empty = F.array().cast("array<struct<start: int, n: int>>")
     return joined.withColumn("runs", F.coalesce("runs", empty))
 
 
-def _identified(docs: DataFrame, key: str, text: str) -> DataFrame:
-    return docs.select(
-        F.col(key).cast("bigint").alias("key"), F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest"), F.col(text).alias("text")
-    )
+def _identity(key: str, text: str) -> list[Column]:
+    """Key and text hash, by which documents are known and ordered; a missing key is the largest."""
+    return [
+        F.coalesce(F.col(key).cast("bigint"), F.lit(_NO_KEY)).alias("key"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("digest"),
+        F.col(text).alias("text"),
+    ]
 
 
 def substring_report(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, key: str = "doc_id", text: str = "text") -> DataFrame:
@@ -226,7 +221,8 @@ def substring_report(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR
                 columns = [part.column("key"), pa.array(words.count()), pa.array(np.diff(removed)), pa.array(digests, pa.string())]
                 yield pa.RecordBatch.from_arrays(columns, ["key", "n_words", "n_removed", "kept_sha256"])
 
-    rows = _with_runs(_identified(docs, key, text), window, anchor).select("key", "text", "runs")
+    known = F.when(F.col("key") != _NO_KEY, F.col("key")).alias("key")
+    rows = _with_runs(docs.select(*_identity(key, text)), window, anchor).select(known, "text", "runs")
     result = rows.mapInArrow(run, "key bigint, n_words bigint, n_removed bigint, kept_sha256 string")
     return result.withColumnRenamed("key", key)
 
@@ -253,12 +249,7 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, ke
     """
     columns = docs.columns
     packed = docs.select(F.struct(*columns).alias("row"))
-    named = packed.select(
-        F.col(f"row.{key}").cast("bigint").alias("key"),
-        F.xxhash64(F.coalesce(F.col(f"row.{text}"), F.lit(""))).alias("digest"),
-        F.col(f"row.{text}").alias("text"),
-        "row",
-    )
+    named = packed.select(*_identity(f"row.{key}", f"row.{text}"), "row")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
