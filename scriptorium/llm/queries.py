@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm import byte_bpe, jaccard, language, mixing, quality, substrings, token_counts, token_files
+from scriptorium.llm import byte_bpe, fingerprints, jaccard, language, mixing, quality, substrings, token_counts, token_files
 from scriptorium.llm.oracles import JACCARD_SQL, MIXING_SQL, QUALITY_SQL, SUBSTRING_SQL
 from scriptorium.plans.catalog import query
 from scriptorium.plans.tables import table
@@ -37,6 +37,11 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf_dir, "documents"), vocabulary, public_tokenizers.PATTERN)
 
 
+@query("op6_fingerprints")
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprint_report(table(spark, sf_dir, "documents"))
+
+
 @query("op7_byte_bpe")
 def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
