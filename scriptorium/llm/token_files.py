@@ -134,7 +134,7 @@ def write_token_files(
 ) -> None:
     """Encode every whole text, append `end_id`, and write the ids below `path` in ascending key order.
 
-    Missing keys come first, equal keys in order of their texts. A missing or empty text gives the end id
+    Missing keys come first, equal keys in order of a hash of their texts. A missing or empty text gives the end id
     alone; an empty table gives folders without rows. `vocabulary` is a word-level tokenizers file that
     drops blanks and has a special token; every executor must be able to read it.
     """
@@ -175,7 +175,8 @@ def write_token_files(
             yield segment()
 
     rows = docs.select(F.col(key).alias("key"), F.col(text).alias("text"))
-    ordered = rows.repartitionByRange("key", "text").sortWithinPartitions("key", "text")
+    order = ["key", F.xxhash64("text"), "text"]
+    ordered = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
     ordered.mapInArrow(run, _SEGMENT.format(key=kind)).write.mode("overwrite").parquet(f"{path}/segments")
     totals = docs.sparkSession.read.parquet(f"{path}/segments").groupBy("part").agg(F.sum("n_tokens").alias("n_tokens"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
