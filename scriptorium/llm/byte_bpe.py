@@ -47,7 +47,7 @@ def decode(ids: np.ndarray, ranks: str, pattern: str) -> bytes:
 
 def encode_pieces(pieces: list[str], encoding: tiktoken.Encoding, known: BoundedDict) -> bytes:
     """The ids of the pieces, each encoded by itself, as little-endian unsigned 32-bit integers."""
-    for piece in set(pieces) - known.keys():
+    for piece in {p for p in pieces if p not in known}:
         known[piece] = np.array(encoding.encode_ordinary(piece), "<u4").tobytes()
     return b"".join(map(known.__getitem__, pieces))
 
