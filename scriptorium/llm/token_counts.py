@@ -65,7 +65,7 @@ def _counter(vocabulary: str, pattern: str):
             parts += cut
             row_of += [row] * len(cut)
         words = [split_segments(part) for part in parts]
-        new = list({w for first_rest in words for w in first_rest[1:]} - known.keys())
+        new = list({w for first_rest in words for w in first_rest[1:] if w not in known})
         known.update(zip(new, of_segments([" " + w for w in new]), strict=True))
         heads = of_segments([w[0] for w in words])
         for row, head, word in zip(row_of, heads, words, strict=True):

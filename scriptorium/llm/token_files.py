@@ -114,7 +114,7 @@ def _encoder(vocabulary: str):
     def learn(words: list[bytes]) -> None:
         core = list(map(core_of, words))
         rest = [w[len(c) :] if c else b"" for w, c in zip(words, core, strict=True)]
-        encode_apart(list({*core, *rest} - cores.keys() - {b""}))
+        encode_apart([p for p in {*core, *rest} if p and p not in cores])
         cores[b""] = b""
         for w, c, r in zip(words, core, rest, strict=True):
             known[w] = cores[c] + cores[r] if c else np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
@@ -123,7 +123,7 @@ def _encoder(vocabulary: str):
         known.trim()
         cores.trim()
         split = [text.encode().split() for text in texts]
-        learn(list(set().union(*split) - known.keys()))
+        learn([w for w in set().union(*split) if w not in known])
         return [b"".join(map(known.__getitem__, words)) for words in split]
 
     return encode
