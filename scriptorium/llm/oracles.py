@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from scriptorium.llm.licenses import TEMPLATES
+
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
 QUALITY_SQL = rf"""
@@ -108,3 +110,56 @@ reached AS (SELECT doc_id AS x, doc_id AS y FROM docs UNION SELECT r.x, l.y FROM
 SELECT docs.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM docs LEFT JOIN sizes ON docs.doc_id = sizes.doc_id JOIN (SELECT x, min(y) AS component_id FROM reached GROUP BY x) ON docs.doc_id = x
 """
+
+_TEMPLATE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in TEMPLATES.items())
+
+LICENSE_SQL = f"""
+WITH templates AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) AS t(license, notice)),
+template_terms AS (
+    SELECT license, term, count(*) AS tf
+    FROM (SELECT license, unnest(regexp_extract_all(lower(notice), '[a-z0-9]+')) AS term FROM templates) GROUP BY ALL
+),
+files AS (
+    SELECT doc_id, concat_ws('/', source, doc_id // 200, doc_id // 10) AS dir, coalesce(text, '') AS text,
+        concat_ws('/', source, doc_id // 200, doc_id // 10, 'file_' || doc_id) AS path FROM documents
+),
+lines AS (
+    SELECT doc_id, place, regexp_extract_all(lower(line), '[a-z0-9]+') AS terms
+    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM files)
+),
+full_lines AS (SELECT * FROM lines WHERE len(terms) > 0),
+size AS (SELECT count(*) AS n FROM full_lines),
+counts AS (SELECT doc_id, place, term, count(*) AS tf FROM (SELECT doc_id, place, unnest(terms) AS term FROM full_lines) GROUP BY ALL),
+idf AS (
+    SELECT term, ln((1 + (SELECT n FROM size)) / (1 + count(c.doc_id))) + 1 AS idf
+    FROM (SELECT DISTINCT term FROM template_terms) LEFT JOIN counts c USING (term) GROUP BY term
+),
+raw AS (SELECT license, term, tf * idf AS w FROM template_terms JOIN idf USING (term)),
+weights AS (SELECT license, term, w / sqrt(sum(w * w) OVER (PARTITION BY license)) AS share FROM raw),
+weighted AS (
+    SELECT doc_id, place, term, tf * coalesce(idf, ln((1 + (SELECT n FROM size)) / 2) + 1) AS w FROM counts LEFT JOIN idf USING (term)
+),
+squares AS (SELECT doc_id, place, sum(w * w) AS square FROM weighted GROUP BY ALL),
+dots AS (SELECT doc_id, place, license, sum(w * share) AS dot FROM weighted JOIN weights USING (term) GROUP BY ALL),
+scored AS (SELECT doc_id, place, license, round(dot / sqrt(square), 6) AS score FROM dots JOIN squares USING (doc_id, place)),
+best_lines AS (
+    SELECT * FROM scored WHERE score >= 0.8 QUALIFY row_number() OVER (PARTITION BY doc_id, place ORDER BY score DESC, license) = 1
+),
+held AS (SELECT doc_id, sum(len(terms)) AS held FROM best_lines JOIN full_lines USING (doc_id, place) GROUP BY doc_id),
+own AS (SELECT * FROM best_lines QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license, place) = 1),
+totals AS (SELECT doc_id, sum(len(terms)) AS terms FROM lines GROUP BY doc_id),
+rules AS (
+    SELECT dir AS from_dir, license AS dir_license, score AS dir_score
+    FROM own JOIN held USING (doc_id) JOIN totals USING (doc_id) JOIN files USING (doc_id) WHERE held >= 0.05 * terms
+    QUALIFY row_number() OVER (PARTITION BY dir ORDER BY score DESC, path, license) = 1
+),
+above AS (
+    SELECT dir, array_to_string(list_slice(string_split(dir, '/'), 1, k), '/') AS from_dir, k
+    FROM (SELECT DISTINCT dir, unnest(range(0, len(string_split(dir, '/')) + 1)) AS k FROM files)
+),
+inherited AS (SELECT * FROM above JOIN rules USING (from_dir) QUALIFY row_number() OVER (PARTITION BY dir ORDER BY k DESC) = 1)
+SELECT doc_id, path, coalesce(license, dir_license) AS license, coalesce(score, dir_score) AS score,
+    CASE WHEN license IS NOT NULL THEN 'header' WHEN dir_license IS NOT NULL THEN 'inherited' ELSE 'none' END AS origin,
+    CASE WHEN license IS NULL THEN from_dir END AS from_dir
+FROM files LEFT JOIN own USING (doc_id) LEFT JOIN inherited USING (dir)
+"""

@@ -6,8 +6,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm import byte_bpe, fingerprints, jaccard, language, mixing, quality, substrings, token_counts, token_files
-from scriptorium.llm.oracles import JACCARD_SQL, MIXING_SQL, QUALITY_SQL, SUBSTRING_SQL
+from scriptorium.llm import byte_bpe, fingerprints, jaccard, language, licenses, mixing, quality, substrings, token_counts, token_files
+from scriptorium.llm.oracles import JACCARD_SQL, LICENSE_SQL, MIXING_SQL, QUALITY_SQL, SUBSTRING_SQL
 from scriptorium.plans.catalog import query
 from scriptorium.plans.tables import table
 from scriptorium.session import new_path
@@ -21,6 +21,14 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path, with_ids=False)
 
 
+@query("op2_license_scan", LICENSE_SQL)
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents as files of repositories: a source has folders of 200 documents with sub-folders of 10."""
+    docs = table(spark, sf_dir, "documents")
+    path = F.concat_ws("/", "source", F.expr("doc_id div 200"), F.expr("doc_id div 10"), F.concat(F.lit("file_"), F.col("doc_id").cast("string")))
+    return licenses.scan_licenses(docs.select("doc_id", path.alias("path"), "text"))
+
+
 @query("op3_substring_dedup", SUBSTRING_SQL)
 def op3_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substrings.substring_report(table(spark, sf_dir, "documents"))
