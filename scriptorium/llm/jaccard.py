@@ -4,9 +4,9 @@
    are ordered: uncommon ones by hash, then common ones from rare to frequent.
 2. If two sets link, the first tokens of both share some. A set whose first tokens occur nowhere else
    often enough cannot link and is done.
-3. The others are partitioned into groups by their first token. Within a group, blocks of bounded size
-   are compared and linked sets merged; one set of each merged group goes on to the next round, until a
-   group fits into one block.
+3. The others are partitioned into groups of similar sets by their least token under a hash. Within a
+   group, blocks of bounded size are compared and linked sets merged. One set of each merged group goes
+   on to the next of `ROUNDS` rounds, with another hash.
 4. The merged groups are the columns of the matrix: each has the union of its members' first tokens. A
    set's overlap with that union bounds its overlap with any member, so only groups whose overlap
    reaches what a link needs are opened, in blocks, and compared token by token.
@@ -22,7 +22,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.llm.batches import text_slices
@@ -32,11 +32,12 @@ from scriptorium.session import through_table
 SHINGLE = 5
 BLOCK = 64
 VISITORS = 256
+ROUNDS = 4
 COUNTING_BYTES = 16 << 20
 COUNTING_ROWS = 10_000
 SEEN_OFTEN = 3
 MOST_COMMON = 1_000_000
-_NO_KEY = -(2**63)
+_NO_KEY = 2**63 - 1
 
 
 def needed(size: np.ndarray) -> np.ndarray:
@@ -129,7 +130,7 @@ def _common_tokens(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarra
 
 
 def _sets_of(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], shingle: int, asked: str | None = None) -> DataFrame:
-    """(set, n, first) of each text that has words; with `asked`, the column of the set wanted, also its tokens."""
+    """(set, n, first) of each text that has words; with `asked`, the column of the set wanted, also its tokens and least hashes."""
     shared = docs.sparkSession.sparkContext.broadcast(common)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -142,25 +143,27 @@ def _sets_of(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], shingle: in
                 columns = [pa.array([name for name, _ in sets], pa.int64()), pa.array([len(s) for _, s in sets], pa.int64())]
                 columns.append(pa.array(first, pa.list_(pa.int64())))
                 if asked:
+                    keys = [[int(mix(s + np.uint64(i)).min().view(np.int64)) for i in range(ROUNDS)] for _, s in sets]
                     columns.append(pa.array([s.view(np.int64) for _, s in sets], pa.list_(pa.int64())))
+                    columns.append(pa.array(keys, pa.list_(pa.int64())))
                 yield pa.RecordBatch.from_arrays(columns, names)
 
-    names = ["set", "n", "first", *["tokens"] * bool(asked)]
-    schema = "set bigint, n bigint, first array<bigint>" + ", tokens array<bigint>" * bool(asked)
+    names = ["set", "n", "first", *["tokens", "keys"] * bool(asked)]
+    schema = "set bigint, n bigint, first array<bigint>" + ", tokens array<bigint>, keys array<bigint>" * bool(asked)
     return docs.select("text", *[asked] * bool(asked)).mapInArrow(run, schema)
 
 
-def _named(docs: DataFrame, shingle: int) -> DataFrame:
-    """(key, n, set) of each row."""
+def _named(rows: DataFrame, shingle: int) -> DataFrame:
+    """(key, digest, n, set) of each row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part in text_slices(batch, "text"):
                 sets = shingle_sets(part.column("text"), shingle)
-                columns = [part.column("key"), pa.array([len(s) for s in sets], pa.int64()), pa.array([set_name(s) for s in sets], pa.int64())]
-                yield pa.RecordBatch.from_arrays(columns, ["key", "n", "set"])
+                columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_name(s) for s in sets], pa.int64())]
+                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("digest"), *columns], ["key", "digest", "n", "set"])
 
-    return docs.mapInArrow(run, "key bigint, n bigint, set bigint")
+    return rows.mapInArrow(run, "key bigint, digest bigint, n bigint, set bigint")
 
 
 def _shared_enough(postings: DataFrame) -> DataFrame:
@@ -197,29 +200,20 @@ def _merge_block(group: pd.DataFrame) -> pd.DataFrame:
 
 
 def _merge_groups(sets: DataFrame) -> DataFrame:
-    """(set, label) after merging within groups of equal first token, in rounds of bounded blocks."""
-    spark = sets.sparkSession
+    """(set, label) after merging within groups of equal least hash, in rounds of bounded blocks."""
     labels = through_table(sets.select("set", F.col("set").alias("label")), "jaccard-labels")
-    current = sets.select("set", "n", F.element_at("first", 1).alias("group"))
-    while True:
-        in_group = Window.partitionBy("group")
-        placed = current.withColumn("size", F.count("*").over(in_group)).filter("size > 1").withColumn(
-            "block", F.expr(f"(row_number() OVER (PARTITION BY group ORDER BY n, set) - 1) div {BLOCK}")
-        )
-        placed = through_table(placed.select("set", "group", "block", "size"), "jaccard-blocks")
+    for i in range(ROUNDS):
+        going = sets.join(labels.filter("set = label").select("set"), "set", "left_semi")
+        grouped = going.select("set", "n", F.element_at("keys", i + 1).alias("group"))
+        placed = grouped.withColumn("size", F.count("*").over(Window.partitionBy("group"))).filter("size > 1")
+        place = F.expr(f"(row_number() OVER (PARTITION BY group ORDER BY n, set) - 1) div {BLOCK}")
+        placed = placed.select("set", "group", place.alias("block"))
         blocks = placed.join(sets.select("set", "n", "tokens"), "set")
-        merged = blocks.groupBy("group", "block").applyInPandas(_merge_block, "set bigint, label bigint")
-        merged = through_table(merged, "jaccard-merged")
-        step = merged.select(F.col("set").alias("label"), F.col("label").alias("__label"))
-        composed = labels.join(step, "label", "left").select("set", F.coalesce("__label", "label").alias("label"))
-        labels = through_table(composed, "jaccard-labels")
-        large = placed.filter(F.col("size") > BLOCK)
-        going = large.join(merged.filter("set = label"), "set").select("set", "group")
-        counts = large.groupBy("group").agg(F.count("*").alias("before")).join(going.groupBy("group").agg(F.count("*").alias("after")), "group")
-        shrunk = counts.filter(F.col("after") < F.col("before")).select("group")
-        current = through_table(going.join(shrunk, "group").join(sets.select("set", "n"), "set").select("set", "n", "group"), "jaccard-next")
-        if current.isEmpty():
-            return labels
+        merged = blocks.groupBy("group", "block").applyInPandas(_merge_block, "set bigint, label bigint").filter("set <> label")
+        step = through_table(merged.select(F.col("set").alias("label"), F.col("label").alias("next")), "jaccard-merged")
+        labels = labels.join(step, "label", "left").select("set", F.coalesce("next", "label").alias("label"))
+        labels = through_table(labels, "jaccard-labels")
+    return labels
 
 
 def _open_group(group: pd.DataFrame) -> pd.DataFrame:
@@ -242,6 +236,8 @@ def _links_between(sets: DataFrame, labels: DataFrame) -> DataFrame:
     tokens = Window.partitionBy("token")
     several = postings.withColumn("__several", F.min("label").over(tokens) != F.max("label").over(tokens)).filter("__several").drop("__several")
     several = through_table(several, "jaccard-postings")
+    able = several.groupBy("set").agg(F.count("*").alias("shared"), F.max("need").alias("need")).filter("shared >= need").select("set")
+    several = through_table(several.join(able, "set", "left_semi"), "jaccard-postings")
     unions = several.select("token", F.col("label").alias("opened")).distinct()
     met = several.join(unions, "token").filter(F.col("label") > F.col("opened"))
     bound = met.groupBy("set", "label", "opened").agg(F.count("*").alias("shared"), F.max("need").alias("need"))
@@ -262,7 +258,7 @@ def _links_between(sets: DataFrame, labels: DataFrame) -> DataFrame:
     return filled.groupBy("opened", "block", "turn").applyInPandas(_open_group, "left bigint, right bigint")
 
 
-def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
+def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of `edges` (left, right): the least node it is connected with.
 
     Labels pass along edges and then along labels, until none changes; every round is stored.
@@ -283,44 +279,57 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
             return labels.select(F.col("left").alias("node"), F.col("label").alias("component"))
 
 
-def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(key, n_shingles, component_id) of each row's whole text.
-
-    A text is lower-cased in A-Z and cut at ASCII blanks; its set holds its distinct `shingle`-word
-    shingles, or with fewer words the whole sequence as one. Two documents link when 100 · intersection
-    >= 75 · union; the component is the least key that links reach. A missing text or one without words
-    has an empty set, links with nothing and is its own component. A row without a key links others
-    through its text but is given no component of its own if no row with a key is reached. Repeated rows
-    give repeated results; an empty table gives none.
-    """
-    spark = docs.sparkSession
-    rows = docs.select(F.coalesce(F.col(key).cast("bigint"), F.lit(_NO_KEY)).alias("key"), F.col(text).alias("text"))
+def _components_of(rows: DataFrame, shingle: int) -> DataFrame:
+    """(key, digest, n, component) of each row of (key, digest, text); the component is one of its sets."""
     named = through_table(_named(rows, shingle), "jaccard-documents")
     common = _common_tokens(rows, shingle)
-
     need = F.expr("1 + (3 * n + 3) div 4 div 16")
     short = _sets_of(rows, common, shingle).select("set", need.alias("need"), F.explode("first").alias("token"))
     chosen = through_table(_shared_enough(short), "jaccard-chosen")
-    speakers = named.filter("n > 0").join(chosen, "set").groupBy("set").agg(F.min("key").alias("key"))
-    texts = rows.join(speakers, "key").dropDuplicates(["key", "set", "text"])
+    speakers = named.filter("n > 0").join(chosen, "set").groupBy("set").agg(F.min(F.struct("key", "digest")).alias("speaker"))
+    texts = rows.join(speakers.select("set", "speaker.*"), ["key", "digest"]).dropDuplicates(["key", "digest"])
     sets = through_table(_sets_of(texts, common, shingle, asked="set").withColumn("need", need), "jaccard-sets")
-
     labels = _merge_groups(sets)
-    joined = components(spark, _links_between(sets, labels))
+    joined = components(_links_between(sets, labels))
     merged = labels.join(joined, F.col("label") == F.col("node"), "left").select("set", F.coalesce("component", "label").alias("component"))
-    whole = named.join(merged, "set", "left").withColumn("component", F.coalesce("component", "set"))
-    known = F.when(F.col("key") != _NO_KEY, F.col("key"))
-    least = whole.filter("n > 0").groupBy("component").agg(F.min(known).alias("least"))
+    return named.join(merged, "set", "left").select("key", "digest", "n", F.coalesce("component", "set").alias("component"))
+
+
+def _identity(key: str, text: str) -> list[Column]:
+    """Key and text hash; a missing key is the largest."""
+    digest = F.xxhash64(F.coalesce(F.col(text), F.lit("")))
+    return [F.coalesce(F.col(key).cast("bigint"), F.lit(_NO_KEY)).alias("key"), digest.alias("digest")]
+
+
+def jaccard_components(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """(key, n_shingles, component_id) of each row's whole text.
+
+    A text is lower-cased in A-Z and cut at ASCII blanks; its set holds its distinct `shingle`-word
+    shingles, or with fewer words the whole sequence as one. Two documents link when 100 · intersection
+    >= 75 · union; the component is the least key that links reach. A missing text or one without words
+    has an empty set, links with nothing and is its own component. A row without a key links others
+    through its text; its component is missing if it reaches no key. Repeated rows give repeated results;
+    an empty table gives none.
+    """
+    whole = _components_of(docs.select(*_identity(key, text), F.col(text).alias("text")), shingle)
+    least = whole.filter("n > 0").groupBy("component").agg(F.min("key").alias("least"))
+    known = lambda c: F.when(F.col(c) != _NO_KEY, F.col(c))
     result = whole.join(least, "component", "left").select(
-        known.alias("key"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(known).alias("component_id")
+        known("key").alias("key"), F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, known("least")).otherwise(known("key")).alias("component_id")
     )
     return result.withColumnRenamed("key", key)
 
 
-def keep_one_per_component(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """The rows of `docs` that stay when each component keeps its row of least key; texts without words stay.
+def keep_one_per_component(docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = SHINGLE) -> DataFrame:
+    """The rows of `docs` that stay when each component keeps its row of least key, as they are.
 
-    Of equal keys and texts one row stays.
+    Rows without a key come last, equal keys go by text hash, and of equal rows one stays. Texts without
+    words have no component and all stay.
     """
-    found = jaccard_components(docs, key, text).filter(F.col("component_id") == F.col(key)).select(F.col(key).alias("__key")).distinct()
-    return docs.join(found, F.col(key) == F.col("__key"), "left_semi").dropDuplicates([key])
+    named = docs.withColumns(dict(zip(("__key", "__digest"), _identity(key, text), strict=True)))
+    whole = _components_of(named.select(F.col("__key").alias("key"), F.col("__digest").alias("digest"), F.col(text).alias("text")), shingle)
+    stay = whole.filter("n > 0").groupBy("component").agg(F.min(F.struct("key", "digest")).alias("stay"))
+    stay = stay.select(F.col("stay.key").alias("__key"), F.col("stay.digest").alias("__digest"))
+    worded = F.coalesce(F.regexp_like(F.col(text), F.lit(r"[^\x20\x09-\x0D]")), F.lit(False))
+    kept = named.filter(worded).join(stay, ["__key", "__digest"], "left_semi").dropDuplicates(["__key", "__digest"])
+    return kept.select(docs.columns).unionAll(named.filter(~worded).select(docs.columns))
