@@ -248,8 +248,8 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, ke
     empty.
     """
     columns = docs.columns
-    packed = docs.select(F.struct(*columns).alias("row"))
-    named = packed.select(*_identity(f"row.{key}", f"row.{text}"), "row")
+    others = F.struct(*(F.col(c) for c in columns if c != text)).alias("row")
+    named = docs.select(*_identity(key, text), others)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -262,6 +262,6 @@ def drop_repeats(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, ke
                 ]
                 yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(cut, pa.string())], ["row", "cut"])
 
-    row_type = packed.schema["row"].dataType.simpleString()
+    row_type = named.schema["row"].dataType.simpleString()
     result = _with_runs(named, window, anchor).select("row", "text", "runs").mapInArrow(run, f"row {row_type}, cut string")
     return result.select(*(F.col("cut").alias(c) if c == text else F.col(f"row.{c}").alias(c) for c in columns))
