@@ -9,58 +9,53 @@ weights over the sum of the larger ones. Everything is made of built-in expressi
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES = 64
-GAMMA_BITS = 11
+SAMPLES = 24
 RANGES_PER_PARTITION = 8
 _NO_KEY = -(2**63)
 _BLANKS = " \t\n\x0b\f\r"
 
 
-def _gamma_quantiles(bits: int) -> list[float]:
-    """Quantiles of the gamma distribution of shape 2, whose distribution function is 1 - (1 + x) exp(-x)."""
-    n, out, x = 1 << bits, [], 1e-3
-    for i in range(n):
-        target = (i + 0.5) / n
-        for _ in range(60):
-            step = (1 - (1 + x) * math.exp(-x) - target) / (x * math.exp(-x))
-            x = max(x / 2, x - step)
-            if abs(step) < 1e-12 * x:
-                break
-        out.append(x)
-    return out
-
+def _uniform(bits: Column, shift: int, width: int) -> Column:
+    """`width` bits of a hash as a number strictly between 0 and 1."""
+    part = F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit((1 << width) - 1))
+    return (part + F.lit(0.5)) * F.lit(1.0 / (1 << width))
 
-def _table(values: list[float]) -> Column:
-    """A constant array, folded once when the plan is optimised."""
-    return F.split(F.lit(",".join(map(repr, values))), ",").cast("array<double>")
 
+def samples_of(word: Column, log_weights: list[Column], j: int) -> list[Column]:
+    """For each weight of a word, a long in the order of a whose low 32 bits name the word and its t.
 
-def sample(word: Column, log_weight: Column, j: int, gamma: Column, log_gamma: Column) -> Column:
-    """A long whose order is that of a and whose low 32 bits name the word and its t."""
+    A gamma variable of shape 2 is minus the logarithm of a product of two uniform ones. A missing weight
+    (a word that a text lacks) gives no sample.
+    """
     bits = F.xxhash64(word, F.lit(j))
-    mask = F.lit((1 << GAMMA_BITS) - 1)
-    r = F.get(gamma, bits.bitwiseAND(mask).cast("int"))
-    log_c = F.get(log_gamma, F.shiftrightunsigned(bits, GAMMA_BITS).bitwiseAND(mask).cast("int"))
-    b = F.shiftrightunsigned(bits, 32).cast("double") / F.lit(float(1 << 32))
-    t = F.floor(log_weight / r + b)
-    log_a = log_c - r * (t - b) - r
-    name = word.bitwiseXOR(F.shiftleft(t, 20)).bitwiseAND(F.lit((1 << 32) - 1))
-    return F.shiftleft(F.floor((log_a + 128) * F.lit(float(1 << 22))).cast("bigint"), 32).bitwiseOR(name)
+    r = -F.log(_uniform(bits, 0, 12) * _uniform(bits, 12, 12))
+    log_c = F.log(-F.log(_uniform(bits, 24, 14) * _uniform(bits, 38, 14)))
+    b = _uniform(bits, 52, 12)
+    out = []
+    for log_weight in log_weights:
+        t = F.floor(log_weight / r + b)
+        log_a = log_c - r * (t - b) - r
+        name = word.bitwiseXOR(F.shiftleft(t, 20)).bitwiseAND(F.lit((1 << 32) - 1))
+        out.append(F.shiftleft(F.floor((log_a + 128) * F.lit(float(1 << 22))).cast("bigint"), 32).bitwiseOR(name))
+    return out
 
 
 def signatures(words: DataFrame, owner: list[str], samples: int = SAMPLES) -> DataFrame:
-    """(owner…, signature) from one row (owner…, word bigint) per word of a text."""
-    counts = words.groupBy(*owner, "word").agg(F.log(F.count("*").cast("double")).alias("log_weight"))
-    quantiles = _gamma_quantiles(GAMMA_BITS)
-    gamma, log_gamma = _table(quantiles), _table([math.log(x) for x in quantiles])
-    least = [F.min(sample(F.col("word"), F.col("log_weight"), j, gamma, log_gamma)).alias(f"s{j}") for j in range(samples)]
-    low = [F.col(f"s{j}").bitwiseAND(F.lit((1 << 32) - 1)) for j in range(samples)]
-    return counts.groupBy(*owner).agg(*least).select(*owner, F.array(*low).alias("signature"))
+    """(owner…, signature, edited) from one row (owner…, kind, word bigint) per word; kind 1 is the edited text.
+
+    A word that both texts of an owner have is one row, whose random variables are drawn once for both.
+    """
+    weight = lambda kind: F.log(F.nullif(F.count_if(F.col("kind") == kind), F.lit(0)).cast("double"))
+    counts = words.groupBy(*owner, "word").agg(weight(0).alias("own"), weight(1).alias("new"))
+    least = []
+    for j in range(samples):
+        own, new = samples_of(F.col("word"), [F.col("own"), F.col("new")], j)
+        least += [F.min(own).alias(f"own{j}"), F.min(new).alias(f"new{j}")]
+    low = lambda kind: F.array(*(F.col(f"{kind}{j}").bitwiseAND(F.lit((1 << 32) - 1)) for j in range(samples)))
+    return counts.groupBy(*owner).agg(*least).select(*owner, low("own").alias("signature"), low("new").alias("edited"))
 
 
 def likeness(left: Column, right: Column) -> Column:
@@ -125,13 +120,11 @@ def fingerprint_report(docs: DataFrame, key: str = "doc_id", text: str = "text",
     edited = F.concat(F.substring("text", F.lit(1), (n - cut).cast("int")), F.substring("next", F.lit(1), cut.cast("int")))
     texts = F.when(F.col("extra"), F.array(F.col("text"))).otherwise(F.array(F.col("text"), edited))
     both = near.select("range", "place", F.posexplode(texts).alias("kind", "whole"))
-    spelt = both.select("range", (F.col("place") * 2 + F.col("kind")).alias("owner"), F.explode(words_of(F.col("whole"))).alias("word"))
-    words = spelt.select("range", "owner", F.xxhash64("word").alias("word"))
-    in_range = Window.partitionBy("range").orderBy("owner")
-    signed = signatures(words, ["range", "owner"], samples).select(
-        "range", "owner", "signature", F.lead("signature", 1).over(in_range).alias("edited"), F.lead("signature", 2).over(in_range).alias("next")
-    )
-    prints = signed.filter("owner % 2 = 0").select(F.col("range").alias("__range"), F.expr("owner div 2").alias("__place"), "signature", "edited", "next")
+    spelt = both.select("range", "place", "kind", F.explode(words_of(F.col("whole"))).alias("word"))
+    words = spelt.select("range", "place", "kind", F.xxhash64("word").alias("word"))
+    in_range = Window.partitionBy("range").orderBy("place")
+    signed = signatures(words, ["range", "place"], samples)
+    prints = signed.withColumn("next", F.lead("signature").over(in_range)).withColumnsRenamed({"range": "__range", "place": "__place"})
     facts = near.filter(~F.col("extra")).select("range", "place", "key", n.cast("bigint").alias("n_chars"), F.sha2(edited, 256).alias("edited_sha256"))
     joined = facts.join(prints, (F.col("range") == F.col("__range")) & (F.col("place") == F.col("__place")))
     return joined.select(

@@ -47,7 +47,7 @@ def test_repeats_cover_first_and_later_windows():
 
 def test_fingerprints(spark):
     found = {}
-    for r in fingerprints.fingerprint_report(frame(spark)).collect():
+    for r in fingerprints.fingerprint_report(frame(spark), samples=64).collect():
         found.setdefault(r.doc_id, r)
     data = sorted({(r[0], r[1] or "") for r in rows() if r[0] is not None}, reverse=True) + [(None, next(r[1] for r in rows() if r[0] is None))]
     prints, errors = {}, []
