@@ -81,7 +81,10 @@ def heavy_terms(weights: list[tuple[str, str, float]], least: float) -> list[str
 
 
 def line_licenses(files: DataFrame, templates: Mapping[str, str] = TEMPLATES, least: float = LEAST_COSINE) -> DataFrame:
-    """(file, place, n_terms, license, score): the best template of every line that reaches `least`; ties go by name."""
+    """(file, place, n_terms, license, score): the best template of every line that reaches `least`; ties go by name.
+
+    A file that is there twice has every count doubled, which leaves its cosines as they are.
+    """
     spark = files.sparkSession
     lines = _lines(files)
     weights, idf, other = template_weights(lines, templates)
@@ -128,7 +131,7 @@ def scan_licenses(
     named = named.withColumn("file", F.struct(F.coalesce("path", F.lit("")).alias("path"), F.coalesce(F.col("key").cast("string"), F.lit("")).alias("key")))
     named = named.withColumn("file", F.sha2(F.concat_ws("\u0001", "file.path", "file.key", F.xxhash64("text").cast("string")), 256))
     directory = F.when(F.col("path").isNotNull(), F.regexp_replace("path", "/?[^/]*$", ""))
-    lines = through_table(line_licenses(named.select("file", "text").dropDuplicates(["file"]), templates, least), "license-lines")
+    lines = through_table(line_licenses(named.select("file", "text"), templates, least), "license-lines")
 
     best = Window.partitionBy("file").orderBy(F.desc("score"), "license", "place")
     own = lines.withColumn("nth", F.row_number().over(best)).withColumn("held", F.sum("n_terms").over(Window.partitionBy("file"))).filter("nth = 1")
