@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.llm.batches import BoundedDict, split_segments, text_slices, whole_texts
 
-CHUNK_CHARS = 8192
+CHUNK_CHARS = 32_768
 OVERLAP_CHARS = 512
 CACHE_ENTRIES = 300_000
 _CACHES: dict[tuple[str, str], BoundedDict] = {}
@@ -157,15 +157,15 @@ def byte_bpe(
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = regex.compile(pattern)
         for batch in batches:
-            ends = [piece_ends(x, compiled) for x in batch.column("part").to_pylist()]
-            yield batch.append_column("ends", pa.array(ends, pa.list_(pa.int32())))
+            lengths = [np.diff(piece_ends(x, compiled), prepend=0) for x in batch.column("part").to_pylist()]
+            yield batch.append_column("lengths", pa.array(lengths, pa.list_(pa.int32())))
 
     def join(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("start")
         encoding, compiled = load_encoding(ranks, pattern), regex.compile(pattern)
         known = _CACHES.setdefault((ranks, pattern), BoundedDict(CACHE_ENTRIES))
         ids = []
-        for pieces in stitch(group["start"].tolist(), group["part"].tolist(), list(group["ends"]), compiled):
+        for pieces in stitch(group["start"].tolist(), group["part"].tolist(), [np.cumsum(x) for x in group["lengths"]], compiled):
             known.trim()
             ids.append(encode_pieces(pieces, encoding, known))
         first = group.iloc[:1]
@@ -174,7 +174,7 @@ def byte_bpe(
     short = rows.filter(F.coalesce(F.char_length("text"), F.lit(0)) <= chunk).mapInArrow(run_short, f"key {kind}, {schema}")
     long = rows.filter(F.char_length("text") > chunk).groupBy("key", "text").agg(F.count("*").alias("copies"))
     chunks = long.mapInArrow(cut, f"key {kind}, copies bigint, digest binary, start bigint, part string")
-    dealt = chunks.repartition("digest", "start").mapInArrow(split, f"{chunks._jdf.schema().toDDL()}, ends array<int>")
+    dealt = chunks.repartition("digest", "start").mapInArrow(split, f"{chunks._jdf.schema().toDDL()}, lengths array<int>")
     joined = dealt.groupBy("key", "digest").applyInPandas(join, f"{schema}, key {kind}, copies bigint")
     copies = joined.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), "copies"))).drop("copy", "copies")
     both = short.unionByName(copies).withColumnRenamed("key", key)
