@@ -10,7 +10,7 @@ from scriptorium.functions.text import text_preview
 
 MESSAGE_SCHEMA = T.StructType(
     [
-        T.StructField("id", T.IntegerType()),
+        T.StructField("id", T.LongType()),
         T.StructField("text", T.StringType()),
         T.StructField("true_source", T.StringType()),
         T.StructField("timestamp", T.DoubleType()),
@@ -26,7 +26,7 @@ def message_json(id_: Column, text: Column, true_source: Column, timestamp: Colu
     """One message as JSON text; characters outside ASCII are written as they are."""
     return F.to_json(
         F.struct(
-            id_.cast("int").alias("id"),
+            id_.cast("bigint").alias("id"),
             text.alias("text"),
             true_source.alias("true_source"),
             timestamp.cast("double").alias("timestamp"),

@@ -104,5 +104,5 @@ def roc_auc(df: DataFrame, score: str = "score") -> DataFrame:
     points = _by_score(df, score)
     area = F.sum(F.col("neg") * (F.col("tp") - F.col("pos") / 2))
     return points.agg(area.alias("area"), F.sum("pos").alias("p"), F.sum("neg").alias("n")).select(
-        _ratio(F.col("area"), F.col("p") * F.col("n")).alias("roc_auc")
+        _ratio(F.col("area"), F.col("p").cast("double") * F.col("n")).alias("roc_auc")
     )

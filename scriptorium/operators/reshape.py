@@ -93,4 +93,4 @@ def payload_rows(
         rows = row_limit(rows, limit, "__order")
     numbered = with_row_numbers(rows, "__order", "id")
     tag = "human" if "original" in column else "ai"
-    return numbered.select(F.col("id").cast("int"), "text", F.lit(tag).alias("true_source"), "timestamp")
+    return numbered.select("id", "text", F.lit(tag).alias("true_source"), "timestamp")

@@ -81,7 +81,8 @@ def count_first_person(x: str) -> str:
 
 
 def ml_tokens(x: str) -> str:
-    return f"string_split_regex(lower({x}), '[\\s\\x0b]')"
+    kept = f"regexp_replace(lower({x}), '[\\s\\x0b]+$', '')"
+    return f"CASE WHEN {x} <> '' AND {kept} = '' THEN []::VARCHAR[] ELSE string_split_regex({kept}, '[\\s\\x0b]') END"
 
 
 def hash32(x: str) -> str:
@@ -137,7 +138,7 @@ SCORED = (
 CLEAN_WORDS = f"{CLEAN}, words AS (SELECT doc_id, source, unnest({words('text_clean')}) AS word FROM clean)"
 WORD_VECTORS = (
     f"{CLEAN_WORDS}, word_vectors AS (SELECT word, embedding FROM (SELECT DISTINCT word FROM words) "
-    f"JOIN embeddings ON vec_id = {hash32('word')} % {tables.VECTOR_WORD_BUCKETS})"
+    f"JOIN embeddings ON vec_id = {hash32('word')} % ((SELECT max(vec_id) FROM embeddings) + 1))"
 )
 VECTOR_DOCS = (
     f"vdocs AS (SELECT vec_id, vec_id // {tables.VECTORS_PER_DOCUMENT} AS vdoc_id, "
@@ -152,7 +153,7 @@ VECTOR_DOC_VARIANCE = (
 )
 MESSAGES = (
     f"{LONG}, messages AS ("
-    f"SELECT CAST(doc_id AS INTEGER) AS id, text, CASE WHEN label = 0 THEN 'human' ELSE 'ai' END AS true_source, "
+    f"SELECT doc_id AS id, text, CASE WHEN label = 0 THEN 'human' ELSE 'ai' END AS true_source, "
     f"CAST(doc_id + {tables.EPOCH} AS DOUBLE) AS timestamp, doc_id + {tables.EPOCH} AS ingest_seconds FROM long "
     f"UNION ALL SELECT NULL, NULL, NULL, NULL, doc_id + {tables.EPOCH} FROM long WHERE doc_id % 50 = 0 "
     f"UNION ALL SELECT NULL, text, CASE WHEN label = 0 THEN 'human' ELSE 'ai' END, NULL, doc_id + {tables.EPOCH} "

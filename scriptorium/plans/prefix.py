@@ -18,7 +18,8 @@ def with_running_totals(
 
     The rows are cut into value ranges of about equal size. Each range is summed on its own in one
     window partition and then shifted by the total of the ranges before it; the shifts are one row
-    per range, which bounds the broadcast. `order` should be unique: group ties first.
+    per range, which bounds the broadcast. `order` should be unique: group ties first. Rows without it
+    form a range of their own, which comes last.
     """
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -26,9 +27,11 @@ def with_running_totals(
     cuts = df.approxQuantile(order, inner, 1 / (4 * buckets)) if inner else []
     if cuts:
         splits = [-math.inf, *sorted(set(cuts)), math.inf]
-        ranged = Bucketizer(splits=splits, inputCol=order, outputCol=_BUCKET).transform(df)
+        ranged = Bucketizer(splits=splits, inputCol=order, outputCol=_BUCKET, handleInvalid="keep").transform(df)
     else:
         ranged = df.withColumn(_BUCKET, F.lit(0.0))
+    last = F.lit(-math.inf if descending else math.inf)
+    ranged = ranged.withColumn(_BUCKET, F.when(F.col(order).isNull(), last).otherwise(F.col(_BUCKET)))
 
     along = F.col(_BUCKET).desc() if descending else F.col(_BUCKET).asc()
     before = Window.orderBy(along).rowsBetween(Window.unboundedPreceding, -1)

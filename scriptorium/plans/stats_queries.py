@@ -28,7 +28,7 @@ def _rounded(df, *columns):
     ),
 )
 def split_row_counts(spark, sf_dir):
-    return stats.split_row_counts(t.wide_corpus(spark, sf_dir))
+    return stats.split_row_counts(t.wide_tags(spark, sf_dir))
 
 
 @query(
@@ -75,7 +75,7 @@ def _count_query(name: str, column: str, relation: str, cte: str, source):
     return run
 
 
-_count_query("rows_per_method", "generation_method", "wide", o.WIDE, t.wide_corpus)
+_count_query("rows_per_method", "generation_method", "wide", o.WIDE, t.wide_tags)
 _count_query("label_distribution", "label", "long", o.LONG, t.corpus_tags)
 _count_query("source_distribution", "source", "long", o.LONG, t.corpus_tags)
 

@@ -40,7 +40,6 @@ SCRIPT = (
     "\u0649\u0642\u0631\u0633\u062a\u0648\u0624\u0626\u062e\u064a\u0632\u003a\u060c\u0651\u0670"
 )
 VECTOR_DIMS = 64
-VECTOR_WORD_BUCKETS = 1000
 VECTORS_PER_DOCUMENT = 16
 EPOCH = 1_700_000_000
 
@@ -66,7 +65,7 @@ def _pick(position: Column, values: tuple[str, ...]) -> Column:
 
 
 def _row_of(doc_id: str = "doc_id") -> Column:
-    return F.floor(F.col(doc_id) / 5)
+    return F.expr(f"{doc_id} div 5")
 
 
 def _with_tags(docs: DataFrame) -> DataFrame:
@@ -101,6 +100,12 @@ def wide_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     ).withColumn("generation_method", _pick(F.col("row_id") % 3, GENERATION_METHODS))
 
 
+def wide_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(row_id, generation_method) of `wide_corpus`, without reading a text."""
+    rows = table(spark, sf_dir, "documents").select(_row_of().alias("row_id")).distinct()
+    return rows.withColumn("generation_method", _pick(F.col("row_id") % 3, GENERATION_METHODS))
+
+
 def wide_split(spark: SparkSession, sf_dir: str, method: str) -> DataFrame:
     """One split as it lies in the raw files: row id and five text columns."""
     wide = wide_corpus(spark, sf_dir)
@@ -134,10 +139,11 @@ def scored_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def word_vectors(spark: SparkSession, sf_dir: str, clean: DataFrame) -> DataFrame:
     """(word, vector): each corpus word with the embedding its hash points to, if there is one."""
+    last = table(spark, sf_dir, "embeddings").agg(F.max("vec_id")).first()[0]
     words = clean.select(F.explode(clean_words("text_clean")).alias("word")).distinct()
     vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return (
-        words.withColumn("vec_id", hash_bucket("word", VECTOR_WORD_BUCKETS))
+        words.withColumn("vec_id", hash_bucket("word", (last or 0) + 1))
         .join(vectors, "vec_id")
         .select("word", array_to_vector(F.col("embedding").cast("array<double>")).alias("vector"))
     )
@@ -145,7 +151,7 @@ def word_vectors(spark: SparkSession, sf_dir: str, clean: DataFrame) -> DataFram
 
 def vector_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(vdoc_id, label, source, embedding): runs of embeddings play the words of one document."""
-    vdoc = F.floor(F.col("vec_id") / VECTORS_PER_DOCUMENT)
+    vdoc = F.expr(f"vec_id div {VECTORS_PER_DOCUMENT}")
     place = vdoc % 5
     return table(spark, sf_dir, "embeddings").select(
         vdoc.alias("vdoc_id"),

@@ -137,7 +137,7 @@ def row_limit(spark, sf_dir):
 
 
 PAYLOAD = (
-    f"payload AS (SELECT CAST(row_number() OVER (ORDER BY row_id) - 1 AS INTEGER) AS id, text, 'human' AS true_source, "
+    f"payload AS (SELECT row_number() OVER (ORDER BY row_id) - 1 AS id, text, 'human' AS true_source, "
     f"CAST({t.EPOCH} + row_id AS DOUBLE) AS timestamp FROM (SELECT row_id, "
     f"regexp_replace(original_abstract, '^{o.BLANKS}+|{o.BLANKS}+$', '', 'g') AS text FROM wide) WHERE text <> '')"
 )

@@ -9,9 +9,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scriptorium.operators.reshape import GENERATION_METHODS, tag_generation_method, union_splits
-from scriptorium.session import through_table
-
-SINGLE_FILE_BYTES = 128 * 1024 * 1024
 
 
 def read_csv_multiline(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
@@ -40,23 +37,6 @@ def write_csv(df: DataFrame, path: str) -> None:
     _csv_writer(df).option("header", True).csv(path)
 
 
-def write_csv_single_file(df: DataFrame, path: str, max_bytes: int = SINGLE_FILE_BYTES) -> bool:
-    """CSV in one part file with a header, while the content stays below `max_bytes`.
-
-    Larger tables keep their parallel parts, each with its own header. The rows are stored first, so
-    measuring does not compute them twice and only the copy runs in one task. Returns whether one file
-    was written.
-    """
-    stored = through_table(df, "csv-export")
-    width = sum(
-        (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 1 for c in df.columns), F.lit(0)
-    )
-    size = stored.agg(F.sum(width.cast("bigint"))).first()[0] or 0
-    single = size <= max_bytes
-    write_csv(stored.coalesce(1) if single else stored, path)
-    return single
-
-
 def write_tsv_counts(counts: DataFrame, path: str) -> None:
     """``word<TAB>count`` lines without header."""
     _csv_writer(counts, "\t").option("header", False).csv(path)

@@ -5,10 +5,12 @@ import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.feature import Tokenizer
 from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
-from scriptorium.functions.messages import parse_messages, predicted_class
+from scriptorium.functions.messages import message_json, parse_messages, predicted_class
+from scriptorium.functions.text import ml_tokenize
 from scriptorium.operators import corpus_stats as stats
 from scriptorium.operators import metrics, reshape, sampling, similarity, vectors
 from scriptorium.plans import tables
@@ -281,11 +283,32 @@ def test_csv_keeps_quotes_newlines_and_blanks(spark):
     assert sorted(tuple(r) for r in files.read_csv_multiline(spark, path).collect()) == rows
 
 
-def test_single_csv_file_only_while_small(spark):
-    df = spark.range(100).withColumn("t", F.lit("x" * 10)).repartition(4)
-    for limit, single in ((10_000, True), (100, False)):
-        path = new_path(spark, "single")
-        assert files.write_csv_single_file(df, path, limit) is single
-        parts = spark.read.option("header", True).csv(path)
-        assert parts.count() == 100
-        assert (len(parts.inputFiles()) == 1) is single
+def test_large_class_counts_do_not_overflow(spark, monkeypatch):
+    points = spark.createDataFrame(
+        [(0.9, 8_000_000_000, 0, 8_000_000_000, 0), (0.1, 0, 2_000_000_000, 8_000_000_000, 2_000_000_000)],
+        "score double, pos bigint, neg bigint, tp bigint, fp bigint",
+    )
+    monkeypatch.setattr(metrics, "_by_score", lambda df, score: points)
+    assert metrics.roc_auc(points).first()[0] == 1.0
+
+
+def test_rows_without_an_order_come_last(spark):
+    df = spark.createDataFrame([(1.0,), (None,), (3.0,), (2.0,)], "order double")
+    found = {r.order: r.row_id for r in with_row_numbers(df, "order").collect()}
+    assert found == {1.0: 0, 2.0: 1, 3.0: 2, None: 3}
+    totals = with_running_totals(df.withColumn("one", F.lit(1)), "order", {"n": "one"}, descending=True)
+    assert {r.order: r.n for r in totals.collect()} == {3.0: 1, 2.0: 2, 1.0: 3, None: 4}
+
+
+def test_large_message_ids_survive(spark):
+    row = spark.range(3_000_000_000, 3_000_000_001).select(
+        F.encode(message_json(F.col("id"), F.lit("t"), F.lit("ai"), F.lit(1)), "UTF-8").alias("value"), F.current_timestamp().alias("timestamp")
+    )
+    assert parse_messages(row).first().id == 3_000_000_000
+
+
+@pytest.mark.parametrize("text", ["a b ", "a  b", " a", "  ", "", "A\tB\n\n", "x"])
+def test_ml_tokenize_equals_the_tokenizer(spark, text):
+    df = spark.createDataFrame([(text,)], "text string")
+    expected = Tokenizer(inputCol="text", outputCol="tokens").transform(df).first().tokens
+    assert df.select(ml_tokenize("text").alias("tokens")).first().tokens == expected
