@@ -175,40 +175,49 @@ def _shared_enough(postings: DataFrame) -> DataFrame:
 
 
 def _merge_block(group: pd.DataFrame) -> pd.DataFrame:
-    """(set, label): the least set of those that links within the block connect."""
+    """(set, label): the centre of those that links within the block connect.
+
+    The centre is the set that all blocks of the group share, else the one that stands for most others,
+    then the one with most links.
+    """
     group = group.sort_values(["n", "set"])
     tokens = [np.asarray(t, np.int64).view(np.uint64) for t in group["tokens"]]
-    parent = list(range(len(tokens)))
-
-    def root(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
+    root = np.arange(len(tokens))
+    links = np.zeros(len(tokens), np.int64)
     for i in range(len(tokens)):
         for j in range(i - 1, -1, -1):
             if 4 * len(tokens[j]) < 3 * len(tokens[i]):
                 break
-            a, b = root(i), root(j)
-            if a != b and linked(tokens[i], tokens[j]):
-                parent[a] = b
-    names = group["set"].to_numpy()
-    roots = np.array([root(i) for i in range(len(tokens))])
-    least = pd.Series(names).groupby(roots).min()
-    return pd.DataFrame({"set": names, "label": least.loc[roots].to_numpy()})
+            if linked(tokens[i], tokens[j]):
+                links[[i, j]] += 1
+                root[root == root[i]] = root[j]
+    found = pd.DataFrame({"set": group["set"].to_numpy(), "weight": group["weight"].to_numpy(), "links": links, "root": root})
+    found["central"] = group["central"].to_numpy()
+    best = found.sort_values(["central", "weight", "links", "set"], ascending=[False, False, False, True]).drop_duplicates("root").set_index("root")["set"]
+    return pd.DataFrame({"set": found["set"], "label": best.loc[root].to_numpy()})
 
 
 def _merge_groups(sets: DataFrame) -> DataFrame:
-    """(set, label) after merging within groups of equal least hash, in rounds of bounded blocks."""
+    """(set, label) after merging within groups of equal least hash, in rounds of bounded blocks.
+
+    The set that stands for most others of its group joins every block of it. So near copies that link
+    with a common source, but hardly with each other, gather around that source.
+    """
     labels = through_table(sets.select("set", F.col("set").alias("label")), "jaccard-labels")
+    in_group = Window.partitionBy("group")
     for i in range(ROUNDS):
-        going = sets.join(labels.filter("set = label").select("set"), "set", "left_semi")
-        grouped = going.select("set", "n", F.element_at("keys", i + 1).alias("group"))
-        placed = grouped.withColumn("size", F.count("*").over(Window.partitionBy("group"))).filter("size > 1")
+        going = labels.groupBy("label").agg(F.count("*").alias("weight")).withColumnRenamed("label", "set")
+        keyed = sets.select("set", "n", F.element_at("keys", i + 1).alias("group")).join(going, "set")
+        centre = F.max(F.struct("weight", "set")).over(in_group)["set"]
+        placed = keyed.withColumns({"size": F.count("*").over(in_group), "centre": centre}).filter("size > 1")
         place = F.expr(f"(row_number() OVER (PARTITION BY group ORDER BY n, set) - 1) div {BLOCK}")
-        placed = placed.select("set", "group", place.alias("block"))
-        blocks = placed.join(sets.select("set", "n", "tokens"), "set")
+        placed = through_table(placed.withColumn("block", place), "jaccard-blocks")
+        own = placed.filter("set <> centre").select("set", "weight", "group", "block", F.lit(False).alias("central"))
+        centres = own.select("group", "block").distinct().join(
+            placed.filter("set = centre").select("set", "weight", "group", F.lit(True).alias("central")), "group"
+        )
+        members = own.unionByName(centres)
+        blocks = members.join(sets.select("set", "n", "tokens"), "set")
         merged = blocks.groupBy("group", "block").applyInPandas(_merge_block, "set bigint, label bigint").filter("set <> label")
         step = through_table(merged.select(F.col("set").alias("label"), F.col("label").alias("next")), "jaccard-merged")
         labels = labels.join(step, "label", "left").select("set", F.coalesce("next", "label").alias("label"))
