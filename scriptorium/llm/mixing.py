@@ -7,7 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from scriptorium.session import through_table
+
 LARGEST_MEAN = 32
+BROADCAST_BYTES = 32 << 20
 
 
 def uniform(seed: int, *parts: Column) -> Column:
@@ -70,13 +73,18 @@ def mix_sources(
     The number inverts the Poisson distribution of the row's source at a uniform hash of seed, key and
     text, so it does not depend on partitions or retries, and equal rows repeat alike. Rows are dealt to
     ranges of a second hash and sorted by it, which is a uniform shuffle (`shuffle_key`). A missing
-    source is a source of its own; a missing or empty text has size 0, and a source of such texts alone
+    source is a source of its own; the rates of all sources are sent to every task while their measured size is at most
+    `BROADCAST_BYTES`, else joined; a missing or empty text has size 0, and a source of such texts alone
     gives no rows; a missing key counts as an empty string; an empty table gives none. Columns `copy`
     and `shuffle_key` of the input are replaced.
     """
     identity = F.concat_ws(":", F.coalesce(F.col(key).cast("string"), F.lit("")), F.md5(F.coalesce(F.col(text), F.lit(""))))
     rates = repetition_rates(docs, targets, epochs, text, source)
     rates = rates.select(F.col("source").alias("__source"), F.col("draws").alias("__draws"), F.col("cumulative").alias("__cumulative"))
+    rates = through_table(rates, "mixing-rates")
+    width = F.coalesce(F.octet_length("__source"), F.lit(0)) + 8 * F.size("__cumulative") + 64
+    if (rates.agg(F.sum(width)).first()[0] or 0) <= BROADCAST_BYTES:
+        rates = F.broadcast(rates)
     joined = docs.drop("copy", "shuffle_key").join(rates, F.col(source).eqNullSafe(F.col("__source")))
     draw = lambda i: F.size(F.filter("__cumulative", lambda c: c <= uniform(seed, F.col("__identity"), i)))
     copies = F.aggregate(F.sequence(F.lit(1), F.col("__draws")), F.lit(0), lambda n, i: n + draw(i))
