@@ -112,12 +112,15 @@ def _edge_rows(part, row, start, n, names) -> pa.RecordBatch:
 
 
 def _places(rows: DataFrame) -> DataFrame:
-    """Number the documents of each (a, b) along their keys, and mark names `a` with more than one row or `b`."""
+    """Number the documents of each (a, b) along their keys, and mark names `a` with more than one row or `b`.
+
+    Equal rows are one document: those of the least (key, digest) all have place 1 and repeat nothing.
+    """
     by_name = Window.partitionBy("a")
     in_order = Window.partitionBy("a", "b").orderBy("key", "digest")
     marked = rows.select(
         "*",
-        F.row_number().over(in_order).alias("place"),
+        F.rank().over(in_order).alias("place"),
         F.count("*").over(by_name).alias("many"),
         (F.min("b").over(by_name) != F.max("b").over(by_name)).alias("branches"),
     )
@@ -154,7 +157,7 @@ def repeated_runs(docs: DataFrame, window: int = WINDOW, anchor: int = ANCHOR) -
     found = through_table(_places(docs.mapInArrow(to_paths, _EDGE)).drop("many"), "repeated-paths")
     settled = found.filter(F.col("settled") | (F.col("place") > 1))
     branching = found.filter(~F.col("settled") & F.col("branches") & (F.col("place") == 1))
-    asked = branching.groupBy("key", "digest").agg(F.collect_list(F.struct("a", "start", "n")).alias("asked"))
+    asked = branching.groupBy("key", "digest").agg(F.collect_set(F.struct("a", "start", "n")).alias("asked"))
     opened = docs.join(asked, ["key", "digest"]).dropDuplicates(["key", "digest"])
     edges = _places(opened.mapInArrow(to_edges, _EDGE))
     repeated = edges.filter(F.col("settled") | (F.col("place") > 1))
@@ -182,7 +185,7 @@ def covered_words(words: Words, runs: pa.Array, window: int) -> np.ndarray:
 def _with_runs(docs: DataFrame, window: int, anchor: int) -> DataFrame:
     """`docs` (key, digest, text, …) with the array `runs` of each document's repeated windows."""
     runs = repeated_runs(docs.select("key", "digest", "text"), window, anchor)
-    by_document = runs.groupBy("key", "digest").agg(F.collect_list(F.struct("start", "n")).alias("runs"))
+    by_document = runs.groupBy("key", "digest").agg(F.collect_set(F.struct("start", "n")).alias("runs"))
     joined = docs.join(by_document, ["key", "digest"], "left")
     empty = F.array().cast("array<struct<start: int, n: int>>")
     return joined.withColumn("runs", F.coalesce("runs", empty))

@@ -6,7 +6,7 @@ import random
 import pytest
 
 from scriptorium.llm import jaccard, substrings
-from tests.llm.samples import empty, frame, plain, rows
+from tests.llm.samples import SCHEMA, empty, frame, plain, rows
 
 
 def removed(data, k):
@@ -49,6 +49,17 @@ def test_cut_texts_keep_their_other_columns(spark):
     assert len(got) == len(rows())
 
 
+def test_equal_rows_in_different_partitions_are_one_document(spark):
+    own, shared = [f"own{i}" for i in range(50)], [f"both{i}" for i in range(30)]
+    twice, nameless = " ".join(own + shared), " ".join(f"none{i}" for i in range(50))
+    data = [(k, t, "en", "a", 0, "k", 7, "x") for k, t in [(7, twice), (7, twice), (None, nameless), (None, nameless), (9, " ".join(shared))]]
+    docs = spark.createDataFrame(spark.sparkContext.parallelize(data, 5), SCHEMA)
+    assert docs.rdd.getNumPartitions() == 5
+    found = sorted((r.doc_id or 0, r.n_words, r.n_removed) for r in substrings.substring_report(docs).collect())
+    assert found == [(0, 50, 0), (0, 50, 0), (7, 80, 0), (7, 80, 0), (9, 30, 30)]
+    assert sorted(r.text for r in substrings.drop_repeats(docs).collect()) == sorted([twice, twice, nameless, nameless, ""])
+
+
 def test_empty_tables(spark):
     assert substrings.substring_report(empty(spark)).collect() == []
     assert substrings.drop_repeats(empty(spark)).collect() == []
