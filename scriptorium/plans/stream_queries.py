@@ -83,9 +83,15 @@ def stream_parquet_sink(spark, sf_dir):
 @query("stream_console_sink", o.with_ctes("SELECT CAST(count(*) AS BIGINT) AS n_rows FROM messages", o.MESSAGES))
 def stream_console_sink(spark, sf_dir):
     shown = parse_messages(source(spark, sf_dir)).select("id", "true_source", "ingest_time")
-    running = messages.console_sink(shown, None, new_path(spark, "console-checkpoint"), available_now=True)
-    scoring.await_all([running])
-    return scoring.stream_throughput(spark, running).agg(F.sum("n_rows").alias("n_rows"))
+    path, checkpoints = new_path(spark, "console"), new_path(spark, "console-checkpoint")
+    stored = scoring.metered(shown)
+    running = (
+        messages.console_sink(shown, None, f"{checkpoints}/console", available_now=True),
+        messages.parquet_sink(stored, None, path, f"{checkpoints}/parquet", available_now=True),
+    )
+    scoring.await_all(running)
+    batches = scoring.stream_throughput(spark.read.schema(stored.schema).parquet(path))
+    return batches.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
 
 
 @query(
@@ -119,11 +125,13 @@ def stream_vectors(spark, sf_dir):
 
 
 def scored_stream(spark, sf_dir):
-    """The predictions of the saved forest over all messages, and the query that wrote them."""
+    """The predictions of the saved forest over all messages, and the same rows with their batches."""
 
     def build():
         words, forest = _models(spark, sf_dir)
-        return run_to_table(scoring.score_messages(source(spark, sf_dir), words, forest), "predictions")
+        records = scoring.score_messages(source(spark, sf_dir), words, forest)
+        stored, _ = run_to_table(scoring.metered(records), "predictions")
+        return stored.select(records.columns), stored
 
     return built_once(spark, sf_dir, "stream predictions", build)
 
@@ -135,7 +143,7 @@ def stream_score(spark, sf_dir):
 
 @query("stream_throughput")
 def stream_throughput(spark, sf_dir):
-    return scoring.stream_throughput(spark, scored_stream(spark, sf_dir)[1])
+    return scoring.stream_throughput(scored_stream(spark, sf_dir)[1])
 
 
 @query(

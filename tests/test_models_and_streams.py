@@ -109,3 +109,22 @@ def test_only_a_local_session_may_do_without_a_shared_folder():
     assert shared_dir(session("local[2]")) == shared_dir(session("local[2]"))
     with pytest.raises(ValueError, match=CHECKPOINT_KEY):
         shared_dir(session("spark://host:7077"))
+
+
+def test_throughput_has_every_batch_and_the_console_gets_heads_only(spark):
+    arriving, path = new_path(spark, "arriving"), new_path(spark, "metered")
+    spark.range(0, 360, 1, 120).selectExpr("encode(id, 'UTF-8') AS value", "timestamp_seconds(id) AS timestamp").write.parquet(arriving)
+    envelopes = messages.message_stream(spark, "parquet", arriving, maxFilesPerTrigger="1")
+    records = scoring.metered(envelopes)
+    run = messages.parquet_sink(records, None, path, new_path(spark, "ckpt"), available_now=True)
+    scoring.await_all([run])
+    rows = scoring.stream_throughput(spark.read.schema(records.schema).parquet(path)).collect()
+    assert sorted((r.batch_id, r.n_rows) for r in rows) == [(i, 3) for i in range(120)]
+    assert all(r.seconds >= 0 for r in rows)
+    shown = messages.console_sink(
+        messages.message_stream(spark, "parquet", arriving), None, new_path(spark, "ckpt"), rows=2, available_now=True
+    )
+    scoring.await_all([shown])
+    progress = shown.lastProgress
+    tasks = spark.read.parquet(arriving).rdd.getNumPartitions()
+    assert progress["numInputRows"] == 360 and progress["sink"]["numOutputRows"] <= 2 * tasks
