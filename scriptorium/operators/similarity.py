@@ -199,14 +199,16 @@ def document_similarity_variance(
     """Add the variance of each document's known tokens, whatever the size of the word table.
 
     A small table is broadcast and nothing is shuffled. Otherwise words are counted per document,
-    joined with their vectors and streamed through one accumulator per document. Rows that share a key
-    must be copies of each other; one of them is computed for all.
+    joined with their vectors and streamed through one accumulator per document. Documents are known by
+    their tokens, so rows that share a key each get the value of their own tokens.
     """
     if fits_in_memory(vectors, 8 * dims + WORD_BYTES, max_bytes):
         return docs.withColumn(name, token_similarity_variance(vectors, max_bytes)(F.col(tokens)))
 
+    known_by = "__tokens_id"
+    named = docs.withColumn(known_by, F.sha2(F.to_json(tokens), 256))
     counted = (
-        docs.select(F.col(key).alias("key"), F.col(tokens).alias("tokens"))
+        named.select(F.col(known_by).alias("key"), F.col(tokens).alias("tokens"))
         .dropDuplicates(["key"])
         .select("key", F.explode("tokens").alias("word"))
         .groupBy("key", "word")
@@ -219,5 +221,6 @@ def document_similarity_variance(
         max_bytes=max_bytes,
     )
     no_moments = F.lit(None).cast("array<double>").alias("moments")
-    variances = _variance_by_key(known.select("key", "n", "vector", no_moments), dims, key, name)
-    return docs.join(variances, key, "left").withColumn(name, F.coalesce(name, F.lit(0.0).cast("float")))
+    variances = _variance_by_key(known.select("key", "n", "vector", no_moments), dims, known_by, name)
+    joined = named.join(variances, known_by, "left").drop(known_by)
+    return joined.withColumn(name, F.coalesce(name, F.lit(0.0).cast("float")))

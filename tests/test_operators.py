@@ -174,6 +174,17 @@ def test_document_variance_equals_pairwise_form(words, token_docs, max_bytes):
         assert got[key] == pytest.approx(brute_variance([table[w] for w in tokens if w in table]), abs=1e-6)
 
 
+@pytest.mark.parametrize("max_bytes", [1 << 20, 1])
+def test_rows_of_one_key_get_the_variance_of_their_own_tokens(spark, words, max_bytes):
+    table, vec_df = words
+    rows = [["w1", "w2", "w3"], ["w4", "w5", "w6", "w7"], ["w1", "w2", "w3"], None]
+    df = spark.createDataFrame([(1, i, t) for i, t in enumerate(rows)], "doc_id int, place int, tokens array<string>")
+    out = similarity.document_similarity_variance(df, "doc_id", "tokens", vec_df, 6, max_bytes=max_bytes)
+    assert out.columns == ["doc_id", "place", "tokens", "f_embed_variance"]
+    got = {r.place: r.f_embed_variance for r in out.collect()}
+    assert got == {i: pytest.approx(brute_variance([table[w] for w in t or []]), abs=1e-6) for i, t in enumerate(rows)}
+
+
 def test_streaming_lookup_refuses_large_tables(words):
     with pytest.raises(ValueError):
         similarity.token_similarity_variance(words[1], max_bytes=1)
