@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-SAMPLES = 40
+SAMPLES = 64
 RANGES_PER_PARTITION = 8
 _NO_KEY = -(2**63)
 _BLANKS = " \t\n\x0b\f\r"

@@ -66,6 +66,11 @@ def test_fingerprints(spark):
     assert fingerprints.fingerprint_report(empty(spark)).collect() == []
 
 
+def test_default_fingerprints_have_the_samples_judged_above(spark):
+    found = fingerprints.fingerprint_report(frame(spark, rows()[:2])).collect()
+    assert {len(r.fingerprint) for r in found} == {len(r.edited_fingerprint) for r in found} == {8 * 64}
+
+
 def test_language_accuracy_on_held_out_documents(spark, sf_dir):
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     fold = language.fold_of(F.col("doc_id"))
