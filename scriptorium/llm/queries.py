@@ -6,8 +6,23 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptorium.llm import byte_bpe, fingerprints, jaccard, language, licenses, mixing, quality, substrings, token_counts, token_files
+from scriptorium.llm import (
+    byte_bpe,
+    byte_repeats,
+    collocations,
+    fingerprints,
+    jaccard,
+    language,
+    licenses,
+    mixing,
+    periods,
+    quality,
+    substrings,
+    token_counts,
+    token_files,
+)
 from scriptorium.llm.oracles import JACCARD_SQL, LICENSE_SQL, MIXING_SQL, QUALITY_SQL, SUBSTRING_SQL
+from scriptorium.llm.sequence_oracles import BYTE_REPEATS_SQL, COLLOCATIONS_SQL, PERIODS_SQL
 from scriptorium.plans.catalog import query
 from scriptorium.plans.tables import table
 from scriptorium.session import new_path
@@ -74,3 +89,38 @@ def op9_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mixing.mix_sources(docs, epochs=1.0, seed=17)
+
+
+def planted_periods(docs: DataFrame) -> DataFrame:
+    """(doc_id, text): in about a tenth of the texts every word from some place on repeats with a period."""
+    hashed = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.filter(F.split(F.coalesce("text", F.lit("")), "[ \\t-\\r]+"), lambda word: word != "")
+    chosen = docs.select("doc_id", "text", hashed.alias("h")).withColumn("words", F.when(F.col("h") % 10 == 0, words))
+    sized = chosen.withColumn("n", F.size("words")).withColumn("g", F.floor(F.col("h") / 10))
+    placed = sized.withColumn("a", F.when(F.col("n") > 0, F.expr("cast(g % n as int)")))
+    period = placed.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    repeated = F.expr("transform(words, (word, i) -> if(i < a, word, get(words, a + (i - a) % p)))")
+    return period.select("doc_id", F.when(F.col("n") > 0, F.array_join(repeated, " ")).otherwise(F.col("text")).alias("text"))
+
+
+@query("op11_periodic_runs", PERIODS_SQL)
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periods.run_report(periods.collapse_runs(planted_periods(table(spark, sf_dir, "documents"))))
+
+
+@query("op12_collocations", COLLOCATIONS_SQL)
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_byte_repeats", BYTE_REPEATS_SQL)
+def op13_byte_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = byte_repeats.cut_repeated_bytes(table(spark, sf_dir, "documents"))
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda total, span: total + span["length"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
