@@ -16,6 +16,17 @@ MESSAGE_SCHEMA = T.StructType(
         T.StructField("timestamp", T.DoubleType()),
     ]
 )
+# What is kept of a scored message.
+PREDICTION_SCHEMA = T.StructType(
+    [
+        T.StructField("id", T.LongType()),
+        T.StructField("true_source", T.StringType()),
+        T.StructField("text_preview", T.StringType()),
+        T.StructField("predicted_label", T.IntegerType()),
+        T.StructField("predicted_class", T.StringType()),
+        T.StructField("ingest_time", T.TimestampType()),
+    ]
+)
 # What a message source delivers: the subset of the Kafka columns that is read.
 ENVELOPE_SCHEMA = T.StructType(
     [T.StructField("value", T.BinaryType()), T.StructField("timestamp", T.TimestampType())]
@@ -53,7 +64,7 @@ def predicted_class(prediction: Column) -> Column:
 
 
 def prediction_record(scored: DataFrame) -> DataFrame:
-    """The columns kept of a scored message."""
+    """The columns of PREDICTION_SCHEMA from a scored message."""
     prediction = F.col("prediction")
     return scored.select(
         "id",

@@ -12,12 +12,13 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from scriptorium.functions.messages import PREDICTION_SCHEMA
 from scriptorium.functions.stylometry import with_clean_text, with_style_counts
 from scriptorium.operators import classifiers, corpus_stats, reshape, sampling, vectors
 from scriptorium.session import build_session
 from scriptorium.sources import files, messages
 from scriptorium.sources import models as store
-from scriptorium.streaming import scoring
+from scriptorium.streaming import ledger, scoring
 
 KEY = "doc_key"
 _TRAINING_COLUMNS = (KEY, "label", *vectors.STYLE_COLUMNS, "w2v_features")
@@ -79,10 +80,11 @@ def count_words(spark: SparkSession, cleaned: str, exported: str, counts: str) -
 def features(spark: SparkSession, cleaned: str, table: str, models: str, reports: str) -> None:
     """Style counts, term weights, word vectors and similarity variance, with the fitted models."""
     styled = with_style_counts(files.read_parquet(spark, cleaned))
-    complete, terms, words = vectors.full_feature_table(styled, KEY)
+    complete, terms, model, words = vectors.full_feature_table(styled)
     files.write_parquet(complete, table)
     store.save_model(terms, f"{models}/terms")
-    store.save_model(words, f"{models}/words")
+    store.save_model(model, f"{models}/words")
+    files.write_parquet(words, f"{models}/word_table")
     stored = files.read_parquet(spark, table, complete.schema)
     names = {c.removeprefix("f_"): c for c in vectors.STYLE_COLUMNS[:5]}
     files.write_csv(corpus_stats.feature_summary(stored, "label", names), f"{reports}/style_by_label")
@@ -148,13 +150,17 @@ def score_stream(
         source = messages.message_stream(spark, "kafka", **messages.kafka_options(servers, topic))
     else:
         source = messages.message_stream(spark, "parquet", inbox)
-    words, best = store.load_word_vectors(f"{models}/words"), store.load_pipeline(f"{models}/best")
-    records = scoring.score_messages(source, words, best)
-    scoring.await_all(scoring.dual_sink(records, "predictions", predictions, checkpoints, available_now=not servers))
+    words = files.read_parquet(spark, f"{models}/word_table")
+    compute = scoring.scorer(words, store.load_pipeline(f"{models}/best"))
+    run = ledger.ledger_sink(source, compute, predictions, f"{checkpoints}/scores", "predictions", available_now=not servers)
+    scoring.await_all([run])
 
 
 def stream_accuracy(spark: SparkSession, predictions: str, reports: str) -> None:
-    files.write_csv(scoring.stream_accuracy(files.read_parquet(spark, predictions)), f"{reports}/stream_accuracy")
+    """Accuracy and throughput of a scored stream, as CSV tables."""
+    records = ledger.read_records(spark, predictions, PREDICTION_SCHEMA)
+    files.write_csv(scoring.stream_accuracy(records), f"{reports}/stream_accuracy")
+    files.write_csv(ledger.throughput(ledger.read_ledger(spark, predictions)), f"{reports}/stream_throughput")
 
 
 STAGES: dict[str, Callable] = {

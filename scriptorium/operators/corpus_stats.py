@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions.profiles import UNICODE_BLANKS
 from scriptorium.functions.text import bigrams, clean_words, ml_tokenize, word_count
+from scriptorium.operators.heavy_hitters import HELD_ITEMS, leading_items
 from scriptorium.operators.reshape import nonempty_clean_filter
 
 
@@ -119,18 +120,17 @@ def word_frequency(df: DataFrame, text: str = "text_clean") -> DataFrame:
     return words_of(df, text).groupBy("word").agg(F.count("*").alias("n"))
 
 
-def top_words(df: DataFrame, n: int = 20) -> DataFrame:
-    return word_frequency(df).orderBy(F.desc("n"), "word").limit(n)
+def top_words(df: DataFrame, n: int = 20, held: int = HELD_ITEMS) -> DataFrame:
+    """The leading words with their exact counts; see `leading_items`."""
+    words = df.select(clean_words("text_clean").alias("words"))
+    return leading_items(words, "words", n, held=held).orderBy("rank").select(F.col("item").alias("word"), "n")
 
 
-def bigram_frequency(df: DataFrame) -> DataFrame:
+def top_bigrams(df: DataFrame, n: int = 10, held: int = HELD_ITEMS) -> DataFrame:
+    """The leading bigrams with their exact counts; see `leading_items`."""
     tokens = nonempty_clean_filter(df).select(ml_tokenize("text_clean").alias("tokens"))
-    pairs = tokens.select(F.explode(bigrams("tokens")).alias("bigram")).filter(F.col("bigram") != "")
-    return pairs.groupBy("bigram").agg(F.count("*").alias("n"))
-
-
-def top_bigrams(df: DataFrame, n: int = 10) -> DataFrame:
-    return bigram_frequency(df).orderBy(F.desc("n"), "bigram").limit(n)
+    pairs = tokens.select(F.filter(bigrams("tokens"), lambda pair: pair != "").alias("bigrams"))
+    return leading_items(pairs, "bigrams", n, held=held).orderBy("rank").select(F.col("item").alias("bigram"), "n")
 
 
 def delimited_word_count(table: DataFrame, column: str = "text_clean", position: int = 4) -> DataFrame:
@@ -169,7 +169,7 @@ def word_count_crosscheck(left: DataFrame, right: DataFrame) -> DataFrame:
     )
 
 
-def class_word_weights(df: DataFrame, n: int = 200, documents: int | None = None, order: str = "doc_id") -> DataFrame:
+def class_word_weights(df: DataFrame, n: int = 200, documents: int | None = None, order: str = "doc_id", held: int = HELD_ITEMS) -> DataFrame:
     """The `n` leading words of humans and of machines with their weight relative to the leader.
 
     With `documents`, each class is first reduced to that many documents in key order.
@@ -181,13 +181,10 @@ def class_word_weights(df: DataFrame, n: int = 200, documents: int | None = None
             tagged.filter(F.col("class") == "human").orderBy(order).limit(documents)
             .unionByName(tagged.filter(F.col("class") == "ai").orderBy(order).limit(documents))
         )
-    counts = words_of(tagged, keep=("class",)).groupBy("class", "word").agg(F.count("*").alias("n"))
-    ranked = Window.partitionBy("class").orderBy(F.desc("n"), "word")
-    return (
-        counts.withColumn("rank", F.row_number().over(ranked))
-        .filter(F.col("rank") <= n)
-        .withColumn("weight", F.col("n") / F.max("n").over(Window.partitionBy("class")))
-    )
+    words = tagged.select("class", clean_words("text_clean").alias("words"))
+    leading = leading_items(words, "words", n, by="class", held=held)
+    named = leading.select(F.col("group").alias("class"), F.col("item").alias("word"), "n", "rank")
+    return named.withColumn("weight", F.col("n") / F.max("n").over(Window.partitionBy("class")))
 
 
 def feature_summary(

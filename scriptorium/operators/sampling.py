@@ -50,7 +50,7 @@ def fraction_sample_by_key(df: DataFrame, key: str, percent: int) -> DataFrame:
 
 
 def _quota_cut(df: DataFrame, label: str, key: str, quota: DataFrame) -> DataFrame:
-    """Per label, the (hash, key) of the row that fills the quota.
+    """Per label, the (hash, key) of the row that fills the quota, and how many rows of that key it takes.
 
     `quota` has (label, quota). Counting rows per leading hash bits finds the one bucket in which the
     quota is reached; only that bucket, a 2^-16 share of a class, is ranked.
@@ -69,26 +69,37 @@ def _quota_cut(df: DataFrame, label: str, key: str, quota: DataFrame) -> DataFra
         .select(label, "__coarse", (F.col("quota") - F.col("__upto") + F.col("__n")).alias("__rank"))
     )
     fine = Window.partitionBy(label, "__coarse").orderBy("__hash", "__key")
-    return (
-        rows.join(F.broadcast(reached), [label, "__coarse"])
-        .withColumn("__row", F.row_number().over(fine))
-        .filter(F.col("__row") == F.col("__rank"))
-        .select(label, F.struct("__hash", "__key").alias("__cut"))
+    keys = rows.join(F.broadcast(reached), [label, "__coarse"]).groupBy(label, "__coarse", "__hash", "__key", "__rank").agg(F.count("*").alias("__n"))
+    counted = keys.withColumn("__upto", F.sum("__n").over(fine))
+    need = F.col("__rank") - F.col("__upto") + F.col("__n")
+    return counted.filter((F.col("__upto") >= F.col("__rank")) & (need > 0)).select(
+        label, F.struct("__hash", "__key").alias("__cut"), need.alias("__need")
     )
 
 
-def _up_to_cut(df: DataFrame, label: str, key: str, quota: DataFrame) -> tuple[DataFrame, F.Column]:
-    """`df` with its class cut attached (one broadcast row per class), and the test for being within it."""
+def _at_quota(df: DataFrame, label: str, key: str, quota: DataFrame) -> DataFrame:
+    """`df` with `__within`: whether a row is among the first of its class that make up the quota.
+
+    One broadcast row per class tells rows below and above the cut apart, without a shuffle. Only the rows of
+    the one key that lies on the cut are gathered, equal rows as one with their number, and divided.
+    """
     cut = _quota_cut(df, label, key, quota)
     marked = df.join(F.broadcast(cut), label, "left")
     mine = F.struct(key_hash(key).alias("__hash"), F.col(key).alias("__key"))
-    return marked, mine <= F.col("__cut")
+    on_cut = F.coalesce(mine == F.col("__cut"), F.lit(False))
+    clear = marked.filter(~on_cut).select(*df.columns, (mine < F.col("__cut")).alias("__within"))
+    equal = marked.filter(on_cut).groupBy(*df.columns, "__need").agg(F.count("*").alias("__n"))
+    along = Window.partitionBy(label).orderBy(F.xxhash64(*df.columns), *df.columns).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    divided = equal.withColumn("__left", F.col("__need") - F.sum("__n").over(along) + F.col("__n"))
+    each = divided.withColumn("__nth", F.explode(F.sequence(F.lit(1).cast("bigint"), "__n")))
+    return clear.unionByName(each.select(*df.columns, (F.col("__nth") <= F.col("__left")).alias("__within")))
 
 
 def stratified_fixed_sample(df: DataFrame, label: str, key: str, sizes: dict[int, int]) -> DataFrame:
-    """Exactly ``sizes[label]`` rows of each class, or the whole class where it is smaller.
+    """Exactly ``sizes[label]`` rows of each class, or the whole class where it is smaller, also if keys repeat.
 
-    The rows themselves are not shuffled: each class contributes one threshold.
+    The rows themselves are not shuffled: each class contributes one threshold. Which of several rows of
+    the key on the threshold are taken depends on their content alone.
     """
     wanted = F.create_map(*(F.lit(x) for pair in sizes.items() for x in pair))
     quota = (
@@ -97,16 +108,15 @@ def stratified_fixed_sample(df: DataFrame, label: str, key: str, sizes: dict[int
         .agg(F.count("*").alias("__n"))
         .select(label, F.least(F.col("__n"), wanted[F.col(label)].cast("bigint")).alias("quota"))
     )
-    marked, within = _up_to_cut(df, label, key, quota)
-    return marked.filter(within).drop("__cut")
+    return _at_quota(df, label, key, quota).filter("__within").drop("__within")
 
 
 def stratified_holdout(
     df: DataFrame, label: str, key: str, train_percent: int = 70, name: str = "split"
 ) -> DataFrame:
-    """Tag an exact share of every class train and the rest test."""
+    """Tag an exact share of every class train and the rest test, also if keys repeat."""
     quota = df.groupBy(label).agg(
         F.floor(F.count("*") * F.lit(train_percent) / 100).cast("bigint").alias("quota")
     )
-    marked, within = _up_to_cut(df, label, key, quota)
-    return marked.withColumn(name, F.when(within, "train").otherwise("test")).drop("__cut")
+    marked = _at_quota(df, label, key, quota)
+    return marked.withColumn(name, F.when(F.col("__within"), "train").otherwise("test")).drop("__within")

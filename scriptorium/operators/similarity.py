@@ -11,21 +11,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from scriptorium.plans.bounds import BROADCAST_BYTES, WORD_BYTES, fits_in_memory, join_words
+from scriptorium.operators.word_moments import unit_rows
 
 _HELD_DOUBLES = 4 * 1024 * 1024
 
 
-def _unit(vectors: np.ndarray) -> np.ndarray:
-    """Rows scaled to length one; zero rows stay zero."""
-    norms = np.linalg.norm(vectors, axis=1, keepdims=True)
-    return vectors / np.where(norms == 0, 1.0, norms)
-
-
 def _moments(unit: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """[N, sum c|u|^2, sum c|u|^4, S, upper triangle of G], off-diagonals scaled so squares give |G|^2."""
     squares = np.einsum("ij,ij->i", unit, unit)
@@ -47,21 +40,6 @@ def _variance(moments: np.ndarray, dims: int) -> float:
     return max(second - first * first, 0.0)
 
 
-def _row_variance(unit: np.ndarray, counts: np.ndarray) -> float:
-    """Variance for one small group, by word pairs or by the moment form, whichever is less work."""
-    n = counts.sum()
-    if n < 2:
-        return 0.0
-    if len(unit) > unit.shape[1]:
-        return _variance(_moments(unit, counts), unit.shape[1])
-    pairs = n * (n - 1) / 2
-    sims = unit @ unit.T
-    squares = np.diag(sims)
-    first = (counts @ sims @ counts - counts @ squares) / 2 / pairs
-    second = (counts @ (sims * sims) @ counts - counts @ squares**2) / 2 / pairs
-    return max(second - first * first, 0.0)
-
-
 def _finish(dims: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
     """Rows (key, n, vector, moments) sorted by key to (key, variance), one accumulator at a time.
 
@@ -72,7 +50,7 @@ def _finish(dims: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFra
         parts = [m for m in batch["moments"] if m is not None]
         vectors = batch[batch["vector"].notna()]
         if len(vectors):
-            parts.append(_moments(_unit(np.stack(vectors["vector"].to_numpy())), vectors["n"].to_numpy("float64")))
+            parts.append(_moments(unit_rows(np.stack(vectors["vector"].to_numpy())), vectors["n"].to_numpy("float64")))
         return np.sum(parts, axis=0)
 
     def finish(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -126,7 +104,7 @@ def group_similarity_variance(
         for batch in batches:
             if not len(batch):
                 continue
-            unit = _unit(np.stack(batch["vector"].to_numpy()))
+            unit = unit_rows(np.stack(batch["vector"].to_numpy()))
             sent = np.zeros(len(batch), dtype=bool)
             for value, rows in batch.groupby("key", sort=False).indices.items():
                 if value not in held and len(rows) * dims < width:
@@ -152,75 +130,3 @@ def group_similarity_variance(
         smaller_form, f"key {key_type}, n bigint, vector array<double>, moments array<double>"
     )
     return _variance_by_key(parts, dims, key, name)
-
-
-def token_similarity_variance(vectors: DataFrame, max_bytes: int = BROADCAST_BYTES) -> Callable[[Column], Column]:
-    """A column function over token arrays that looks words up in a broadcast (word, vector) table.
-
-    Works row by row, so it serves streams as well as tables. The word table is checked to be small
-    before it is gathered; see `document_similarity_variance` for larger ones.
-    """
-    dims = vectors.select(F.size(vector_to_array("vector"))).first()
-    row_bytes = 8 * (dims[0] if dims else 1) + WORD_BYTES
-    if not fits_in_memory(vectors, row_bytes, max_bytes):
-        raise ValueError("the word table is too large to broadcast; use document_similarity_variance")
-    table = vectors.select("word", vector_to_array("vector").alias("vector")).toPandas()
-    places = {word: i for i, word in enumerate(table["word"])}
-    unit = _unit(np.stack(table["vector"].to_numpy())) if len(table) else np.zeros((0, 1))
-    shared = vectors.sparkSession.sparkContext.broadcast((places, unit))
-
-    @F.pandas_udf("float")
-    def variance(tokens: pd.Series) -> pd.Series:
-        places, unit = shared.value
-
-        def one(words) -> float:
-            if words is None or len(words) < 2:
-                return 0.0
-            known = [places[w] for w in words if w in places]
-            if len(known) < 2:
-                return 0.0
-            distinct, counts = np.unique(np.asarray(known), return_counts=True)
-            return _row_variance(unit[distinct], counts.astype("float64"))
-
-        return tokens.map(one, na_action=None).astype("float32")
-
-    return variance
-
-
-def document_similarity_variance(
-    docs: DataFrame,
-    key: str,
-    tokens: str,
-    vectors: DataFrame,
-    dims: int,
-    name: str = "f_embed_variance",
-    max_bytes: int = BROADCAST_BYTES,
-) -> DataFrame:
-    """Add the variance of each document's known tokens, whatever the size of the word table.
-
-    A small table is broadcast and nothing is shuffled. Otherwise words are counted per document,
-    joined with their vectors and streamed through one accumulator per document. Documents are known by
-    their tokens, so rows that share a key each get the value of their own tokens.
-    """
-    if fits_in_memory(vectors, 8 * dims + WORD_BYTES, max_bytes):
-        return docs.withColumn(name, token_similarity_variance(vectors, max_bytes)(F.col(tokens)))
-
-    known_by = "__tokens_id"
-    named = docs.withColumn(known_by, F.sha2(F.to_json(tokens), 256))
-    counted = (
-        named.select(F.col(known_by).alias("key"), F.col(tokens).alias("tokens"))
-        .dropDuplicates(["key"])
-        .select("key", F.explode("tokens").alias("word"))
-        .groupBy("key", "word")
-        .agg(F.count("*").alias("n"))
-    )
-    known = join_words(
-        counted,
-        vectors.select("word", vector_to_array("vector").alias("vector")),
-        8 * dims + WORD_BYTES,
-        max_bytes=max_bytes,
-    )
-    no_moments = F.lit(None).cast("array<double>").alias("moments")
-    variances = _variance_by_key(known.select("key", "n", "vector", no_moments), dims, known_by, name)
-    joined = named.join(variances, known_by, "left").drop(known_by)
-    return joined.withColumn(name, F.coalesce(name, F.lit(0.0).cast("float")))

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions.text import ml_tokenize
 from scriptorium.operators.reshape import nonempty_clean_filter
-from scriptorium.operators.similarity import document_similarity_variance
+from scriptorium.operators.word_moments import with_word_moments, word_table
 from scriptorium.plans.bounds import WORD_BYTES, join_words
 from scriptorium.session import through_table
 
@@ -39,6 +39,8 @@ MIN_COUNT = 3
 HASH_FEATURES = 10_000
 MIN_DOC_FREQ = 5
 SEED = 42
+# Our own choice: how many tokens one task trains on.
+TOKENS_PER_TASK = 500_000
 
 
 def word2vec_fit(
@@ -52,9 +54,13 @@ def word2vec_fit(
 ) -> Word2VecModel:
     """Fit word vectors. `partitions` tasks train side by side and are averaged per iteration.
 
-    The default follows the cluster's parallelism: a single partition would train in one task.
+    Unless given, their number follows the tokens of the corpus, and texts are dealt out and ordered by their
+    content, so the vectors do not depend on the cluster. The vocabulary is held by the driver, as MLlib does.
     """
-    partitions = partitions or docs.sparkSession.sparkContext.defaultParallelism
+    texts = docs.select(tokens)
+    if not partitions:
+        total = texts.agg(F.sum(F.size(tokens).cast("bigint"))).first()[0] or 0
+        partitions = max(1, -(-total // TOKENS_PER_TASK))
     return Word2Vec(
         vectorSize=vector_size,
         minCount=min_count,
@@ -62,7 +68,7 @@ def word2vec_fit(
         inputCol=tokens,
         outputCol=output,
         seed=seed,
-    ).fit(docs)
+    ).fit(texts.repartition(partitions, tokens).sortWithinPartitions(tokens))
 
 
 def word_counts_per_document(docs: DataFrame, key: str, tokens: str) -> DataFrame:
@@ -74,24 +80,14 @@ def word_counts_per_document(docs: DataFrame, key: str, tokens: str) -> DataFram
     )
 
 
-def mean_word_vector(docs: DataFrame, key: str, tokens: str, vectors: DataFrame, dims: int) -> DataFrame:
-    """(key, n_tokens, mean_vector): vectors of known tokens summed, divided by the count of all tokens.
+def mean_word_vector(docs: DataFrame, key: str, tokens: str, words: DataFrame, dims: int) -> DataFrame:
+    """(key, n_tokens, mean_vector) of every row: vectors of known tokens summed, divided by the count of all tokens.
 
-    Partitioning by the key once serves both aggregations: the word counts and, as long as the word
-    table is broadcast, the sums. No vector is shuffled then.
+    `words` is a stored table (word, vector); see `with_word_moments`.
     """
-    counted = word_counts_per_document(docs.select(key, tokens).repartition(key), key, tokens)
-    arrays = vectors.select("word", vector_to_array("vector").alias("vector"))
-    joined = join_words(counted, arrays, 8 * dims + WORD_BYTES, how="left")
-    summed = joined.groupBy(key).agg(
-        F.sum("n").alias("n_tokens"),
-        *(F.sum(F.col("n") * F.get("vector", F.lit(i))).alias(f"total_{i}") for i in range(dims)),
-    )
-    mean = [
-        F.when(F.col("n_tokens") > 0, F.coalesce(F.col(f"total_{i}") / F.col("n_tokens"), F.lit(0.0))).otherwise(0.0)
-        for i in range(dims)
-    ]
-    return summed.select(key, "n_tokens", F.array(*mean).alias("mean_vector"))
+    moments = with_word_moments(docs.select(key, tokens), tokens, words, dims, mean="mean_vector")
+    n_tokens = F.coalesce(F.size(tokens), F.lit(0)).cast("bigint").alias("n_tokens")
+    return moments.select(key, n_tokens, vector_to_array("mean_vector").alias("mean_vector"))
 
 
 def hashing_tf(
@@ -115,9 +111,12 @@ def term_idf(counts: DataFrame, documents: Column, min_doc_freq: int = MIN_DOC_F
 
 
 def tfidf_terms(docs: DataFrame, key: str, tokens: str, min_doc_freq: int = MIN_DOC_FREQ) -> DataFrame:
-    """(key, word, tf, idf, tfidf): term weights without hashing."""
-    counts = word_counts_per_document(docs, key, tokens).filter(F.col("word").isNotNull())
-    idf = through_table(term_idf(counts, F.lit(docs.count()), min_doc_freq).select("word", "idf"), "idf")
+    """(key, word, tf, idf, tfidf): term weights without hashing. The counts are stored and read twice."""
+    counted = word_counts_per_document(docs, key, tokens)
+    counts = through_table(counted, "term-counts")
+    documents = F.lit(docs.count())
+    counts = counts.filter(F.col("word").isNotNull())
+    idf = through_table(term_idf(counts, documents, min_doc_freq).select("word", "idf"), "idf")
     weighted = join_words(counts, idf, 8 + WORD_BYTES)
     return weighted.select(key, "word", F.col("n").alias("tf"), "idf", (F.col("n") * F.col("idf")).alias("tfidf"))
 
@@ -165,19 +164,17 @@ def embedding_features(
 
 
 def full_feature_table(
-    styled: DataFrame, key: str, partitions: int | None = None
-) -> tuple[DataFrame, PipelineModel, Word2VecModel]:
-    """Style columns to the full feature table, with the fitted term and word-vector models.
+    styled: DataFrame, partitions: int | None = None
+) -> tuple[DataFrame, PipelineModel, Word2VecModel, DataFrame]:
+    """Style columns to the full feature table, with the term model, the word model and the stored word table.
 
     Word vectors are fitted once and serve both the document vectors and the variance feature. The
-    cleaned rows are stored first, as every fit reads them again.
+    cleaned rows are stored first, as every fit reads them again. Rows need no label.
     """
     docs = through_table(nonempty_clean_filter(styled), "styled")
+    tokenized = docs.withColumn("tokens_w2v", ml_tokenize("text_clean"))
+    word_model = word2vec_fit(tokenized, "tokens_w2v", partitions=partitions)
+    words = word_table(word_model.getVectors())
+    complete = with_word_moments(tokenized, "tokens_w2v", words, word_model.getVectorSize()).drop("tokens_w2v")
     tfidf = tfidf_fit(docs)
-    weighted = tfidf.transform(docs).withColumn("tokens_w2v", ml_tokenize("text_clean"))
-    word_model = word2vec_fit(weighted, "tokens_w2v", partitions=partitions)
-    with_vectors = word_model.transform(weighted)
-    complete = document_similarity_variance(
-        with_vectors, key, "tokens_w2v", word_model.getVectors(), word_model.getVectorSize()
-    )
-    return complete.drop("words", "raw_features", "tokens_w2v"), tfidf, word_model
+    return tfidf.transform(complete).drop("words", "raw_features"), tfidf, word_model, words

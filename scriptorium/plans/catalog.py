@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -24,3 +25,14 @@ def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
         return fn
 
     return register
+
+
+_BUILT: dict[tuple[str, str, str], Any] = {}
+
+
+def built_once(spark: SparkSession, sf_dir: str, name: str, build: Callable[[], Any]) -> Any:
+    """Fitted models and stored tables are shared by the queries of one application."""
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _BUILT:
+        _BUILT[key] = build()
+    return _BUILT[key]

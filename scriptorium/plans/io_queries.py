@@ -14,7 +14,7 @@ from scriptorium.plans import tables as t
 from scriptorium.plans.catalog import query
 from scriptorium.plans.text_queries import PAYLOAD, payload
 from scriptorium.session import new_path
-from scriptorium.sources import files
+from scriptorium.sources import files, split_csv
 from scriptorium.sources.messages import send_payload
 
 _EXPORT_COLUMNS = ("source", "label", "generation_method", "char_count", "text_clean")
@@ -24,7 +24,7 @@ _EXPORT_COLUMNS = ("source", "label", "generation_method", "char_count", "text_c
 def csv_scan_multiline(spark, sf_dir):
     path = new_path(spark, "documents-csv")
     files.write_csv(t.table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), path)
-    return files.read_csv_multiline(spark, path)
+    return split_csv.read_csv_in_parts(spark, path)
 
 
 @query("parquet_scan", "SELECT doc_id, source, n_chars FROM documents")

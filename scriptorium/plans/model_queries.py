@@ -2,32 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from typing import Any
-
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from scriptorium.functions.text import ml_tokenize
 from scriptorium.operators import classifiers as c
 from scriptorium.operators import sampling, vectors
+from scriptorium.operators.word_moments import word_table
 from scriptorium.plans import oracle_sql as o
 from scriptorium.plans import tables as t
-from scriptorium.plans.catalog import query
+from scriptorium.plans.catalog import built_once, query
 from scriptorium.session import new_path, through_table
 from scriptorium.sources import models as store
 
-_BUILT: dict[tuple[str, str, str], Any] = {}
-
-
-def built_once(spark, sf_dir: str, name: str, build: Callable[[], Any]) -> Any:
-    """Fitted models and stored tables are shared by the queries of one application."""
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _BUILT:
-        _BUILT[key] = build()
-    return _BUILT[key]
-
-
 def stored_corpus(spark, sf_dir):
     """(doc_id, text_clean) of the cleaned corpus as a table, since fitting reads it several times."""
 
@@ -47,18 +34,19 @@ def corpus_word_model(spark, sf_dir):
 
 
 def feature_table(spark, sf_dir):
-    """The labelled documents with all features, stored, and the term and word models behind them."""
+    """All documents with all features, stored, and the term model, word model and word table behind them."""
 
     def build():
-        complete, terms, words = vectors.full_feature_table(t.labelled_documents(spark, sf_dir), "doc_id")
+        complete, terms, model, words = vectors.full_feature_table(t.feature_documents(spark, sf_dir))
         tagged = sampling.stratified_split(complete, "doc_id")
-        return through_table(tagged, "features"), terms, words
+        return through_table(tagged, "features"), terms, model, words
 
     return built_once(spark, sf_dir, "features", build)
 
 
 def split_of(spark, sf_dir, name):
-    return feature_table(spark, sf_dir)[0].filter(F.col("split") == name)
+    """The labelled rows of a split: classifiers are fitted and judged on these alone."""
+    return feature_table(spark, sf_dir)[0].filter((F.col("split") == name) & F.col("label").isNotNull())
 
 
 def fitted(spark, sf_dir, name):
@@ -66,8 +54,20 @@ def fitted(spark, sf_dir, name):
     return built_once(spark, sf_dir, name, lambda: c.train(split_of(spark, sf_dir, "train"), estimator))
 
 
-def _scored(df):
-    return c.with_positive_score(df).select("doc_id", "label", "prediction", F.round("score", 6).alias("score"))
+def _judged(df, *columns):
+    """Each row's key and label, and whether its prediction follows from a score between 0 and 1."""
+    decided = (F.col("prediction") == (F.col("score") > 0.5).cast("double")) & F.col("score").between(0, 1)
+    return c.with_positive_score(df).select(*columns, decided.cast("int").alias("decided"))
+
+
+_SPLIT = f"{o.hash32('doc_id')} % 100"
+_FEATURES = (
+    f"{o.FEATURES}, split_features AS (SELECT *, CASE WHEN {_SPLIT} < 70 THEN 'train' WHEN {_SPLIT} < 85 THEN 'validation' "
+    "ELSE 'test' END AS split FROM features)"
+)
+_VALIDATED = o.with_ctes(
+    "SELECT doc_id, label, CAST(1 AS INTEGER) AS decided FROM split_features WHERE split = 'validation' AND label IS NOT NULL", _FEATURES
+)
 
 
 _TERM_TOKENS = f"tokens AS (SELECT doc_id, unnest({o.ml_tokens('text_clean')}) AS word FROM clean)"
@@ -111,7 +111,7 @@ _DOC_VECTORS = (
 
 def document_vectors(spark, sf_dir):
     """(doc_id, n_tokens, mean_vector) over the word vectors derived from the embeddings table."""
-    words = through_table(t.word_vectors(spark, sf_dir, stored_corpus(spark, sf_dir)), "word-vectors")
+    words = word_table(t.word_vectors(spark, sf_dir, stored_corpus(spark, sf_dir)))
     return vectors.mean_word_vector(tokenized_corpus(spark, sf_dir), "doc_id", "tokens", words, t.VECTOR_DIMS)
 
 
@@ -129,22 +129,23 @@ def word2vec_document(spark, sf_dir):
     )
 
 
-@query(
-    "hashing_tf",
-    o.with_ctes(
-        "SELECT doc_id, CAST(count(*) AS DOUBLE) AS total_tf, 10000 AS n_features FROM tokens GROUP BY doc_id",
-        o.CLEAN,
-        _TERM_TOKENS,
-    ),
+_SLOTS = (
+    f"slots AS (SELECT word, CAST({o.hash_slot('word', 10_000)} AS INTEGER) AS slot FROM (SELECT DISTINCT word FROM tokens)), "
+    "slot_counts AS (SELECT doc_id, slot, count(*)::DOUBLE AS tf FROM tokens JOIN slots USING (word) GROUP BY ALL)"
 )
+
+
+def _entries(df, column, *names):
+    """One row per entry of a sparse vector that is not zero; the vector is never written out in full."""
+    stored = F.unwrap_udt(column)
+    entries = F.explode(F.arrays_zip(stored.getField("indices").alias("slot"), stored.getField("values").alias("value")))
+    return df.select(*names, entries.alias("entry")).select(*names, F.col("entry.slot").alias("slot"), F.col("entry.value").alias("value"))
+
+
+@query("hashing_tf", o.with_ctes("SELECT doc_id, slot, tf FROM slot_counts", o.CLEAN, _TERM_TOKENS, _SLOTS))
 def hashing_tf(spark, sf_dir):
     counted = vectors.hashing_tf(tokenized_corpus(spark, sf_dir), "tokens")
-    dense = vector_to_array("raw_features")
-    return counted.select(
-        "doc_id",
-        F.aggregate(dense, F.lit(0.0), lambda a, x: a + x).alias("total_tf"),
-        F.size(dense).alias("n_features"),
-    )
+    return _entries(counted, "raw_features", "doc_id").withColumnRenamed("value", "tf")
 
 
 _IDF = (
@@ -178,20 +179,21 @@ def tfidf_terms(spark, sf_dir):
     return terms.withColumns({name: F.round(name, 6) for name in ("idf", "tfidf")})
 
 
-@query("tfidf_fit")
+@query(
+    "tfidf_fit",
+    o.with_ctes(
+        "SELECT doc_id, slot, round(tf * CASE WHEN n_docs >= 5 THEN ln(((SELECT count(*) FROM clean) + 1) / (n_docs + 1)) ELSE 0 END, 6) AS weight "
+        "FROM (SELECT *, count(*) OVER (PARTITION BY slot) AS n_docs FROM slot_counts)",
+        o.CLEAN,
+        _TERM_TOKENS,
+        _SLOTS,
+    ),
+)
 def tfidf_fit(spark, sf_dir):
-    """Tokenizer, hashing and IDF fitted together; per document the size and total of its weights."""
+    """Tokenizer, hashing and IDF fitted together; the weight of every slot that a document's terms fall into."""
     docs = stored_corpus(spark, sf_dir)
-    weights = vector_to_array("tfidf_features")
-    return (
-        vectors.tfidf_fit(docs)
-        .transform(docs)
-        .select(
-            "doc_id",
-            F.size(F.filter(weights, lambda x: x != 0)).alias("n_weighted"),
-            F.round(F.aggregate(weights, F.lit(0.0), lambda a, x: a + x), 6).alias("total_weight"),
-        )
-    )
+    weighted = vectors.tfidf_fit(docs).transform(docs)
+    return _entries(weighted, "tfidf_features", "doc_id").select("doc_id", "slot", F.round("value", 6).alias("weight"))
 
 
 _SCALARS = ("f_diacritics", "f_colons", "f_particles", "f_first_person", "char_count", "word_count")
@@ -256,37 +258,47 @@ def embedding_features(spark, sf_dir):
     return features.select("doc_id", F.size("embedding").alias("n_dims"), F.round(total, 6).alias("total"))
 
 
-@query("full_feature_table")
+@query(
+    "full_feature_table",
+    o.with_ctes(
+        f"SELECT doc_id, label, split, {', '.join(_SCALARS)}, CAST(100 AS INTEGER) AS w2v_dims, CAST(10000 AS INTEGER) AS tfidf_dims, "
+        "CAST(1 AS INTEGER) AS bounded FROM split_features",
+        _FEATURES,
+    ),
+)
 def full_feature_table(spark, sf_dir):
+    """All columns that SQL can repeat; `bounded` tells that the variance lies between 0 and 1, as cosines allow."""
     features = feature_table(spark, sf_dir)[0]
     return features.select(
         "doc_id",
         "label",
         "split",
-        *vectors.STYLE_COLUMNS,
+        *_SCALARS,
         F.size(vector_to_array("w2v_features")).alias("w2v_dims"),
-        F.size(vector_to_array("tfidf_features")).alias("tfidf_dims"),
+        F.unwrap_udt("tfidf_features").getField("size").alias("tfidf_dims"),
+        F.col("f_embed_variance").between(0, 1).cast("int").alias("bounded"),
     )
 
 
-@query("train_logistic_regression")
+@query("train_logistic_regression", _VALIDATED)
 def train_logistic_regression(spark, sf_dir):
-    return _scored(c.batch_score(fitted(spark, sf_dir, c.LOGISTIC_REGRESSION), split_of(spark, sf_dir, "validation")))
+    return _judged(c.batch_score(fitted(spark, sf_dir, c.LOGISTIC_REGRESSION), split_of(spark, sf_dir, "validation")), "doc_id", "label")
 
 
-@query("train_random_forest")
+@query("train_random_forest", _VALIDATED)
 def train_random_forest(spark, sf_dir):
-    return _scored(c.batch_score(fitted(spark, sf_dir, c.RANDOM_FOREST), split_of(spark, sf_dir, "validation")))
+    return _judged(c.batch_score(fitted(spark, sf_dir, c.RANDOM_FOREST), split_of(spark, sf_dir, "validation")), "doc_id", "label")
 
 
-@query("train_gbt")
+@query("train_gbt", _VALIDATED)
 def train_gbt(spark, sf_dir):
-    return _scored(c.batch_score(fitted(spark, sf_dir, c.GRADIENT_BOOSTED), split_of(spark, sf_dir, "validation")))
+    return _judged(c.batch_score(fitted(spark, sf_dir, c.GRADIENT_BOOSTED), split_of(spark, sf_dir, "validation")), "doc_id", "label")
 
 
-@query("batch_score")
+@query("batch_score", o.with_ctes("SELECT doc_id, label, CAST(1 AS INTEGER) AS decided FROM features", o.FEATURES))
 def batch_score(spark, sf_dir):
-    return _scored(c.batch_score(fitted(spark, sf_dir, c.RANDOM_FOREST), feature_table(spark, sf_dir)[0]))
+    """Every document is scored, whether it has a label or not."""
+    return _judged(c.batch_score(fitted(spark, sf_dir, c.RANDOM_FOREST), feature_table(spark, sf_dir)[0]), "doc_id", "label")
 
 
 def embedding_model(spark, sf_dir):
@@ -350,23 +362,24 @@ def embedding_comparison(spark, sf_dir):
 
 @query("training_scale_sweep")
 def training_scale_sweep(spark, sf_dir):
-    return c.training_scale_sweep(feature_table(spark, sf_dir)[0])
+    return c.training_scale_sweep(feature_table(spark, sf_dir)[0].filter(F.col("label").isNotNull()))
 
 
 def stored_models(spark, sf_dir):
-    """Paths of the saved word model and forest."""
+    """Paths of the saved word model and forest, and the stored word table."""
 
     def build():
-        words = store.save_model(feature_table(spark, sf_dir)[2], new_path(spark, "word-model"))
+        _, _, model, words = feature_table(spark, sf_dir)
+        saved = store.save_model(model, new_path(spark, "word-model"))
         forest = store.save_model(fitted(spark, sf_dir, c.RANDOM_FOREST), new_path(spark, "forest"))
-        return words, forest
+        return saved, forest, words
 
     return built_once(spark, sf_dir, "stored models", build)
 
 
 @query(
     "fitted_model_store",
-    o.with_ctes("SELECT doc_id, CAST(1 AS INTEGER) AS same FROM labelled", o.LABELLED),
+    o.with_ctes("SELECT doc_id, CAST(1 AS INTEGER) AS same FROM features", o.FEATURES),
 )
 def fitted_model_store(spark, sf_dir):
     """Whether each document gets the same prediction from the model before saving and after loading."""

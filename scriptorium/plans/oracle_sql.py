@@ -89,6 +89,44 @@ def hash32(x: str) -> str:
     return f"CAST('0x' || substr(md5(CAST({x} AS VARCHAR)), 1, 8) AS BIGINT)"
 
 
+def murmur32(word: str, seed: int = 42) -> str:
+    """Murmur3 of the UTF-8 bytes of a word as an unsigned number of 32 bits, step by step as published."""
+    size = f"(strlen(hex(encode({word}))) // 2)"
+
+    def times(x: str, factor: int) -> str:
+        return f"(({x})::HUGEINT * {factor} % 4294967296)::BIGINT"
+
+    def turned(x: str, bits: int) -> str:
+        return f"((({x}) << {bits}) % 4294967296 + (({x}) >> {32 - bits}))"
+
+    def byte(place: str) -> str:
+        return f"CAST('0x' || substr(hex(encode({word})), 2 * ({place}) + 1, 2) AS BIGINT)"
+
+    def spread(x: str) -> str:
+        return times(turned(times(x, 0xCC9E2D51), 15), 0x1B873593)
+
+    whole = " + ".join(f"{byte(f'4 * b + {i}')} * {256**i}" for i in range(4))
+    blocks = f"[{spread(f'({whole})')} for b in range(0, {size} // 4)]"
+    mixed = turned("xor(h, k)", 13)
+    body = f"list_reduce(list_prepend({seed}::BIGINT, {blocks}::BIGINT[]), lambda h, k: ({times(mixed, 5)} + 3864292196) % 4294967296)"
+    rest = " + ".join(f"CASE WHEN {size} % 4 > {i} THEN {byte(f'{size} // 4 * 4 + {i}')} * {256**i} ELSE 0 END" for i in range(3))
+    tail = f"CASE WHEN {size} % 4 > 0 THEN {spread(f'({rest})')} ELSE 0 END"
+    steps = [f"xor(xor({body}, {tail}), {size})"]
+    return (
+        "(SELECT xor(h3, h3 >> 16) FROM (SELECT "
+        + times("xor(h2, h2 >> 13)", 0xC2B2AE35)
+        + " AS h3 FROM (SELECT "
+        + times("xor(h1, h1 >> 16)", 0x85EBCA6B)
+        + f" AS h2 FROM (SELECT {steps[0]} AS h1))))"
+    )
+
+
+def hash_slot(word: str, slots: int) -> str:
+    """The slot of a hashed term: the remainder of the signed hash, made positive."""
+    signed = f"(h - CASE WHEN h >= 2147483648 THEN 4294967296 ELSE 0 END)"
+    return f"(SELECT (({signed} % {slots}) + {slots}) % {slots} FROM (SELECT {murmur32(word)} AS h))"
+
+
 def _case(position: str, values) -> str:
     whens = " ".join(f"WHEN {i} THEN '{v}'" for i, v in enumerate(values))
     return f"CASE {position} {whens} END"
@@ -126,9 +164,9 @@ STYLE = ", ".join(
     )
 )
 STYLED = f"{CLEAN}, styled AS (SELECT *, {STYLE} FROM clean)"
-LABELLED = (
-    f"{ARABIC_DOCS}, joined AS (SELECT doc_id, text, quality AS label FROM arabic JOIN labels USING (doc_id)), "
-    f"labelled AS (SELECT *, {STYLE} FROM {_cleaned('joined', '*')})"
+FEATURES = (
+    f"{ARABIC_DOCS}, joined AS (SELECT doc_id, text, quality AS label FROM arabic LEFT JOIN labels USING (doc_id)), "
+    f"features AS (SELECT *, {STYLE} FROM {_cleaned('joined', '*')})"
 )
 SCORED = (
     "scored AS (SELECT doc_id, quality AS label, CAST(length(text) % 97 AS DOUBLE) AS score, "
@@ -140,16 +178,24 @@ WORD_VECTORS = (
     f"{CLEAN_WORDS}, word_vectors AS (SELECT word, embedding FROM (SELECT DISTINCT word FROM words) "
     f"JOIN embeddings ON vec_id = {hash32('word')} % ((SELECT max(vec_id) FROM embeddings) + 1))"
 )
-VECTOR_DOCS = (
-    f"vdocs AS (SELECT vec_id, vec_id // {tables.VECTORS_PER_DOCUMENT} AS vdoc_id, "
-    f"CASE WHEN vec_id // {tables.VECTORS_PER_DOCUMENT} % 5 = 0 THEN 0 ELSE 1 END AS label, "
-    f"{_case(f'vec_id // {tables.VECTORS_PER_DOCUMENT} % 5', SOURCES)} AS source, embedding FROM embeddings)"
-)
-VECTOR_DOC_VARIANCE = (
-    f"{VECTOR_DOCS}, variances AS (SELECT vdoc_id, label, source, CAST(coalesce(v, 0) AS FLOAT) AS f_embed_variance "
-    "FROM (SELECT DISTINCT vdoc_id, label, source FROM vdocs) LEFT JOIN (SELECT a.vdoc_id, "
-    "var_pop(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[])) AS v "
-    "FROM vdocs a JOIN vdocs b ON a.vdoc_id = b.vdoc_id AND a.vec_id < b.vec_id GROUP BY a.vdoc_id) USING (vdoc_id))"
+
+
+def token_variance(counted: str, key: str, name: str = "variances") -> str:
+    """Variance of similarity over all pairs of known tokens, from (key, word, n), pair of words by pair of words."""
+    return (
+        f"{name}_known AS (SELECT {key}, word, n, embedding::DOUBLE[] AS e FROM {counted} JOIN word_vectors USING (word)), "
+        f"{name}_pairs AS (SELECT a.{key} AS {key}, a.n * b.n AS c, list_cosine_similarity(a.e, b.e) AS s FROM {name}_known a "
+        f"JOIN {name}_known b ON a.{key} = b.{key} AND a.word < b.word UNION ALL SELECT {key}, n * (n - 1) / 2, 1 FROM {name}_known WHERE n > 1), "
+        f"{name} AS (SELECT {key}, CAST(greatest(sum(c * s * s) / sum(c) - (sum(c * s) / sum(c)) ** 2, 0) AS FLOAT) AS f_embed_variance "
+        f"FROM {name}_pairs GROUP BY {key})"
+    )
+
+
+TOKEN_VARIANCE = (
+    f"{WORD_VECTORS}, counted AS (SELECT doc_id, word, count(*) AS n FROM "
+    f"(SELECT doc_id, unnest({ml_tokens('text_clean')}) AS word FROM clean) GROUP BY ALL), {token_variance('counted', 'doc_id')}, "
+    f"full_style AS (SELECT styled.*, coalesce(f_embed_variance, CAST(0 AS FLOAT)) AS f_embed_variance "
+    f"FROM (SELECT *, {STYLE} FROM clean) styled LEFT JOIN variances USING (doc_id))"
 )
 MESSAGES = (
     f"{LONG}, messages AS ("
@@ -159,3 +205,12 @@ MESSAGES = (
     f"UNION ALL SELECT NULL, text, CASE WHEN label = 0 THEN 'human' ELSE 'ai' END, NULL, doc_id + {tables.EPOCH} "
     "FROM long WHERE doc_id % 50 = 1)"
 )
+_MESSAGES_ALONE = MESSAGES.removeprefix(f"{LONG}, ")
+MESSAGE_VECTORS = (
+    f"{WORD_VECTORS}, {_MESSAGES_ALONE}, vector_messages AS (SELECT row_number() OVER () AS m, coalesce(id, -1) AS id, ingest_seconds, "
+    f"CAST({tables.VECTOR_DIMS} AS INTEGER) AS n_dims, {preprocess('text')} AS text_clean FROM messages), "
+    f"message_tokens AS (SELECT m, unnest({ml_tokens('text_clean')}) AS word FROM vector_messages), "
+    f"message_words AS (SELECT m, word, count(*) AS n FROM message_tokens GROUP BY ALL), {token_variance('message_words', 'm')}, "
+    "means AS (SELECT m, sum(n * list_sum(embedding::DOUBLE[])) / (SELECT sum(n) FROM message_words a WHERE a.m = w.m) AS total "
+    "FROM message_words w JOIN word_vectors USING (word) GROUP BY m)"
+)

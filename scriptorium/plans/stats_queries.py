@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from scriptorium.functions.text import ml_tokenize
 from scriptorium.operators import corpus_stats as stats
 from scriptorium.operators import metrics, sampling
-from scriptorium.operators.reshape import SOURCE_COLUMNS
+from scriptorium.operators import partial_states as states
+from scriptorium.operators.reshape import GENERATION_METHODS, SOURCE_COLUMNS
 from scriptorium.operators.similarity import group_similarity_variance
+from scriptorium.operators.word_moments import with_word_moments, word_table
 from scriptorium.plans import oracle_sql as o
 from scriptorium.plans import tables as t
-from scriptorium.plans.catalog import query
+from scriptorium.plans.catalog import built_once, query
+from scriptorium.session import new_path, through_table
 
 _COLUMNS = tuple(c for c, _ in SOURCE_COLUMNS)
 
@@ -118,6 +122,72 @@ def vocabulary_stats(spark, sf_dir):
     return _rounded(stats.vocabulary_stats(t.clean_corpus(spark, sf_dir)), "ttr", "avg_words_per_abstract")
 
 
+def merged_states(spark, sf_dir):
+    """The path of the partial states of the corpus, stored split by split; each step reads its own split alone."""
+
+    def build():
+        path = new_path(spark, "partial-states")
+        for method in GENERATION_METHODS:
+            wide, long = (make(spark, sf_dir).filter(F.col("generation_method") == method) for make in (t.wide_corpus, t.clean_corpus))
+            states.store_split(path, method, wide, long, _COLUMNS)
+        return path
+
+    return built_once(spark, sf_dir, "partial states", build)
+
+
+@query(
+    "merged_split_counts",
+    o.with_ctes("SELECT coalesce(generation_method, 'TOTAL') AS split, CAST(count(*) AS BIGINT) AS n_rows FROM wide GROUP BY ROLLUP (generation_method)", o.WIDE),
+)
+def merged_split_counts(spark, sf_dir):
+    return states.split_row_counts(spark, merged_states(spark, sf_dir))
+
+
+@query(
+    "merged_column_statistics",
+    o.with_ctes(
+        " UNION ALL ".join(
+            f"SELECT '{c}' AS column_name, CAST(count(*) - count({c}) AS BIGINT) AS n_null, round(avg(length({c})), 6) AS avg_chars, "
+            f"round(avg(coalesce({o.word_count(c)}, -1)), 6) AS avg_words, min(coalesce({o.word_count(c)}, -1)) AS min_words, "
+            f"max(coalesce({o.word_count(c)}, -1)) AS max_words FROM wide"
+            for c in _COLUMNS
+        ),
+        o.WIDE,
+    ),
+)
+def merged_column_statistics(spark, sf_dir):
+    return _rounded(states.column_statistics(spark, merged_states(spark, sf_dir)), "avg_chars", "avg_words")
+
+
+@query(
+    "merged_text_counts",
+    o.with_ctes(
+        "SELECT source, label, CAST(count(*) AS BIGINT) AS n_rows FROM clean GROUP BY source, label",
+        o.CLEAN,
+    ),
+)
+def merged_text_counts(spark, sf_dir):
+    return states.text_counts(spark, merged_states(spark, sf_dir), "source", "label")
+
+
+@query(
+    "merged_vocabulary_stats",
+    o.with_ctes(
+        f"SELECT source, CAST(total_words AS BIGINT) AS total_words, unique_words, ttr, avg_words_per_abstract FROM "
+        f"(SELECT source, {_RICHNESS} FROM words GROUP BY source) JOIN (SELECT source, "
+        "round(avg(word_count), 6) AS avg_words_per_abstract FROM clean GROUP BY source) USING (source)",
+        o.CLEAN_WORDS,
+    ),
+)
+def merged_vocabulary_stats(spark, sf_dir):
+    return _rounded(states.vocabulary_stats(spark, merged_states(spark, sf_dir)), "ttr", "avg_words_per_abstract")
+
+
+@query("merged_word_frequency", o.with_ctes("SELECT word, CAST(count(*) AS BIGINT) AS n FROM words GROUP BY word", o.CLEAN_WORDS))
+def merged_word_frequency(spark, sf_dir):
+    return states.word_frequency(spark, merged_states(spark, sf_dir))
+
+
 @query("word_frequency", o.with_ctes("SELECT word, count(*) AS n FROM words GROUP BY word", o.CLEAN_WORDS))
 def word_frequency(spark, sf_dir):
     return stats.word_frequency(t.clean_corpus(spark, sf_dir))
@@ -215,32 +285,32 @@ def embedding_similarity_variance(spark, sf_dir):
     return variance.select("label", F.round(F.col("f_embed_variance").cast("double"), 6).alias("f_embed_variance"))
 
 
-def vector_document_variance(spark, sf_dir):
-    """(vdoc_id, label, source, f_embed_variance) of the vector documents."""
-    docs = t.vector_documents(spark, sf_dir)
-    tags = docs.select("vdoc_id", "label", "source").distinct()
-    variance = group_similarity_variance(docs, "vdoc_id", "embedding", t.VECTOR_DIMS)
-    return tags.join(variance, "vdoc_id")
+def style_with_variance(spark, sf_dir):
+    """The styled corpus with the similarity variance of each document's own words, stored once."""
 
+    def build():
+        words = word_table(t.word_vectors(spark, sf_dir, t.clean_corpus(spark, sf_dir)))
+        tokenized = t.styled_corpus(spark, sf_dir).withColumn("tokens", ml_tokenize("text_clean"))
+        made = with_word_moments(tokenized.drop("text", "text_clean"), "tokens", words, t.VECTOR_DIMS)
+        return through_table(made.drop("tokens", "w2v_features"), "style-and-variance")
 
-_VARIANCE = {"variance": "f_embed_variance"}
-_summary_query("embed_variance_by_source", "source", _VARIANCE, ("avg", "stddev"), "variances", o.VECTOR_DOC_VARIANCE, vector_document_variance)
-_summary_query("embed_variance_by_label", "label", _VARIANCE, ("avg", "min", "max"), "variances", o.VECTOR_DOC_VARIANCE, vector_document_variance)
+    return built_once(spark, sf_dir, "style with variance", build)
 
 
-def style_with_variance(spark, sf_dir):
-    """The styled corpus with the variance of the vector document its id points to, where there is one."""
-    variance = vector_document_variance(spark, sf_dir).select(F.col("vdoc_id").alias("doc_id"), "f_embed_variance")
-    joined = t.styled_corpus(spark, sf_dir).join(variance, "doc_id", "left")
-    return joined.withColumn("f_embed_variance", F.coalesce("f_embed_variance", F.lit(0.0).cast("float")))
+@query(
+    "document_similarity_variance",
+    o.with_ctes("SELECT doc_id, round(CAST(f_embed_variance AS DOUBLE), 6) AS f_embed_variance FROM full_style", o.TOKEN_VARIANCE),
+)
+def document_similarity_variance(spark, sf_dir):
+    variance = F.round(F.col("f_embed_variance").cast("double"), 6).alias("f_embed_variance")
+    return style_with_variance(spark, sf_dir).select("doc_id", variance)
 
 
-STYLE_WITH_VARIANCE = (
-    f"{o.STYLED}, {o.VECTOR_DOC_VARIANCE}, full_style AS (SELECT styled.*, "
-    "coalesce(f_embed_variance, CAST(0 AS FLOAT)) AS f_embed_variance FROM styled LEFT JOIN variances ON doc_id = vdoc_id)"
-)
+_VARIANCE = {"variance": "f_embed_variance"}
+_summary_query("embed_variance_by_source", "source", _VARIANCE, ("avg", "stddev"), "full_style", o.TOKEN_VARIANCE, style_with_variance)
+_summary_query("embed_variance_by_label", "label", _VARIANCE, ("avg", "min", "max"), "full_style", o.TOKEN_VARIANCE, style_with_variance)
 _summary_query(
-    "stylometry_summary", "label", {**_FOUR, "embed_variance": "f_embed_variance"}, ("avg",), "full_style", STYLE_WITH_VARIANCE, style_with_variance
+    "stylometry_summary", "label", {**_FOUR, "embed_variance": "f_embed_variance"}, ("avg",), "full_style", o.TOKEN_VARIANCE, style_with_variance
 )
 
 

@@ -2,19 +2,24 @@
 
 from __future__ import annotations
 
+import contextlib
+
+from pyspark.errors import StreamingQueryException
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
-from scriptorium.functions.messages import parse_messages, prediction_record
+from scriptorium.functions.messages import PREDICTION_SCHEMA, parse_messages, prediction_record
 from scriptorium.functions.text import text_preview
+from scriptorium.operators.word_moments import word_table
 from scriptorium.plans import oracle_sql as o
 from scriptorium.plans import tables as t
 from scriptorium.plans.catalog import query
-from scriptorium.plans.model_queries import built_once, stored_models
+from scriptorium.plans.model_queries import built_once, stored_corpus, stored_models
 from scriptorium.session import new_path
 from scriptorium.sources import messages
 from scriptorium.sources import models as store
-from scriptorium.streaming import scoring
+from scriptorium.streaming import ledger, scoring
 
 _FILES_PER_BATCH = "4"
 
@@ -80,18 +85,27 @@ def stream_parquet_sink(spark, sf_dir):
     return _seconds(run_to_table(records, "sink")[0])
 
 
-@query("stream_console_sink", o.with_ctes("SELECT CAST(count(*) AS BIGINT) AS n_rows FROM messages", o.MESSAGES))
+def run_ledger(spark, sf_dir, compute, name, **options):
+    """Run the messages through a ledger sink to their end; the path of its table."""
+    path = new_path(spark, name)
+    run = ledger.ledger_sink(
+        source(spark, sf_dir), compute, path, new_path(spark, f"{name}-checkpoint"), available_now=True, **options
+    )
+    scoring.await_all([run])
+    return path
+
+
+@query("stream_console_sink", o.with_ctes("SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_unseen FROM messages", o.MESSAGES))
 def stream_console_sink(spark, sf_dir):
-    shown = parse_messages(source(spark, sf_dir)).select("id", "true_source", "ingest_time")
-    path, checkpoints = new_path(spark, "console"), new_path(spark, "console-checkpoint")
-    stored = scoring.metered(shown)
-    running = (
-        messages.console_sink(shown, None, f"{checkpoints}/console", available_now=True),
-        messages.parquet_sink(stored, None, path, f"{checkpoints}/parquet", available_now=True),
+    """Rows of the batches that were shown, and how many batches with rows showed too few of them.
+
+    A batch is counted by the ledger, which names it after it was printed.
+    """
+    path = run_ledger(spark, sf_dir, lambda batch: parse_messages(batch).select("id", "true_source", "ingest_time"), "console")
+    too_few = F.col("n_shown") < F.least(F.col("n_rows"), F.lit(ledger.SHOWN_ROWS))
+    return ledger.read_ledger(spark, path).agg(
+        F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), F.coalesce(F.sum(too_few.cast("bigint")), F.lit(0)).alias("n_unseen")
     )
-    scoring.await_all(running)
-    batches = scoring.stream_throughput(spark.read.schema(stored.schema).parquet(path))
-    return batches.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"))
 
 
 @query(
@@ -109,41 +123,84 @@ def stream_features(spark, sf_dir):
 
 
 def _models(spark, sf_dir):
-    words, forest = stored_models(spark, sf_dir)
-    return store.load_word_vectors(words), store.load_pipeline(forest)
+    """The stored word table and the saved forest."""
+    _, forest, words = stored_models(spark, sf_dir)
+    return words, store.load_pipeline(forest)
+
+
+def _message_vectors(spark, sf_dir):
+    words = t.word_vectors(spark, sf_dir, stored_corpus(spark, sf_dir))
+
+    def vectors(batch):
+        featured = scoring.stream_features(parse_messages(batch)).select("id", "ingest_time", "text_clean")
+        made = scoring.stream_vectors(featured, stored, t.VECTOR_DIMS)
+        return made.select("id", "ingest_time", "f_embed_variance", vector_to_array("w2v_features").alias("vector"))
 
+    stored = built_once(spark, sf_dir, "word table", lambda: word_table(words))
+    return vectors
 
-@query("stream_vectors")
+
+@query(
+    "stream_vectors",
+    o.with_ctes(
+        "SELECT id, ingest_seconds, round(CAST(coalesce(f_embed_variance, 0) AS DOUBLE), 6) AS f_embed_variance, n_dims, "
+        "round(coalesce(total, 0), 6) AS vector_total FROM vector_messages LEFT JOIN variances USING (m) LEFT JOIN means USING (m)",
+        o.MESSAGE_VECTORS,
+    ),
+)
 def stream_vectors(spark, sf_dir):
-    words, _ = _models(spark, sf_dir)
-    featured = scoring.stream_features(parse_messages(source(spark, sf_dir)))
-    records = scoring.stream_vectors(featured, words).select(
-        "id", "ingest_time", "f_embed_variance", vector_to_array("w2v_features").alias("vector")
+    """Mean vectors and variances of the messages' own words, over the word table that the embeddings give."""
+    compute = _message_vectors(spark, sf_dir)
+    path = run_ledger(spark, sf_dir, compute, "vectors")
+    schema = StructType.fromDDL("id bigint, ingest_time timestamp, f_embed_variance float, vector array<double>")
+    total = F.aggregate("vector", F.lit(0.0), lambda a, x: a + x)
+    return _seconds(ledger.read_records(spark, path, schema)).select(
+        "id",
+        "ingest_seconds",
+        F.round(F.col("f_embed_variance").cast("double"), 6).alias("f_embed_variance"),
+        F.size("vector").alias("n_dims"),
+        F.round(total, 6).alias("vector_total"),
     )
-    table, _ = run_to_table(records, "vectors")
-    return _seconds(table).select("id", "ingest_seconds", "f_embed_variance", F.size("vector").alias("n_dims"))
 
 
 def scored_stream(spark, sf_dir):
-    """The predictions of the saved forest over all messages, and the same rows with their batches."""
+    """The predictions of the saved forest over all messages, and the path of their table."""
 
     def build():
-        words, forest = _models(spark, sf_dir)
-        records = scoring.score_messages(source(spark, sf_dir), words, forest)
-        stored, _ = run_to_table(scoring.metered(records), "predictions")
-        return stored.select(records.columns), stored
+        path = run_ledger(spark, sf_dir, scoring.scorer(*_models(spark, sf_dir)), "predictions")
+        return ledger.read_records(spark, path, PREDICTION_SCHEMA), path
 
     return built_once(spark, sf_dir, "stream predictions", build)
 
 
-@query("stream_score")
+@query(
+    "stream_score",
+    o.with_ctes(
+        "SELECT coalesce(id, -1) AS id, true_source, substr(text, 1, 80) AS text_preview, CAST(1 AS INTEGER) AS decided, ingest_seconds FROM messages",
+        o.MESSAGES,
+    ),
+)
 def stream_score(spark, sf_dir):
-    return _seconds(scored_stream(spark, sf_dir)[0])
+    """Every message with its prediction; `decided` tells that label and class agree."""
+    decided = (F.col("predicted_class") == F.when(F.col("predicted_label") == 0, "human").otherwise("ai")).cast("int")
+    scored = _seconds(scored_stream(spark, sf_dir)[0]).withColumn("decided", decided)
+    return scored.drop("predicted_label", "predicted_class")
 
 
 @query("stream_throughput")
 def stream_throughput(spark, sf_dir):
-    return scoring.stream_throughput(scored_stream(spark, sf_dir)[1])
+    return ledger.throughput(ledger.read_ledger(spark, scored_stream(spark, sf_dir)[1]))
+
+
+@query(
+    "stream_batch_totals",
+    o.with_ctes("SELECT CAST(count(*) AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_missing_batches FROM messages", o.MESSAGES),
+)
+def stream_batch_totals(spark, sf_dir):
+    """Rows of all metered micro-batches, and how many batch ids between 0 and the last have no entry."""
+    batches = stream_throughput(spark, sf_dir)
+    missing = F.coalesce(F.max("batch_id") + 1 - F.count_distinct("batch_id"), F.lit(0))
+    return batches.agg(F.coalesce(F.sum("n_rows"), F.lit(0)).alias("n_rows"), missing.cast("bigint").alias("n_missing_batches"))
 
 
 @query(
@@ -154,27 +211,48 @@ def stream_throughput(spark, sf_dir):
     ),
 )
 def stream_dual_sink(spark, sf_dir):
-    records = parse_messages(source(spark, sf_dir)).select(
-        "id", "true_source", text_preview("text").alias("text_preview"), "ingest_time"
-    )
-    path, name = new_path(spark, "dual"), new_path(spark, "dual").rsplit("/", 1)[-1]
-    both = scoring.dual_sink(records, name, path, new_path(spark, "dual-checkpoint"), available_now=True)
-    scoring.await_all(both)
-    return _seconds(spark.read.schema(records.schema).parquet(path))
+    """Each micro-batch is computed once, for the table and for the rows that are shown."""
+
+    def records(batch):
+        return parse_messages(batch).select("id", "true_source", text_preview("text").alias("text_preview"), "ingest_time")
+
+    path = run_ledger(spark, sf_dir, records, "dual")
+    schema = StructType.fromDDL("id bigint, true_source string, text_preview string, ingest_time timestamp")
+    return _seconds(ledger.read_records(spark, path, schema))
+
+
+class _Interrupted(Exception):
+    pass
 
 
 @query("stream_restart", _MESSAGE_ROWS)
 def stream_restart(spark, sf_dir):
-    """Two runs under one checkpoint, more messages arriving in between: nothing lost, nothing twice."""
+    """A run that fails between storing its second batch and naming it, more messages, and a run to the end.
+
+    Nothing is lost and nothing is there twice.
+    """
     arriving, path, checkpoint = (new_path(spark, n) for n in ("arriving", "resumed", "resumed-checkpoint"))
     everything = t.envelopes(spark, sf_dir)
     early = F.unix_seconds("timestamp") % 2 == 0
-    for part in (everything.filter(early), everything.filter(~early)):
-        part.write.mode("append").parquet(arriving)
-        records = parse_messages(messages.message_stream(spark, "parquet", arriving))
-        run = messages.parquet_sink(records, None, path, checkpoint, available_now=True)
-        scoring.await_all([run])
-    return _seconds(spark.read.schema(records.schema).parquet(path))
+
+    def run(stored=None):
+        messages_so_far = messages.message_stream(spark, "parquet", arriving, maxFilesPerTrigger="1")
+        sink = ledger.ledger_sink(
+            messages_so_far, parse_messages, path, checkpoint, available_now=True, stored=stored
+        )
+        scoring.await_all([sink])
+
+    def fail(batch_id):
+        if batch_id == 1:
+            raise _Interrupted
+
+    everything.filter(early).repartition(4).write.mode("append").parquet(arriving)
+    with contextlib.suppress(StreamingQueryException):
+        run(fail)
+    everything.filter(~early).repartition(2).write.mode("append").parquet(arriving)
+    run()
+    schema = parse_messages(spark.read.parquet(arriving).limit(0)).schema
+    return _seconds(ledger.read_records(spark, path, schema))
 
 
 @query(

@@ -40,7 +40,6 @@ SCRIPT = (
     "\u0649\u0642\u0631\u0633\u062a\u0648\u0624\u0626\u062e\u064a\u0632\u003a\u060c\u0651\u0670"
 )
 VECTOR_DIMS = 64
-VECTORS_PER_DOCUMENT = 16
 EPOCH = 1_700_000_000
 
 
@@ -122,10 +121,10 @@ def styled_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
     return with_style_counts(clean_corpus(spark, sf_dir))
 
 
-def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(doc_id, text, label): documents with a quality label, cleaned and counted."""
+def feature_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(doc_id, text, label, …): all documents, cleaned and counted, with the quality label of those that have one."""
     labels = table(spark, sf_dir, "labels").select("doc_id", F.col("quality").alias("label"))
-    docs = arabic_documents(spark, sf_dir).join(labels, "doc_id")
+    docs = arabic_documents(spark, sf_dir).join(labels, "doc_id", "left")
     return with_style_counts(min_clean_length_filter(with_clean_text(drop_null_short_text(docs))))
 
 
@@ -149,18 +148,6 @@ def word_vectors(spark: SparkSession, sf_dir: str, clean: DataFrame) -> DataFram
     )
 
 
-def vector_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(vdoc_id, label, source, embedding): runs of embeddings play the words of one document."""
-    vdoc = F.expr(f"vec_id div {VECTORS_PER_DOCUMENT}")
-    place = vdoc % 5
-    return table(spark, sf_dir, "embeddings").select(
-        vdoc.alias("vdoc_id"),
-        F.when(place == 0, 0).otherwise(1).alias("label"),
-        _pick(place, SOURCES).alias("source"),
-        "embedding",
-    )
-
-
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(value, timestamp): every document as a message, plus some that are cut off or have a bad id."""
     docs = long_corpus(spark, sf_dir)

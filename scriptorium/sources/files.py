@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scriptorium.operators.reshape import GENERATION_METHODS, tag_generation_method, union_splits
+from scriptorium.sources.split_csv import read_csv_in_parts
 
 
 def read_csv_multiline(spark: SparkSession, path: str, schema: T.StructType | str | None = None) -> DataFrame:
     """Header CSV with quoted fields that may span lines; doubled quotes; all columns strings by default.
 
-    A file whose fields span lines cannot be split, so parallelism comes from the number of files.
+    Each file is read by one task, in order; see `split_csv.read_csv_in_parts` for large files.
     """
     reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
     if schema is not None:
@@ -64,7 +65,7 @@ def write_parquet(
 
 def ingest_corpus(spark: SparkSession, raw_dir: str, target: str, methods: Sequence[str] = GENERATION_METHODS) -> DataFrame:
     """Per-split CSV files to one tagged Parquet corpus, partitioned by generation method."""
-    splits = [tag_generation_method(read_csv_multiline(spark, f"{raw_dir}/{m}.csv"), m) for m in methods]
+    splits = [tag_generation_method(read_csv_in_parts(spark, f"{raw_dir}/{m}.csv"), m) for m in methods]
     corpus = union_splits(splits)
     write_parquet(corpus, target, partition_by=("generation_method",))
     return spark.read.schema(corpus.schema).parquet(target)

@@ -1,10 +1,12 @@
 """The stages one after another on a small corpus, each reading what the one before wrote."""
 
 from scriptorium import jobs
+from scriptorium.functions.messages import PREDICTION_SCHEMA
 from scriptorium.operators import classifiers, corpus_stats
 from scriptorium.operators.reshape import GENERATION_METHODS
 from scriptorium.plans import tables
 from scriptorium.sources import files
+from scriptorium.streaming import ledger
 
 
 def test_stages_from_csv_to_stream_scores(spark, sf_dir, tmp_path, monkeypatch):
@@ -44,10 +46,10 @@ def test_stages_from_csv_to_stream_scores(spark, sf_dir, tmp_path, monkeypatch):
     check = corpus_stats.word_count_crosscheck(counted, corpus_stats.word_frequency(direct)).first()
     assert check.n_words > 1000 and check.n_mismatches == 0
     assert spark.read.parquet(at["table"]).count() == cleaned.count()
-    scored = spark.read.parquet(at["predictions"])
+    scored = ledger.read_records(spark, at["predictions"], PREDICTION_SCHEMA)
     assert sorted(r.id for r in scored.collect()) == list(range(10))
     total = files.read_csv_multiline(spark, f"{at['reports']}/stream_accuracy").filter("true_source = 'TOTAL'").first()
     assert total.n_rows == "10"
-    names = "split_row_counts null_counts vocabulary_stats top_words model_comparison feature_importance style_by_label"
+    names = "stream_throughput split_row_counts null_counts vocabulary_stats top_words model_comparison feature_importance style_by_label"
     for name in names.split():
         assert files.read_csv_multiline(spark, f"{at['reports']}/{name}").count() > 0

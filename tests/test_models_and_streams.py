@@ -3,13 +3,14 @@ from types import SimpleNamespace
 import pytest
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from scriptorium.operators import classifiers as c
 from scriptorium.operators import corpus_stats, vectors
 from scriptorium.plans import model_queries, stream_queries, tables
 from scriptorium.session import CHECKPOINT_KEY, new_path, shared_dir, through_table
 from scriptorium.sources import messages
-from scriptorium.streaming import scoring
+from scriptorium.streaming import ledger, scoring
 
 
 @pytest.fixture(scope="module")
@@ -17,8 +18,13 @@ def features(spark, sf_dir):
     return model_queries.feature_table(spark, sf_dir)[0]
 
 
+@pytest.fixture(scope="module")
+def labelled(features):
+    return features.filter("label IS NOT NULL")
+
+
 def test_feature_table_keeps_rows_and_sizes(spark, sf_dir, features):
-    assert features.count() == tables.labelled_documents(spark, sf_dir).count()
+    assert features.count() == tables.feature_documents(spark, sf_dir).count() > features.filter("label IS NOT NULL").count() > 0
     sizes = features.select(
         F.size(vector_to_array("w2v_features")).alias("w"), F.size(vector_to_array("tfidf_features")).alias("t")
     ).distinct()
@@ -40,8 +46,8 @@ def test_missing_scalar_is_refused(spark, features):
 @pytest.mark.parametrize(
     "make, size", [(c.logistic_regression, (5,)), (c.random_forest, (3, 3)), (c.gradient_boosted, (2, 2))]
 )
-def test_training_is_repeatable_and_probabilities_add_up(features, make, size):
-    first, second = (c.batch_score(c.train(features, make(*size)), features).orderBy("doc_id") for _ in range(2))
+def test_training_is_repeatable_and_probabilities_add_up(features, labelled, make, size):
+    first, second = (c.batch_score(c.train(labelled, make(*size)), features).orderBy("doc_id") for _ in range(2))
     rows = [(r.doc_id, r.prediction, list(r.probability)) for r in first.collect()]
     again = [(r.doc_id, r.prediction, list(r.probability)) for r in second.collect()]
     assert len(rows) == features.count()
@@ -49,27 +55,28 @@ def test_training_is_repeatable_and_probabilities_add_up(features, make, size):
         assert (a, p) == (b, q) and u == pytest.approx(v) and sum(u) == pytest.approx(1.0)
 
 
-def test_quality_and_choice_of_model(spark, features):
-    model = c.train(features, c.random_forest(3, 3))
-    q = c.quality(c.batch_score(model, features))
+def test_quality_and_choice_of_model(spark, labelled):
+    model = c.train(labelled, c.random_forest(3, 3))
+    q = c.quality(c.batch_score(model, labelled))
     assert all(0 <= x <= 1 for x in (q.accuracy, q.f1, q.roc_auc))
-    table = c.model_comparison({"a": model}, features, features)
+    table = c.model_comparison({"a": model}, labelled, labelled)
     assert c.select_best_model(table) == "a" and c.select_best_model(table, prefer="b") == "b"
     top = c.feature_importance_topk(spark, model, 5).collect()
     assert len(top) == 5 and top[0].importance >= top[4].importance
 
 
-def test_sweep_reports_every_fraction(features):
-    rows = c.training_scale_sweep(features, (0.5, 1.0), trees=2, depth=2, max_iter=2).collect()
-    assert [r.fraction for r in rows] == [0.5, 1.0] and rows[1].rows == features.count()
+def test_sweep_reports_every_fraction(labelled):
+    rows = c.training_scale_sweep(labelled, (0.5, 1.0), trees=2, depth=2, max_iter=2).collect()
+    assert [r.fraction for r in rows] == [0.5, 1.0] and rows[1].rows == labelled.count()
 
 
 def test_stream_scores_equal_batch_scores(spark, sf_dir):
     streamed = stream_queries.scored_stream(spark, sf_dir)[0]
     words, forest = stream_queries._models(spark, sf_dir)
+    assert words.count() > 1000
     stored = spark.read.parquet(stream_queries.message_files(spark, sf_dir))
     batch = scoring.score_messages(stored, words, forest)
-    assert streamed.schema == batch.schema
+    assert [(f.name, f.dataType) for f in streamed.schema] == [(f.name, f.dataType) for f in batch.schema]
     assert streamed.exceptAll(batch).isEmpty() and batch.exceptAll(streamed).isEmpty()
     assert streamed.filter(F.col("text_preview").isNull()).count() == 4
 
@@ -111,19 +118,85 @@ def test_only_a_local_session_may_do_without_a_shared_folder():
         shared_dir(session("spark://host:7077"))
 
 
-def test_throughput_has_every_batch_and_the_console_gets_heads_only(spark):
-    arriving, path = new_path(spark, "arriving"), new_path(spark, "metered")
-    spark.range(0, 360, 1, 120).selectExpr("encode(id, 'UTF-8') AS value", "timestamp_seconds(id) AS timestamp").write.parquet(arriving)
-    envelopes = messages.message_stream(spark, "parquet", arriving, maxFilesPerTrigger="1")
-    records = scoring.metered(envelopes)
-    run = messages.parquet_sink(records, None, path, new_path(spark, "ckpt"), available_now=True)
-    scoring.await_all([run])
-    rows = scoring.stream_throughput(spark.read.schema(records.schema).parquet(path)).collect()
+def arriving_messages(spark, rows, files):
+    path = new_path(spark, "arriving")
+    spark.range(0, rows, 1, files).selectExpr("encode(id, 'UTF-8') AS value", "timestamp_seconds(id) AS timestamp").write.parquet(path)
+    return path
+
+
+SCHEMA = StructType().add("n", "long").add("at", "timestamp")
+
+
+def numbers(batch):
+    return batch.select(F.decode("value", "UTF-8").cast("bigint").alias("n"), F.col("timestamp").alias("at"))
+
+
+def run_to_end(spark, arriving, path, checkpoint, compute=numbers, **options):
+    stream = messages.message_stream(spark, "parquet", arriving, maxFilesPerTrigger="1")
+    sink = ledger.ledger_sink(stream, compute, path, checkpoint, available_now=True, **options)
+    scoring.await_all([sink])
+
+
+def stored_numbers(spark, path):
+    return sorted(r.n for r in ledger.read_records(spark, path, SCHEMA).collect())
+
+
+def test_ledger_has_every_batch_under_its_id(spark):
+    arriving, path, shown = arriving_messages(spark, 360, 120), new_path(spark, "numbers"), []
+    run_to_end(spark, arriving, path, new_path(spark, "ckpt"), rows=2, show=lambda rows: shown.append(len(rows)))
+    rows = ledger.throughput(ledger.read_ledger(spark, path)).collect()
     assert sorted((r.batch_id, r.n_rows) for r in rows) == [(i, 3) for i in range(120)]
-    assert all(r.seconds >= 0 for r in rows)
-    shown = messages.console_sink(
-        messages.message_stream(spark, "parquet", arriving), None, new_path(spark, "ckpt"), rows=2, available_now=True
-    )
+    assert all(r.seconds > 0 and r.rows_per_second > 0 for r in rows) and shown == [2] * 120
+    assert stored_numbers(spark, path) == list(range(360))
+
+
+def test_empty_batches_are_in_the_ledger(spark):
+    arriving, path = arriving_messages(spark, 12, 4), new_path(spark, "some")
+    run_to_end(spark, arriving, path, new_path(spark, "ckpt"), lambda batch: numbers(batch).filter("n < 3"), show=lambda rows: None)
+    rows = ledger.read_ledger(spark, path).collect()
+    assert sorted((r.n_rows, r.n_shown) for r in rows) == [(0, 0)] * 3 + [(3, 3)]
+    assert stored_numbers(spark, path) == [0, 1, 2]
+
+
+@pytest.mark.parametrize("point", ["before", "stored", "shown"])
+def test_a_failure_at_any_point_loses_and_doubles_nothing(spark, point):
+    arriving, path, checkpoint = arriving_messages(spark, 15, 5), new_path(spark, "numbers"), new_path(spark, "ckpt")
+    failed = []
+
+    def fail(where, batch_id=2):
+        if point == where and not failed and batch_id == 2:
+            failed.append(True)
+            raise RuntimeError("broken")
+
+    seen = []
+
+    def compute(batch):
+        seen.append(len(seen))
+        fail("before", len(seen) - 1)
+        return numbers(batch)
+
+    options = {"show": lambda rows: fail("shown", len(seen) - 1), "stored": lambda batch_id: fail("stored", batch_id)}
+    with pytest.raises(Exception, match="broken"):
+        run_to_end(spark, arriving, path, checkpoint, compute, **options)
+    assert len(stored_numbers(spark, path)) == 6
+    run_to_end(spark, arriving, path, checkpoint, compute, **options)
+    assert stored_numbers(spark, path) == list(range(15))
+    assert sorted(r.batch_id for r in ledger.read_ledger(spark, path).collect()) == list(range(5))
+
+
+def test_a_table_belongs_to_one_checkpoint(spark):
+    arriving, path = arriving_messages(spark, 3, 1), new_path(spark, "numbers")
+    run_to_end(spark, arriving, path, new_path(spark, "ckpt"), show=lambda rows: None)
+    with pytest.raises(Exception, match="belongs to the checkpoint"):
+        run_to_end(spark, arriving, path, new_path(spark, "ckpt"), show=lambda rows: None)
+    assert stored_numbers(spark, path) == [0, 1, 2]
+    assert ledger.read_ledger(spark, new_path(spark, "nothing")).count() == 0
+
+
+def test_the_console_gets_heads_only(spark):
+    arriving = arriving_messages(spark, 360, 120)
+    stream = messages.message_stream(spark, "parquet", arriving)
+    shown = messages.console_sink(stream, None, new_path(spark, "ckpt"), rows=2, available_now=True)
     scoring.await_all([shown])
     progress = shown.lastProgress
     tasks = spark.read.parquet(arriving).rdd.getNumPartitions()

@@ -1,5 +1,6 @@
 import math
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -12,11 +13,12 @@ from pyspark.sql import functions as F
 from scriptorium.functions.messages import message_json, parse_messages, predicted_class
 from scriptorium.functions.text import ml_tokenize
 from scriptorium.operators import corpus_stats as stats
-from scriptorium.operators import metrics, reshape, sampling, similarity, vectors
+from scriptorium.operators import partial_states as states
+from scriptorium.operators import heavy_hitters, metrics, reshape, sampling, similarity, vectors, word_moments
 from scriptorium.plans import tables
 from scriptorium.plans.bounds import fits_in_memory, join_words
 from scriptorium.plans.prefix import with_row_numbers, with_running_totals
-from scriptorium.sources import files
+from scriptorium.sources import files, split_csv
 from scriptorium.session import new_path
 
 
@@ -162,32 +164,69 @@ def token_docs(spark):
     return docs, spark.createDataFrame(docs, "doc_id int, tokens array<string>").repartition(5).cache()
 
 
-@pytest.mark.parametrize("max_bytes", [1 << 20, 1])
-def test_document_variance_equals_pairwise_form(words, token_docs, max_bytes):
+def moments(df, vec_df):
+    return word_moments.with_word_moments(df, "tokens", word_moments.word_table(vec_df), 6)
+
+
+@pytest.mark.parametrize("slice_rows, doubles", [(1000, 4 << 20), (7, 40)])
+def test_document_moments_equal_the_pairwise_form(words, token_docs, monkeypatch, slice_rows, doubles):
     table, vec_df = words
     docs, df = token_docs
-    out = similarity.document_similarity_variance(df, "doc_id", "tokens", vec_df, 6, max_bytes=max_bytes)
-    assert dict(out.dtypes)["f_embed_variance"] == "float"
-    got = {r.doc_id: r.f_embed_variance for r in out.collect()}
+    monkeypatch.setattr(word_moments, "SLICE_ROWS", slice_rows)
+    out = moments(df, vec_df)
+    assert dict(out.dtypes)["f_embed_variance"] == "float" and out.columns[:2] == ["doc_id", "tokens"]
+    got = {r.doc_id: r for r in out.collect()}
     assert len(got) == len(docs)
     for key, tokens in docs:
-        assert got[key] == pytest.approx(brute_variance([table[w] for w in tokens if w in table]), abs=1e-6)
-
-
-@pytest.mark.parametrize("max_bytes", [1 << 20, 1])
-def test_rows_of_one_key_get_the_variance_of_their_own_tokens(spark, words, max_bytes):
+        known = [table[w] for w in tokens if w in table]
+        assert got[key].f_embed_variance == pytest.approx(brute_variance(known), abs=1e-6)
+        mean = np.sum(known, axis=0) / len(tokens) if known else np.zeros(6)
+        assert list(got[key].w2v_features) == pytest.approx(list(mean), abs=1e-6)
+
+
+def test_moments_in_small_pieces_equal_the_whole(words, token_docs, monkeypatch):
+    table, _ = words
+    docs, _ = token_docs
+    names = list(table)
+    unit = word_moments.unit_rows(np.array([table[w] for w in names]))
+    pairs = [(i, names.index(w)) for i, (_, tokens) in enumerate(docs) for w in tokens if w in table]
+    doc, word = np.array(pairs).T
+    whole = word_moments.pair_variances(unit, doc, word, len(docs))
+    means = word_moments.mean_vectors(unit, doc, word, np.ones(len(docs)))
+    monkeypatch.setattr(word_moments, "_HELD_DOUBLES", 50)
+    assert word_moments.pair_variances(unit, doc, word, len(docs)) == pytest.approx(whole)
+    assert word_moments.mean_vectors(unit, doc, word, np.ones(len(docs))) == pytest.approx(means)
+
+
+def test_rows_of_one_key_get_the_moments_of_their_own_tokens(spark, words):
     table, vec_df = words
     rows = [["w1", "w2", "w3"], ["w4", "w5", "w6", "w7"], ["w1", "w2", "w3"], None]
     df = spark.createDataFrame([(1, i, t) for i, t in enumerate(rows)], "doc_id int, place int, tokens array<string>")
-    out = similarity.document_similarity_variance(df, "doc_id", "tokens", vec_df, 6, max_bytes=max_bytes)
-    assert out.columns == ["doc_id", "place", "tokens", "f_embed_variance"]
-    got = {r.place: r.f_embed_variance for r in out.collect()}
+    got = {r.place: r.f_embed_variance for r in moments(df, vec_df).collect()}
     assert got == {i: pytest.approx(brute_variance([table[w] for w in t or []]), abs=1e-6) for i, t in enumerate(rows)}
-
-
-def test_streaming_lookup_refuses_large_tables(words):
-    with pytest.raises(ValueError):
-        similarity.token_similarity_variance(words[1], max_bytes=1)
+    assert moments(df.limit(0), vec_df).count() == 0
+    assert [r.f_embed_variance for r in moments(df, vec_df.limit(0)).collect()] == [0.0] * 4
+
+
+def test_word_table_of_any_size_serves_without_a_broadcast(spark):
+    rng = np.random.default_rng(3)
+    size = 60_000
+    numbers = spark.range(size).select(F.concat(F.lit("v"), "id").alias("word"), *(F.rand(i).alias(f"x{i}") for i in range(6)))
+    stored = word_moments.word_table(numbers.select("word", F.array(*(f"x{i}" for i in range(6))).alias("vector")))
+    table = {r.word: np.array(r.vector) for r in stored.collect()}
+    docs = [(i, [f"v{n}" for n in rng.integers(0, size, 40)]) for i in range(50)]
+    df = spark.createDataFrame(docs, "doc_id int, tokens array<string>")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        out = word_moments.with_word_moments(df, "tokens", stored, 6)
+        got = {r.doc_id: r.f_embed_variance for r in out.collect()}
+        plan = out._jdf.queryExecution().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert "Broadcast" not in plan
+    for key, tokens in docs:
+        assert got[key] == pytest.approx(brute_variance([table[w] for w in tokens]), abs=1e-6)
 
 
 def test_group_variance_with_one_hot_group(spark):
@@ -215,7 +254,7 @@ def test_mean_vector_divides_by_all_tokens_as_mllib_does(spark):
     train = spark.createDataFrame([(("a b c a b c " * 20).split(),)], "tokens array<string>")
     model = vectors.word2vec_fit(train, "tokens", vector_size=4, partitions=1)
     mllib = {r.id: list(r.w2v_features) for r in model.transform(docs).collect()}
-    ours = vectors.mean_word_vector(docs, "id", "tokens", model.getVectors(), 4)
+    ours = vectors.mean_word_vector(docs, "id", "tokens", word_moments.word_table(model.getVectors()), 4)
     got = {r.id: (r.n_tokens, r.mean_vector) for r in ours.collect()}
     assert {k: v[0] for k, v in got.items()} == {1: 4, 2: 1, 3: 0}
     for key, vector in mllib.items():
@@ -323,3 +362,125 @@ def test_ml_tokenize_equals_the_tokenizer(spark, text):
     df = spark.createDataFrame([(text,)], "text string")
     expected = Tokenizer(inputCol="text", outputCol="tokens").transform(df).first().tokens
     assert df.select(ml_tokenize("text").alias("tokens")).first().tokens == expected
+
+
+@pytest.mark.parametrize("held", [10, 60, 100_000])
+def test_leading_items_are_exact_with_bounded_counts(spark, held):
+    rng = random.Random(held)
+    names = [f"i{n:03d}" for n in range(400)]
+    rows = [(g, rng.choices(names, [1 / (n + 1) ** e for n in range(400)], k=rng.randint(0, 60))) for g, e in (("a", 1.2), ("b", 1.5), ("flat", 0)) for _ in range(80)]
+    rows += [("a", None), ("b", ["i399"] * 500)]
+    df = spark.createDataFrame(rows, "g string, words array<string>").repartition(6)
+    got = {(r["group"], r["rank"]): (r["item"], r.n) for r in heavy_hitters.leading_items(df, "words", 7, "g", held).collect()}
+    for group in ("a", "b", "flat"):
+        counts = Counter(w for g, words in rows if g == group for w in words or [])
+        expected = sorted(counts.items(), key=lambda pair: (-pair[1], pair[0]))[:7]
+        assert [got[group, i + 1] for i in range(7)] == expected
+    one = heavy_hitters.leading_items(df, "words", 3, held=held).orderBy("rank").collect()
+    everything = Counter(w for _, words in rows for w in words or [])
+    assert [(r["item"], r.n) for r in one] == sorted(everything.items(), key=lambda pair: (-pair[1], pair[0]))[:3]
+
+
+def test_bounded_counts_send_no_more_than_they_hold(spark):
+    df = spark.range(4000).select(F.array(F.concat(F.lit("w"), F.col("id") % 1000), F.lit("often")).alias("words"), F.lit("all").alias("g")).repartition(5)
+    parts = heavy_hitters.bounded_counts(df, "words", "g", 50).withColumn("task", F.spark_partition_id())
+    sizes = parts.groupBy("task").agg(F.count("item").alias("items"), F.sum("taken_off").alias("off")).collect()
+    assert len(sizes) == 5 and all(r["items"] <= 50 for r in sizes)
+    off = sum(r.off for r in sizes)
+    lower = parts.filter("item = 'often'").agg(F.sum("n")).first()[0]
+    assert off > 0 and lower <= 4000 <= lower + off
+
+
+def csv_texts(rng):
+    """Files of two kinds of line ends with every trouble that quotes can make."""
+    def field():
+        if rng.random() < 0.3:
+            return rng.choice(["", "abc", "x y", '5" disk', 'a"b"c', ' "lead', "é"])
+        inner = ["a", "b\n", '""', ",", "\r\n", " ", "\n\n", "long text "]
+        return '"' + "".join(rng.choice(inner) for _ in range(rng.randint(0, 30))) + '"' + rng.choice(["", "", "", "junk"])
+
+    for i in range(4):
+        rows = ["a,b,c"] + [",".join(field() for _ in range(rng.choice([3, 3, 3, 2, 4]))) for _ in range(rng.randint(5, 120))]
+        yield ("\r\n" if i == 1 else "\n").join(rows[:4] + [""] + rows[4:]) + ("\n" if i == 2 else "")
+
+
+def test_split_csv_equals_the_reader_of_whole_files(spark, tmp_path):
+    for i, text in enumerate(csv_texts(random.Random(1))):
+        (tmp_path / f"{i}.csv").write_bytes(text.encode())
+    (tmp_path / "open.csv").write_bytes(b'a,b,c\n1,2,3\n4,"never closed\n5')
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "700")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        for name in ("0.csv", "1.csv", "2.csv", "3.csv", "open.csv", ""):
+            path = str(tmp_path / name)
+            whole = spark.read.options(header="true", **split_csv.OPTIONS).csv(path)
+            found = split_csv.read_csv_in_parts(spark, path)
+            assert found.columns == whole.columns
+            assert sorted(map(str, found.collect())) == sorted(map(str, whole.collect())) and whole.count() > 0
+            tasks = spark.read.option("lineSep", "\n").text(path).rdd.getNumPartitions()
+            assert tasks > 3 or name == "open.csv"
+        typed = split_csv.read_csv_in_parts(spark, str(tmp_path / "open.csv"), "a int, b string, c string")
+        assert [r.a for r in typed.orderBy("a").collect()] == [1, 4]
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+
+
+def test_states_of_an_added_split_equal_a_full_recount(spark, sf_dir, tmp_path):
+    columns = [c for c, _ in reshape.SOURCE_COLUMNS]
+    wide, clean = tables.wide_corpus(spark, sf_dir), tables.clean_corpus(spark, sf_dir)
+    path, done = str(tmp_path / "states"), []
+    for method in reshape.GENERATION_METHODS:
+        before = {p: p.stat().st_mtime_ns for p in (tmp_path / "states").rglob("*.parquet")}
+        for _ in range(2 if not done else 1):  # storing a split again changes nothing
+            states.store_split(path, method, *(df.filter(F.col("generation_method") == method) for df in (wide, clean)), columns)
+        done.append(method)
+        assert len(done) == 1 or all(p.stat().st_mtime_ns == at for p, at in before.items())
+        some = clean.filter(F.col("generation_method").isin(*done))
+        told = states.vocabulary_stats(spark, path)
+        assert all("/states/" in f for f in told.inputFiles())
+        found = {r.source: r for r in told.collect()}
+        for r in stats.vocabulary_stats(some).collect():
+            got = found[r.source]
+            assert (got.total_words, got.unique_words) == (r.total_words, r.unique_words)
+            assert (got.ttr, got.avg_words_per_abstract) == pytest.approx((r.ttr, r.avg_words_per_abstract))
+        assert sorted(map(tuple, states.word_frequency(spark, path).collect())) == sorted(map(tuple, stats.word_frequency(some).collect()))
+        assert states.text_counts(spark, path).first()[0] == some.count()
+    whole = {r.column_name: r for r in stats.word_count_stats(wide, columns).collect()}
+    for r in states.column_statistics(spark, path).collect():
+        expected = whole[r.column_name]
+        assert (r.avg_words, r.min_words, r.max_words) == (pytest.approx(expected.avg_words), expected.min_words, expected.max_words)
+
+
+def test_bounded_roc_points_lie_on_the_exact_curve(spark):
+    rng = random.Random(6)
+    rows = [(int(s + rng.gauss(0, 0.4) > 0.5), s, 0.0) for s in (rng.choice([rng.random(), 0.25]) for _ in range(6000))] + [(0, None, 0.0)] * 5
+    df = spark.createDataFrame(rows, "label int, score double, prediction double").repartition(5)
+    exact = {r.threshold: (r.fpr, r.tpr) for r in metrics.roc_points(df, points=100_000).collect()}
+    assert len(exact) == len({s for _, s, _ in rows})
+    few = metrics.roc_points(df, points=50).orderBy(F.desc("threshold")).collect()
+    assert 20 < len(few) <= 51 and all((r.fpr, r.tpr) == exact[r.threshold] for r in few if r.threshold is not None)
+    assert (few[-1].fpr, few[-1].tpr) == (1.0, 1.0)
+    scores = sorted(s for _, s, _ in rows if s is not None)
+    cuts = sorted(r.threshold for r in few if r.threshold is not None)
+    assert cuts[0] == scores[0]
+    between = [sum(1 for s in scores if a < s < b) for a, b in zip(cuts, [*cuts[1:], 2.0])]
+    assert max(between) <= 1.2 / 50 * len(scores)
+
+
+def test_samples_are_exact_when_keys_repeat(spark):
+    rows = [(0, "same", f"t{i % 2}") for i in range(5)] + [(1, f"k{i % 3}", "x") for i in range(30)] + [(2, "one", "y")] * 7
+    for parts in (1, 4):
+        df = spark.createDataFrame(rows, "label int, key string, text string").repartition(parts)
+        sample = stats.count_by(sampling.stratified_fixed_sample(df, "label", "key", {0: 3, 1: 17, 2: 7}), "label")
+        assert [tuple(r) for r in sample.collect()] == [(0, 3), (1, 17), (2, 7)]
+        kept = [tuple(r) for r in sampling.stratified_fixed_sample(df, "label", "key", {0: 3, 1: 17}).collect()]
+        assert Counter(kept) <= Counter(rows) and len(kept) == 20
+        if parts == 1:
+            first = Counter(kept)
+        assert Counter(kept) == first
+        split = sampling.stratified_holdout(df, "label", "key", 60)
+        assert Counter(tuple(r)[:3] for r in split.collect()) == Counter(rows)
+        sizes = {(r.label, r.split): r.n_rows for r in stats.count_by(split, "label", "split").collect()}
+        assert sizes == {(0, "train"): 3, (0, "test"): 2, (1, "train"): 18, (1, "test"): 12, (2, "train"): 4, (2, "test"): 3}
