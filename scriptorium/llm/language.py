@@ -85,7 +85,7 @@ def fit_language_model(
     """Fit centroids to labelled rows; None if there are none.
 
     Term weights come from all labelled rows. Centroids are clustered on at most `sample` rows of each
-    language, those with the lowest key hashes; this bounds what the driver receives. A centroid rejects
+    language, those with the lowest key hashes, then text hashes; this bounds what the driver receives. A centroid rejects
     what lies farther from it than `slack` times its farthest sample.
     """
     rows = docs.filter(F.col(label).isNotNull() & F.col(text).isNotNull()).select(
@@ -111,7 +111,10 @@ def fit_language_model(
 
     order = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key")
     picked = rows.select("key", "label").withColumn("place", F.row_number().over(order)).filter(F.col("place") <= sample)
-    sampled = rows.join(F.broadcast(picked.select("key", "label")), ["key", "label"])
+    sampled = rows.join(F.broadcast(picked.select("key", "label").distinct()), ["key", "label"])
+    # A key may be there many times, so the rows themselves are bounded once more.
+    again = Window.partitionBy("label").orderBy(F.xxhash64("key"), "key", F.xxhash64("text"))
+    sampled = sampled.withColumn("place", F.row_number().over(again)).filter(F.col("place") <= sample).drop("place")
 
     def counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

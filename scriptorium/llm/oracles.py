@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from scriptorium.llm.licenses import TEMPLATES
+from scriptorium.llm.license_texts import TEMPLATES
 
 WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -111,43 +111,55 @@ SELECT docs.doc_id, coalesce(n, 0) AS n_shingles, component_id
 FROM docs LEFT JOIN sizes ON docs.doc_id = sizes.doc_id JOIN (SELECT x, min(y) AS component_id FROM reached GROUP BY x) ON docs.doc_id = x
 """
 
-_TEMPLATE_ROWS = ", ".join(f"('{name}', '{text}')" for name, text in TEMPLATES.items())
+_TEMPLATE_ROWS = ", ".join(f"('{name}', {i}, '{text}')" for i, (name, text) in enumerate(TEMPLATES))
+LICENSE_PATHS = """
+    SELECT doc_id, concat_ws('/', source, CASE WHEN doc_id % 7 > 0 THEN doc_id // 500 END, CASE WHEN doc_id % 7 > 1 THEN doc_id // 125 END,
+        CASE WHEN doc_id % 7 > 2 THEN doc_id // 25 END) AS dir, coalesce(text, '') AS text FROM documents
+"""
 
 LICENSE_SQL = f"""
-WITH templates AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) AS t(license, notice)),
+WITH templates AS (SELECT * FROM (VALUES {_TEMPLATE_ROWS}) AS t(license, template, notice)),
 template_terms AS (
-    SELECT license, term, count(*) AS tf
-    FROM (SELECT license, unnest(regexp_extract_all(lower(notice), '[a-z0-9]+')) AS term FROM templates) GROUP BY ALL
-),
-files AS (
-    SELECT doc_id, concat_ws('/', source, doc_id // 200, doc_id // 10) AS dir, coalesce(text, '') AS text,
-        concat_ws('/', source, doc_id // 200, doc_id // 10, 'file_' || doc_id) AS path FROM documents
-),
-lines AS (
-    SELECT doc_id, place, regexp_extract_all(lower(line), '[a-z0-9]+') AS terms
-    FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS line, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM files)
-),
-full_lines AS (SELECT * FROM lines WHERE len(terms) > 0),
-size AS (SELECT count(*) AS n FROM full_lines),
-counts AS (SELECT doc_id, place, term, count(*) AS tf FROM (SELECT doc_id, place, unnest(terms) AS term FROM full_lines) GROUP BY ALL),
+    SELECT license, template, term, count(*) AS tf
+    FROM (SELECT license, template, unnest(regexp_extract_all(lower(notice), '[a-z0-9]+')) AS term FROM templates) GROUP BY ALL
+),
+files AS (SELECT *, dir || '/file_' || doc_id AS path FROM ({LICENSE_PATHS})),
+units AS (
+    SELECT doc_id, 0 AS kind, unnest(string_split(text, chr(10))) AS unit, generate_subscripts(string_split(text, chr(10)), 1) AS place FROM files
+    UNION ALL SELECT doc_id, 1, unnest(string_split_regex(text, '\\n[^A-Za-z0-9\\n]*\\n')),
+        generate_subscripts(string_split_regex(text, '\\n[^A-Za-z0-9\\n]*\\n'), 1) FROM files
+    UNION ALL SELECT doc_id, 2, CASE WHEN first_other IS NULL THEN text ELSE array_to_string(list_slice(lines, 1, first_other - 1), chr(10)) END, 1
+    FROM (
+        SELECT doc_id, text, lines, nullif(list_position(list_transform(lines, lambda l: regexp_matches(l, '^[ \\t\\r]*(\\z|#|//|/\\*|\\*|--|;|%)')), false), 0) AS first_other
+        FROM (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM files))
+    UNION ALL SELECT doc_id, 3, text, 1 FROM files
+),
+full_units AS (
+    SELECT * FROM (SELECT doc_id, kind, place, regexp_extract_all(lower(unit), '[a-z0-9]+') AS terms FROM units) WHERE len(terms) > 0
+),
+size AS (SELECT count(*) AS n FROM full_units WHERE kind = 0),
+counts AS (SELECT doc_id, kind, place, term, count(*) AS tf FROM (SELECT doc_id, kind, place, unnest(terms) AS term FROM full_units) GROUP BY ALL),
 idf AS (
     SELECT term, ln((1 + (SELECT n FROM size)) / (1 + count(c.doc_id))) + 1 AS idf
-    FROM (SELECT DISTINCT term FROM template_terms) LEFT JOIN counts c USING (term) GROUP BY term
+    FROM (SELECT DISTINCT term FROM template_terms) LEFT JOIN (SELECT * FROM counts WHERE kind = 0) c USING (term) GROUP BY term
 ),
-raw AS (SELECT license, term, tf * idf AS w FROM template_terms JOIN idf USING (term)),
-weights AS (SELECT license, term, w / sqrt(sum(w * w) OVER (PARTITION BY license)) AS share FROM raw),
+raw AS (SELECT license, template, term, tf * idf AS w FROM template_terms JOIN idf USING (term)),
+weights AS (SELECT license, template, term, w / sqrt(sum(w * w) OVER (PARTITION BY template)) AS share FROM raw),
 weighted AS (
-    SELECT doc_id, place, term, tf * coalesce(idf, ln((1 + (SELECT n FROM size)) / 2) + 1) AS w FROM counts LEFT JOIN idf USING (term)
+    SELECT doc_id, kind, place, term, tf * coalesce(idf, ln((1 + (SELECT n FROM size)) / 2) + 1) AS w FROM counts LEFT JOIN idf USING (term)
+),
+squares AS (SELECT doc_id, kind, place, sum(w * w) AS square FROM weighted GROUP BY ALL),
+dots AS (SELECT doc_id, kind, place, license, template, sum(w * share) AS dot FROM weighted JOIN weights USING (term) GROUP BY ALL),
+scored AS (SELECT doc_id, kind, place, license, round(dot / sqrt(square), 6) AS score FROM dots JOIN squares USING (doc_id, kind, place)),
+best_units AS (
+    SELECT * FROM scored WHERE score >= 0.8 QUALIFY row_number() OVER (PARTITION BY doc_id, kind, place ORDER BY score DESC, license) = 1
 ),
-squares AS (SELECT doc_id, place, sum(w * w) AS square FROM weighted GROUP BY ALL),
-dots AS (SELECT doc_id, place, license, sum(w * share) AS dot FROM weighted JOIN weights USING (term) GROUP BY ALL),
-scored AS (SELECT doc_id, place, license, round(dot / sqrt(square), 6) AS score FROM dots JOIN squares USING (doc_id, place)),
-best_lines AS (
-    SELECT * FROM scored WHERE score >= 0.8 QUALIFY row_number() OVER (PARTITION BY doc_id, place ORDER BY score DESC, license) = 1
+held AS (
+    SELECT doc_id, max(held) AS held FROM (
+        SELECT doc_id, kind, sum(len(terms)) AS held FROM best_units JOIN full_units USING (doc_id, kind, place) GROUP BY ALL) GROUP BY doc_id
 ),
-held AS (SELECT doc_id, sum(len(terms)) AS held FROM best_lines JOIN full_lines USING (doc_id, place) GROUP BY doc_id),
-own AS (SELECT * FROM best_lines QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license, place) = 1),
-totals AS (SELECT doc_id, sum(len(terms)) AS terms FROM lines GROUP BY doc_id),
+own AS (SELECT * FROM best_units QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, license, kind, place) = 1),
+totals AS (SELECT doc_id, len(terms) AS terms FROM full_units WHERE kind = 3),
 rules AS (
     SELECT dir AS from_dir, license AS dir_license, score AS dir_score
     FROM own JOIN held USING (doc_id) JOIN totals USING (doc_id) JOIN files USING (doc_id) WHERE held >= 0.05 * terms

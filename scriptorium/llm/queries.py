@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from scriptorium.llm import (
@@ -36,12 +36,18 @@ def op1_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read_documents(spark, path, with_ids=False)
 
 
+def repository_path(doc_id: str = "doc_id", source: str = "source") -> Column:
+    """A place for each document in the repository of its source: up to three folders deep, files at every depth."""
+    depth = F.col(doc_id) % 7
+    folders = [F.when(depth > level, F.expr(f"cast({doc_id} div {size} as string)")) for level, size in enumerate((500, 125, 25))]
+    return F.concat_ws("/", source, *folders, F.concat(F.lit("file_"), F.col(doc_id).cast("string")))
+
+
 @query("op2_license_scan", LICENSE_SQL)
 def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as files of repositories: a source has folders of 200 documents with sub-folders of 10."""
+    """Documents as files of repositories, one for each source."""
     docs = table(spark, sf_dir, "documents")
-    path = F.concat_ws("/", "source", F.expr("doc_id div 200"), F.expr("doc_id div 10"), F.concat(F.lit("file_"), F.col("doc_id").cast("string")))
-    return licenses.scan_licenses(docs.select("doc_id", path.alias("path"), "text"))
+    return licenses.scan_licenses(docs.select("doc_id", repository_path().alias("path"), "text"))
 
 
 @query("op3_substring_dedup", SUBSTRING_SQL)

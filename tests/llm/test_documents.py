@@ -1,6 +1,8 @@
 """Quality rules, fingerprints, language, licences and mixing on small documents."""
 
 import hashlib
+import math
+import textwrap
 from collections import Counter
 
 import duckdb
@@ -9,8 +11,12 @@ import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as entry_point
 from scriptorium.llm import fingerprints, language, licenses, mixing, quality
+from scriptorium.llm.license_texts import TEMPLATES
 from scriptorium.llm.oracles import LICENSE_SQL, MIXING_SQL, QUALITY_SQL
+from scriptorium.llm.queries import repository_path
+from scriptorium.session import shared_dir
 from tests.llm.samples import empty, frame, plain, rows
 
 
@@ -80,6 +86,48 @@ def test_language_accuracy_on_held_out_documents(spark, sf_dir):
     assert all(0 <= r.score <= 1 for r in found)
 
 
+def brute_language(text, model):
+    """The nearest centroid by cosine, term by term."""
+    if not any(c.isalpha() for c in text or ""):
+        return "und", 0.0
+    letters = bytes(b if b > 127 or chr(b).isalpha() else 32 for b in f" {text.lower()} ".encode())
+    letters = bytes(b for i, b in enumerate(letters) if b != 32 or i == 0 or letters[i - 1] != 32)
+    counts = Counter()
+    for n in (1, 2, 3):
+        for at in range(len(letters) - n + 1):
+            value = n
+            for b in letters[at : at + n]:
+                value = (value << 8 | b) % 2**32
+            counts[value * 2654435761 % 2**32 >> 20] += 1
+    weights = {slot: math.log(1 + n) * float(model.idf[slot]) for slot, n in counts.items()}
+    norm = math.sqrt(sum(w * w for w in weights.values()))
+    cosines = [sum(w * float(row[slot]) for slot, w in weights.items()) / norm for row in model.centroids]
+    best = max(range(len(cosines)), key=cosines.__getitem__)
+    return model.languages[best], cosines[best]
+
+
+def test_languages_equal_brute_force(spark, sf_dir):
+    given = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    docs = given.unionByName(frame(spark).select("doc_id", "text", "lang"))
+    model = language.fit_language_model(given)
+    assert len(model.languages) > 4
+    found = language.predict_language(docs, model).collect()
+    expected = [(r.doc_id, *brute_language(r.text, model)) for r in docs.collect()]
+    told = sorted(((r.doc_id, r.lang_pred, r.score) for r in found), key=str)
+    for (key, name, score), (other, wanted, cosine) in zip(told, sorted(expected, key=str), strict=True):
+        assert key == other and score == pytest.approx(min(max(cosine, 0), 1), abs=1e-4)
+        assert name == wanted or abs(score - cosine) < 1e-4
+
+
+def test_a_key_that_is_there_often_does_not_widen_the_sample(spark, monkeypatch):
+    data = [(1, f"hello world number {i}", "en", "a", 0, "", 0, "") for i in range(300)] + [(2, "bonjour le monde", "fr", "a", 0, "", 0, "")]
+    sizes = []
+    cluster = language.cluster
+    monkeypatch.setattr(language, "cluster", lambda vectors, most: sizes.append(len(vectors)) or cluster(vectors, most))
+    model = language.fit_language_model(frame(spark, data), sample=20)
+    assert sizes == [20, 1] and set(model.languages) == {"en", "fr"}
+
+
 def test_language_of_awkward_texts(spark):
     model = language.fit_language_model(frame(spark))
     found = language.predict_language(frame(spark), model).collect()
@@ -94,15 +142,57 @@ def test_language_of_awkward_texts(spark):
 
 
 def test_licences_equal_sql(spark):
-    docs = frame(spark).filter("doc_id IS NOT NULL AND doc_id <> 1000")
-    path = F.concat_ws("/", "source", F.expr("doc_id div 200"), F.expr("doc_id div 10"), F.concat(F.lit("file_"), F.col("doc_id").cast("string")))
-    found = licenses.scan_licenses(docs.select("*", path.alias("path")))
-    sql = LICENSE_SQL.replace("FROM documents", "FROM (SELECT * FROM documents WHERE doc_id IS NOT NULL AND doc_id <> 1000)")
-    expected = by_sql(sql)
+    data = [(r[0] + 7 * (i % 3), *r[1:]) for i, r in enumerate(rows()) if r[0] is not None and r[0] != 1000]
+    data += [(2002, "MIT License", "en", "a", 0, "k", 7, "x"), (2009, "SPDX-License-Identifier: ISC", "en", "b", 0, "k", 7, "x")]
+    docs = frame(spark, data).dropDuplicates(["doc_id"]).cache()
+    found = licenses.scan_licenses(docs.select("*", repository_path().alias("path")))
+    docs.toPandas().to_parquet(f"{shared_dir(spark)}/licence-rows.parquet")
+    sql = LICENSE_SQL.replace("FROM documents", f"FROM '{shared_dir(spark)}/licence-rows.parquet'")
+    expected = duckdb.execute(sql).fetchall()
     assert plain(found.collect()) == plain(expected)
     assert {e[4] for e in expected} == {"header", "inherited", "none"}
 
 
+def test_query_has_every_origin_and_inherits_from_above(spark):
+    found = entry_point.queries()["op2_license_scan"](spark, "/root/testdata/sf0.01").collect()
+    assert len(found) == 1000 and {r.origin for r in found} == {"header", "inherited", "none"}
+    assert any(r.from_dir is not None and r.from_dir != r.path.rsplit("/", 1)[0] for r in found)
+
+
+def wrapped(text, width, mark=""):
+    paragraphs = [" ".join(p.split()) for p in text.strip().split("\n\n")]
+    lines = [line for p in paragraphs for line in [*textwrap.wrap(p, width), ""]]
+    return "\n".join(f"{mark}{line}" for line in lines)
+
+
+def test_genuine_texts_are_known_wrapped_or_not(spark):
+    prose = "\n".join(" ".join(f"word{(7 * i * j) % 997}" for j in range(12)) for i in range(1, 40))
+    by_text = {(name, text): 0 for name, text in TEMPLATES}
+    data, expected = [], {}
+
+    def add(name, text):
+        data.append((len(data), f"p{len(data)}/x", text))
+        expected[len(data) - 1] = name
+
+    for name, text in by_text:
+        if len(text) > 100:
+            owner = "Copyright (c) 2019 The Authors\n\n" if len(text) > 600 else ""
+            add(name, owner + text)
+            add(name, owner + wrapped(text, 60))
+            add(name, wrapped(text, 10_000))
+            add(name, wrapped(text, 72, "# ") + "\n\nimport os\n\n" + prose)
+            add(name, "/*\n" + wrapped(text, 50, " * ") + "\n */\n\n" + prose)
+        else:
+            add(name, text)
+            add(name, f"// {text}\n\n{prose}")
+            add(name, f"{prose}\n{text.upper()}\n{prose}")
+    add(None, prose)
+    add(None, "the license of the software and the rights of all people, with conditions that follow in this text")
+    files = spark.createDataFrame(data, "doc_id int, path string, text string").repartition(4)
+    found = {r.doc_id: r.license for r in licenses.scan_licenses(files).collect()}
+    assert {k: (found[k], v) for k, v in expected.items() if found[k] != v} == {}
+
+
 def test_licences_of_awkward_rows(spark):
     data = [(1, "a/b/LICENSE", "Released under the MIT License."), (2, "a/b/c/x", "code"), (3, "a/y", None), (4, None, "All rights reserved.")]
     data += [(None, "a/b/z", ""), (2, "a/b/c/x", "code")]
