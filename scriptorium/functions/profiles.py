@@ -40,25 +40,25 @@ class TextProfile:
 
 # Word lists and character sets that results depend on.
 _STOPWORDS = (
-    "في من إلى على عن حتى منذ مذ خلال بين أمام خلف تحت فوق "
-    "و ف ثم أو أم بل لكن كما حيث إذا إذ إن أن كان "
-    "هو هي هم هن أنا نحن أنت أنتم ذلك تلك هذا هذه هؤلاء "
-    "ها هما أنتما إياك إياه إياها "
-    "كذلك أيضا أيضًا بعض كل جميع بعد قبل حول نحو ضد "
-    "قد لقد لا ما لم لن ليس غير سوى "
-    "كانت يكون تكون أصبح صار ظل بات "
-    "إذن لذلك بحيث لذا "
-    "أولا ثانيا ثالثا رابعا خامسا"
+    "في", "من", "إلى", "على", "عن", "حتى", "منذ", "مذ", "خلال", "بين", "أمام", "خلف", "تحت", "فوق",
+    "و", "ف", "ثم", "أو", "أم", "بل", "لكن", "كما", "حيث", "إذا", "إذ", "إن", "أن", "كان",
+    "هو", "هي", "هم", "هن", "أنا", "نحن", "أنت", "أنتم", "ذلك", "تلك", "هذا", "هذه", "هؤلاء",
+    "ها", "هما", "أنتما", "إياك", "إياه", "إياها",
+    "كذلك", "أيضا", "أيضًا", "بعض", "كل", "جميع", "بعد", "قبل", "حول", "نحو", "ضد",
+    "قد", "لقد", "لا", "ما", "لم", "لن", "ليس", "غير", "سوى",
+    "كانت", "يكون", "تكون", "أصبح", "صار", "ظل", "بات",
+    "إذن", "لذلك", "بحيث", "لذا",
+    "أولا", "ثانيا", "ثالثا", "رابعا", "خامسا",
 )
 _PARTICLES = (
-    "في من إلى على عن حتى منذ مذ خلال بين أمام خلف "
-    "و ف ثم أو أم بل لكن كما "
-    "أن لن كي إذن "
-    "لم لما لا "
-    "هل أ "
-    "إن كأن ليت لعل"
+    "في", "من", "إلى", "على", "عن", "حتى", "منذ", "مذ", "خلال", "بين", "أمام", "خلف",
+    "و", "ف", "ثم", "أو", "أم", "بل", "لكن", "كما",
+    "أن", "لن", "كي", "إذن",
+    "لم", "لما", "لا",
+    "هل", "أ",
+    "إن", "كأن", "ليت", "لعل",
 )
-_PRONOUNS = "أنا انا نحن"
+_PRONOUNS = ("أنا", "انا", "نحن")
 _STRIPPED_MARKS = "ًٌٍَُِّْ"
 _COUNTED_MARKS = _STRIPPED_MARKS + "ٰٕٓٔ"
 _TATWEEL = "ـ"
@@ -75,9 +75,9 @@ ARABIC = TextProfile(
     folds=_LETTER_FOLDS,
     range_first="؀",
     range_last="ۿ",
-    stopwords=tuple(_STOPWORDS.split()),
-    particles=tuple(_PARTICLES.split()),
-    pronouns=tuple(_PRONOUNS.split()),
+    stopwords=_STOPWORDS,
+    particles=_PARTICLES,
+    pronouns=_PRONOUNS,
     pronoun_folds=_ALEF_FOLDS,
     person_suffixes=_PERSON_SUFFIXES,
     person_min_length=4,

@@ -78,7 +78,7 @@ def leading_items(rows: DataFrame, items: str, k: int, by: str | None = None, he
         bars = leading.filter(F.col("n") > taken_off).select("group", F.col("n").alias("bar"))
         candidates = counted.join(F.broadcast(bars), "group").filter(F.col("n") + taken_off >= F.col("bar")).select("group", "item")
         candidates = through_table(candidates, "heavy-candidates")
-        known = F.broadcast(candidates) if fits_in_memory(candidates, 2 * WORD_BYTES) else candidates
+        known = F.broadcast(candidates) if fits_in_memory(candidates, WORD_BYTES, texts=("group", "item")) else candidates
         each = named.select(F.col("by").alias("group"), F.explode("items").alias("item"))
         barred = F.broadcast(bars.select("group"))
         sure = each.join(known, ["group", "item"], "left_semi")

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.functions.profiles import UNICODE_BLANKS
 from scriptorium.plans.prefix import with_row_numbers
+from scriptorium.session import through_table
 
 # Column names and tags of the corpus files.
 SOURCE_COLUMNS = (
@@ -84,13 +85,14 @@ def payload_rows(
     """Texts to send: (id, text, true_source, timestamp).
 
     Blank and missing texts are skipped and take no id. Ids count 0, 1, 2 … along the unique numeric
-    column `order`. The true source follows from the name of the text column.
+    column `order`. The true source follows from the name of the text column. The texts are stored first, as
+    numbering reads its rows several times.
     """
     text = F.btrim(F.col(column), F.lit(UNICODE_BLANKS))
     rows = df.select(F.col(order).alias("__order"), text.alias("text"), epoch.cast("double").alias("timestamp"))
     rows = rows.filter(F.col("text").isNotNull() & (F.col("text") != ""))
     if limit is not None:
         rows = row_limit(rows, limit, "__order")
-    numbered = with_row_numbers(rows, "__order", "id")
+    numbered = with_row_numbers(through_table(rows, "payload-texts"), "__order", "id")
     tag = "human" if "original" in column else "ai"
     return numbered.select("id", "text", F.lit(tag).alias("true_source"), "timestamp")

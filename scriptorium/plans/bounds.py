@@ -28,10 +28,14 @@ def spread_small_input(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
-def fits_in_memory(table: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Whether `table`, at `row_bytes` per row, stays below `max_bytes`. Counts no further than that."""
-    most = max_bytes // row_bytes
-    return table.limit(most + 1).count() <= most
+def fits_in_memory(table: DataFrame, row_bytes: int, max_bytes: int = BROADCAST_BYTES, texts: tuple[str, ...] = ()) -> bool:
+    """Whether `table`, at `row_bytes` per row and the bytes of its columns `texts`, stays within `max_bytes`.
+
+    Counts the table in parallel; give it a stored one.
+    """
+    held = [F.coalesce(F.sum(F.octet_length(c)), F.lit(0)) for c in texts]
+    found = table.agg(F.count("*").alias("n"), *(h.alias(f"b{i}") for i, h in enumerate(held))).first()
+    return found["n"] * row_bytes + sum(found[f"b{i}"] for i in range(len(texts))) <= max_bytes
 
 
 def join_words(
@@ -40,16 +44,19 @@ def join_words(
     row_bytes: int,
     how: str = "inner",
     word: str = "word",
-    salt: int = 16,
     max_bytes: int = BROADCAST_BYTES,
+    rows_per_task: int = 1_000_000,
 ) -> DataFrame:
     """Attach the row of `table` for each word.
 
-    A frequent word can hold a large share of `pairs`. Without a broadcast its rows are therefore
-    spread over `salt` partitions, each of which receives a copy of the word's single table row.
+    A frequent word can hold a large share of `pairs`. Without a broadcast the rows of a word are therefore
+    spread over partitions, as many as its most frequent word needs at `rows_per_task` rows each; every one of
+    them receives a copy of the word's single table row.
     """
-    if fits_in_memory(table, row_bytes, max_bytes):
+    if fits_in_memory(table, row_bytes, max_bytes, (word,)):
         return pairs.join(F.broadcast(table), word, how)
+    hottest = pairs.groupBy(word).agg(F.count("*").alias("n")).agg(F.coalesce(F.max("n"), F.lit(0))).first()[0]
+    salt = max(1, -(-hottest // rows_per_task))
     others = [c for c in pairs.columns if c != word]
     spread = pairs.withColumn("__salt", F.pmod(F.xxhash64(*others), F.lit(salt)).cast("int"))
     copies = table.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))

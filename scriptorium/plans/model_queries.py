@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
 from scriptorium.functions.text import ml_tokenize
 from scriptorium.operators import classifiers as c
 from scriptorium.operators import sampling, vectors
+from scriptorium.operators.projected_vectors import context_weights, projected_sums
 from scriptorium.operators.word_moments import word_table
 from scriptorium.plans import oracle_sql as o
 from scriptorium.plans import tables as t
@@ -15,6 +18,7 @@ from scriptorium.plans.catalog import built_once, query
 from scriptorium.session import new_path, through_table
 from scriptorium.sources import models as store
 
+
 def stored_corpus(spark, sf_dir):
     """(doc_id, text_clean) of the cleaned corpus as a table, since fitting reads it several times."""
 
@@ -99,6 +103,31 @@ def word2vec_vectors(spark, sf_dir):
     return words.select("word", F.size(vector_to_array("vector")).alias("n_dims"))
 
 
+_PROJECTED = (
+    "placed AS (SELECT doc_id, unnest(words) AS word, unnest(range(len(words))) AS i FROM "
+    f"(SELECT doc_id, {o.ml_tokens('text_clean')} AS words FROM clean)), "
+    "often AS (SELECT word FROM placed GROUP BY word HAVING count(*) >= 5), kept AS (SELECT * FROM placed SEMI JOIN often USING (word)), "
+    "near AS (SELECT x.word AS a, y.word AS b, count(*) AS n FROM kept x JOIN kept y ON x.doc_id = y.doc_id AND x.i <> y.i AND abs(x.i - y.i) <= 2 GROUP BY ALL), "
+    "margins AS (SELECT a, sum(n) AS margin FROM near GROUP BY a), "
+    "shares AS (SELECT near.a, near.b, n::DOUBLE * (SELECT sum(margin) FROM margins)::DOUBLE / (x.margin::DOUBLE * y.margin::DOUBLE) AS share "
+    "FROM near JOIN margins x ON x.a = near.a JOIN margins y ON y.a = near.b), "
+    "weights AS (SELECT a AS word, b AS context, floor(ln(share) * 65536)::BIGINT AS weight FROM shares WHERE share > 1), "
+    "signs AS (SELECT context, CAST('0x' || substr(md5('42:' || context || ':0'), 1, 8) AS BIGINT) AS bits FROM (SELECT DISTINCT context FROM weights)), "
+    "sums AS (SELECT word, j, sum(CASE WHEN (bits >> j) % 2 = 1 THEN -weight ELSE weight END)::BIGINT AS total "
+    "FROM weights JOIN signs USING (context), unnest(range(0, 32)) AS r(j) GROUP BY ALL)"
+)
+
+
+@query(
+    "projected_word_vectors",
+    o.with_ctes("SELECT word, CAST(j AS INTEGER) AS pos, total FROM sums", o.CLEAN, _PROJECTED),
+)
+def projected_word_vectors(spark, sf_dir):
+    """Vectors of 32 dimensions from co-occurrence within two places, as whole sums."""
+    weights = context_weights(tokenized_corpus(spark, sf_dir), "tokens", window=2, min_count=5)
+    return projected_sums(weights, dims=32).select("word", F.posexplode("sums").alias("pos", "total"))
+
+
 _DOC_VECTORS = (
     "counted AS (SELECT doc_id, word, count(*) AS n FROM tokens GROUP BY ALL), "
     "sums AS (SELECT doc_id, i - 1 AS pos, sum(n * CAST(embedding[i] AS DOUBLE)) AS total "
@@ -318,10 +347,14 @@ def _embedding_test_scores(spark, sf_dir):
     return c.batch_score(model, test.withColumn("features", array_to_vector("embedding")))
 
 
-@query("train_on_embeddings")
+@query(
+    "train_on_embeddings",
+    f"SELECT vec_id, label, CAST(1 AS INTEGER) AS decided FROM (SELECT vec_id, CAST(label >= 5 AS INTEGER) AS label, "
+    f"row_number() OVER (PARTITION BY label >= 5 ORDER BY {o.hash32('vec_id')}, vec_id) AS place, "
+    "count(*) OVER (PARTITION BY label >= 5) AS n FROM embeddings) WHERE place > n * 70 // 100",
+)
 def train_on_embeddings(spark, sf_dir):
-    scored = c.with_positive_score(_embedding_test_scores(spark, sf_dir))
-    return scored.select("vec_id", "label", "prediction", F.round("score", 6).alias("score"))
+    return _judged(_embedding_test_scores(spark, sf_dir), "vec_id", "label")
 
 
 def comparison(spark, sf_dir):
@@ -360,6 +393,44 @@ def embedding_comparison(spark, sf_dir):
     )
 
 
+_MEASURES = ("accuracy", "f1", "auc")
+
+
+@query(
+    "model_comparison_bounds",
+    o.with_ctes(
+        "SELECT model, count(*) FILTER (split = 'validation') AS n_validation, count(*) FILTER (split = 'test') AS n_test, "
+        "CAST(1 AS INTEGER) AS bounded FROM split_features, "
+        f"(SELECT unnest([{o.quoted((c.LOGISTIC_REGRESSION, c.RANDOM_FOREST, c.GRADIENT_BOOSTED))}]) AS model) WHERE label IS NOT NULL GROUP BY model",
+        _FEATURES,
+    ),
+)
+def model_comparison_bounds(spark, sf_dir):
+    """Every model that is compared, the rows it is judged on, and whether all its measures lie between 0 and 1."""
+    sizes = {name: split_of(spark, sf_dir, name).count() for name in ("validation", "test")}
+    measures = [F.col(f"{part}_{m}").between(0, 1) for part in ("val", "test") for m in _MEASURES]
+    bounded = reduce(lambda a, b: a & b, measures).cast("int").alias("bounded")
+    counts = (F.lit(n).cast("bigint").alias(f"n_{name}") for name, n in sizes.items())
+    return comparison(spark, sf_dir).select("model", *counts, bounded)
+
+
+@query(
+    "embedding_comparison_bounds",
+    o.with_ctes(
+        "SELECT 'trained word vectors, weighted F1' AS embedding, count(*) AS train_rows, CAST(1 AS INTEGER) AS bounded "
+        "FROM split_features WHERE split = 'train' AND label IS NOT NULL UNION ALL "
+        "SELECT 'precomputed vectors, F1 of class 1', sum(n * 70 // 100)::BIGINT, 1 "
+        "FROM (SELECT count(*) AS n FROM embeddings GROUP BY label >= 5)",
+        _FEATURES,
+    ),
+)
+def embedding_comparison_bounds(spark, sf_dir):
+    """The feature families with their training rows, and whether their measures lie between 0 and 1."""
+    measures = [F.col(f"test_{m}").between(0, 1) for m in _MEASURES]
+    bounded = reduce(lambda a, b: a & b, measures).cast("int").alias("bounded")
+    return embedding_comparison(spark, sf_dir).select("embedding", "train_rows", bounded)
+
+
 @query("training_scale_sweep")
 def training_scale_sweep(spark, sf_dir):
     return c.training_scale_sweep(feature_table(spark, sf_dir)[0].filter(F.col("label").isNotNull()))

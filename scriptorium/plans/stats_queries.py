@@ -345,11 +345,13 @@ def split_class_counts(spark, sf_dir):
     return stats.split_class_counts(sampling.stratified_split(t.corpus_tags(spark, sf_dir), "doc_id"))
 
 
-@query("random_stratified_split")
+@query("random_stratified_split", o.with_ctes("SELECT doc_id, label, CAST(1 AS BIGINT) AS n_splits FROM long", o.LONG))
 def random_stratified_split(spark, sf_dir):
+    """In how many of the three parts each document is."""
     parts = sampling.random_stratified_split(t.corpus_tags(spark, sf_dir).select("doc_id", "label"), "label")
     named = [part.withColumn("split", F.lit(n)) for part, n in zip(parts, ("train", "validation", "test"))]
-    return named[0].union(named[1]).union(named[2])
+    whole = named[0].union(named[1]).union(named[2])
+    return whole.groupBy("doc_id", "label").agg(F.count("split").alias("n_splits"))
 
 
 @query("fraction_sample", o.with_ctes(f"SELECT doc_id, label FROM long WHERE {_BUCKET} < 25", o.LONG))
@@ -362,6 +364,21 @@ def bernoulli_sample(spark, sf_dir):
     return sampling.fraction_sample(t.corpus_tags(spark, sf_dir).select("doc_id", "label"), 0.25)
 
 
+@query(
+    "bernoulli_sample_shares",
+    o.with_ctes("SELECT label, count(*) AS n_rows, CAST(1 AS INTEGER) AS plausible, CAST(0 AS BIGINT) AS n_foreign FROM long GROUP BY label", o.LONG),
+)
+def bernoulli_sample_shares(spark, sf_dir):
+    """Per class the rows, whether the sample's share is within six standard deviations, and sampled rows not in the corpus."""
+    corpus = t.corpus_tags(spark, sf_dir).select("doc_id", "label")
+    drawn = bernoulli_sample(spark, sf_dir).groupBy("doc_id", "label").agg(F.count("*").alias("times"))
+    both = corpus.withColumn("own", F.lit(1)).join(drawn, ["doc_id", "label"], "full")
+    n, times = F.count("own"), F.coalesce(F.sum("times"), F.lit(0))
+    near = F.abs(times - 0.25 * n) <= 6 * F.sqrt(0.1875 * n)
+    foreign = F.count(F.when(F.col("own").isNull() | (F.col("times") > 1), 1))
+    return both.groupBy("label").agg(n.alias("n_rows"), near.cast("int").alias("plausible"), foreign.alias("n_foreign"))
+
+
 SAMPLE_SIZES = {0: 400, 1: 1600}
 _SAMPLE = (
     "sample AS (SELECT doc_id, label FROM (SELECT doc_id, label, row_number() OVER (PARTITION BY label "

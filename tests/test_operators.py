@@ -14,7 +14,7 @@ from scriptorium.functions.messages import message_json, parse_messages, predict
 from scriptorium.functions.text import ml_tokenize
 from scriptorium.operators import corpus_stats as stats
 from scriptorium.operators import partial_states as states
-from scriptorium.operators import heavy_hitters, metrics, reshape, sampling, similarity, vectors, word_moments
+from scriptorium.operators import heavy_hitters, metrics, projected_vectors, reshape, sampling, similarity, vectors, word_moments
 from scriptorium.plans import tables
 from scriptorium.plans.bounds import fits_in_memory, join_words
 from scriptorium.plans.prefix import with_row_numbers, with_running_totals
@@ -243,10 +243,12 @@ def test_salted_join_equals_broadcast_join(spark, how):
     pairs = spark.createDataFrame([(i, "hot" if i % 3 else f"w{i}", i) for i in range(300)], "doc int, word string, n int")
     table = spark.createDataFrame([("hot", 1), ("w3", 2), ("w9", 3)], "word string, x int")
     assert fits_in_memory(table, 10, 100) and not fits_in_memory(table, 10, 20)
+    assert fits_in_memory(table, 10, 37, ("word",)) and not fits_in_memory(table, 10, 36, ("word",))
     columns = ["doc", "word", "n", "x"]
     small = join_words(pairs, table, 10, how).select(columns)
-    large = join_words(pairs, table, 10, how, max_bytes=1).select(columns)
-    assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
+    for rows_per_task in (7, 1000):
+        large = join_words(pairs, table, 10, how, max_bytes=1, rows_per_task=rows_per_task).select(columns)
+        assert sorted(map(str, small.collect())) == sorted(map(str, large.collect()))
 
 
 def test_mean_vector_divides_by_all_tokens_as_mllib_does(spark):
@@ -484,3 +486,58 @@ def test_samples_are_exact_when_keys_repeat(spark):
         assert Counter(tuple(r)[:3] for r in split.collect()) == Counter(rows)
         sizes = {(r.label, r.split): r.n_rows for r in stats.count_by(split, "label", "split").collect()}
         assert sizes == {(0, "train"): 3, (0, "test"): 2, (1, "train"): 18, (1, "test"): 12, (2, "train"): 4, (2, "test"): 3}
+
+
+def test_projected_vectors_are_the_same_for_any_partitions(spark):
+    rng = random.Random(9)
+    kinds = {"animal": ["cat", "dog", "cow"], "tool": ["saw", "axe", "drill"]}
+    around = {"animal": ["eats", "sleeps", "runs"], "tool": ["cuts", "rusts", "breaks"]}
+    docs = []
+    for i in range(300):
+        kind = rng.choice(["animal", "tool"])
+        docs.append((i, [w for _ in range(4) for w in (rng.choice(kinds[kind]), rng.choice(around[kind]), "the")] + [f"rare{i}"]))
+    docs += [(1000, []), (1001, None), (1002, ["the"])]
+    df = spark.createDataFrame(docs, "id int, tokens array<string>")
+    found = [
+        {r.word: r.vector for r in projected_vectors.projected_vectors(df.repartition(n), "tokens", dims=128, window=2).collect()}
+        for n in (1, 7)
+    ]
+    assert found[0] == found[1] and all(len(v) == 128 for v in found[0].values()) and "rare1" not in found[0]
+
+    def cosine(a, b):
+        a, b = np.array(found[0][a]), np.array(found[0][b])
+        return a @ b / np.linalg.norm(a) / np.linalg.norm(b)
+
+    for near, far in (("dog", "axe"), ("cow", "drill")):
+        assert cosine("cat", near) > cosine("cat", far) + 0.3
+    with pytest.raises(ValueError):
+        projected_vectors.projected_vectors(df, "tokens", dims=50)
+
+
+def test_neighbours_are_all_pairs_within_the_window(spark):
+    rows = [list("abcda"), ["x"], [], None]
+    df = spark.createDataFrame([(t,) for t in rows], "tokens array<string>")
+    for window in (1, 2, 9):
+        got = [r[0] for r in df.select(projected_vectors.neighbours("tokens", window)).collect()]
+        expected = Counter((t[i], t[j]) for t in rows[:1] for i in range(5) for j in range(i + 1, 5) if j - i <= window)
+        assert Counter((p.a, p.b) for p in got[0]) == expected and got[1:] == [None] * 3
+
+
+def test_group_variance_of_wide_vectors_travels_in_small_rows(spark, monkeypatch):
+    rng = np.random.default_rng(8)
+    dims = 768
+    rows = [(g, [float(x) for x in rng.normal(size=dims) + g]) for g, n in ((0, 1700), (1, 40), (2, 1), (3, 900)) for _ in range(n)]
+    rng.shuffle(rows)
+    df = spark.createDataFrame(rows, "g int, v array<double>").repartition(3)
+    stored = []
+    keep = similarity.through_table
+    monkeypatch.setattr(similarity, "through_table", lambda rows, name: stored.append(keep(rows, name)) or stored[-1])
+    got = {r.g: r.f_embed_variance for r in similarity.group_similarity_variance(df, "g", "v", dims).collect()}
+    for g in range(4):
+        unit = np.array([v for k, v in rows if k == g])
+        unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+        sims = (unit @ unit.T)[np.triu_indices(len(unit), 1)]
+        assert got[g] == pytest.approx(float(np.var(sims)) if len(sims) else 0.0, abs=1e-6)
+    widest = [table.agg(F.max(F.size("data"))).first()[0] for table in stored]
+    assert max(widest) <= max(similarity.TILE**2, 3 + dims)
+    assert any(table.filter("tile >= 0").count() for table in stored)
