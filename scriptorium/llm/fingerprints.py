@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 SAMPLES = 64
+# Samples drawn in one aggregate: two columns each, few enough for Spark to generate small methods.
+DRAWN_TOGETHER = 16
 RANGES_PER_PARTITION = 8
 _NO_KEY = -(2**63)
 _BLANKS = " \t\n\x0b\f\r"
@@ -24,13 +26,13 @@ def _uniform(bits: Column, shift: int, width: int) -> Column:
     return (part + F.lit(0.5)) * F.lit(1.0 / (1 << width))
 
 
-def samples_of(word: Column, log_weights: list[Column], j: int) -> list[Column]:
+def samples_of(word: Column, log_weights: list[Column], j: Column) -> list[Column]:
     """For each weight of a word, a long in the order of a whose low 32 bits name the word and its t.
 
     A gamma variable of shape 2 is minus the logarithm of a product of two uniform ones. A missing weight
     (a word that a text lacks) gives no sample.
     """
-    bits = F.xxhash64(word, F.lit(j))
+    bits = F.xxhash64(word, j)
     r = -F.log(_uniform(bits, 0, 12) * _uniform(bits, 12, 12))
     log_c = F.log(-F.log(_uniform(bits, 24, 14) * _uniform(bits, 38, 14)))
     b = _uniform(bits, 52, 12)
@@ -50,12 +52,18 @@ def signatures(words: DataFrame, owner: list[str], samples: int = SAMPLES) -> Da
     """
     weight = lambda kind: F.log(F.nullif(F.count_if(F.col("kind") == kind), F.lit(0)).cast("double"))
     counts = words.groupBy(*owner, "word").agg(weight(0).alias("own"), weight(1).alias("new"))
+    together = min(samples, DRAWN_TOGETHER)
+    parts = -(-samples // together)
+    drawn = counts.withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1))))
     least = []
-    for j in range(samples):
-        own, new = samples_of(F.col("word"), [F.col("own"), F.col("new")], j)
+    for j in range(together):
+        own, new = samples_of(F.col("word"), [F.col("own"), F.col("new")], F.lit(j) + F.lit(together) * F.col("part"))
         least += [F.min(own).alias(f"own{j}"), F.min(new).alias(f"new{j}")]
-    low = lambda kind: F.array(*(F.col(f"{kind}{j}").bitwiseAND(F.lit((1 << 32) - 1)) for j in range(samples)))
-    return counts.groupBy(*owner).agg(*least).select(*owner, low("own").alias("signature"), low("new").alias("edited"))
+    low = lambda kind: F.array(*(F.col(f"{kind}{j}").bitwiseAND(F.lit((1 << 32) - 1)) for j in range(together)))
+    by_part = drawn.groupBy(*owner, "part").agg(*least).select(*owner, "part", low("own").alias("own"), low("new").alias("new"))
+    gathered = by_part.groupBy(*owner).agg(F.sort_array(F.collect_list(F.struct("part", "own", "new"))).alias("parts"))
+    whole = lambda kind: F.slice(F.flatten(F.col(f"parts.{kind}")), 1, samples)
+    return gathered.select(*owner, whole("own").alias("signature"), whole("new").alias("edited"))
 
 
 def likeness(left: Column, right: Column) -> Column:
@@ -101,7 +109,8 @@ def _neighbours(docs: DataFrame, key: str, text: str) -> DataFrame:
     places = F.posexplode(F.concat(home, F.coalesce(also, none), F.coalesce(first, none)))
     dealt = rows.select("key", "text", places.alias("extra", "at")).select("key", "text", (F.col("extra") > 0).alias("extra"), "at.*")
     dealt = dealt.repartition(partitions, "range")
-    order = Window.partitionBy("range").orderBy("extra", F.desc_nulls_last("order"), F.xxhash64("text"))
+    # The order names the key too, so that all readers ask for the same columns and share one shuffle of the texts.
+    order = Window.partitionBy("range").orderBy("extra", F.desc_nulls_last("order"), F.xxhash64("text"), "key")
     return dealt.select(
         "range", "key", "text", "extra", F.row_number().over(order).alias("place"), F.lead("text").over(order).alias("next")
     )
