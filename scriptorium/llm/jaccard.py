@@ -8,8 +8,10 @@
    group, blocks of bounded size are compared and linked sets merged. One set of each merged group goes
    on to the next of `ROUNDS` rounds, with another hash.
 4. The merged groups are the columns of the matrix: each has the union of its members' first tokens. A
-   set's overlap with that union bounds its overlap with any member, so only groups whose overlap
-   reaches what a link needs are opened, in blocks, and compared token by token.
+   set's overlap with that union bounds its overlap with any member. Sizes and the places of a shared token in
+   both orders bound the overlap already where token and group meet, so only groups that may reach what a link
+   needs are opened: first their centre, for the visitor that shares most, then, if that does not link the two
+   groups, all members in blocks, token by token.
 5. Links between groups give the components.
 
 A set is named by a 64-bit hash of its sorted tokens and its size. Equal sets are one set throughout.
@@ -33,8 +35,7 @@ SHINGLE = 5
 BLOCK = 64
 VISITORS = 256
 ROUNDS = 4
-COUNTING_BYTES = 16 << 20
-COUNTING_ROWS = 10_000
+COUNTED_TOKENS = 4_000_000
 SEEN_OFTEN = 3
 MOST_COMMON = 1_000_000
 _NO_KEY = 2**63 - 1
@@ -104,27 +105,55 @@ def first_tokens(tokens: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> n
     return np.concatenate([rare, rest[: n - len(rare)]])
 
 
-def _common_tokens(docs: DataFrame, shingle: int) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles seen often within a batch of documents, sorted, with their place from rare to frequent.
+def _often(held: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The tokens that at least `SEEN_OFTEN` of the sets held have, and how many do."""
+    tokens = np.sort(np.concatenate(held))
+    begin = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])[: len(tokens)])
+    n = np.diff(np.append(begin, len(tokens)))
+    many = n >= SEEN_OFTEN
+    return tokens[begin[many]].view(np.int64), n[many]
 
-    Every document is counted; a shingle counts where at least `SEEN_OFTEN` documents of a batch have
-    it. At most `MOST_COMMON` (16 MB) are kept, the most frequent; they only order tokens, so the result
-    does not depend on them.
+
+_DOCUMENT = "key bigint, digest bigint, n bigint, set bigint, token bigint"
+
+
+def _named_and_counted(rows: DataFrame, shingle: int) -> DataFrame:
+    """(key, digest, n, set) of each row, and (token, n) of shingles seen often by a task, from one reading.
+
+    Every document is counted; a shingle counts where at least `SEEN_OFTEN` of the documents that a task holds
+    at a time (`COUNTED_TOKENS` shingles) have it.
     """
 
+    def counted(held: list[np.ndarray]) -> pa.RecordBatch:
+        tokens, n = _often(held)
+        none = pa.nulls(len(tokens), pa.int64())
+        return pa.RecordBatch.from_arrays([none, none, pa.array(n), none, pa.array(tokens)], ["key", "digest", "n", "set", "token"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[np.ndarray] = []
         for batch in batches:
-            for part in text_slices(batch, "text", COUNTING_BYTES, COUNTING_ROWS):
-                tokens = np.sort(np.concatenate(shingle_sets(part.column("text"), shingle)))
-                begin = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]])[: len(tokens)])
-                n = np.diff(np.append(begin, len(tokens)))
-                often = n >= SEEN_OFTEN
-                columns = [pa.array(tokens[begin[often]].view(np.int64)), pa.array(n[often])]
-                yield pa.RecordBatch.from_arrays(columns, ["token", "n"])
-
-    counted = docs.select("text").mapInArrow(run, "token bigint, n bigint").groupBy("token").agg(F.sum("n").alias("n"))
-    found = counted.orderBy(F.desc("n"), "token").limit(MOST_COMMON).toArrow()
-    tokens = found.column("token").to_numpy().view(np.uint64)
+            for part in text_slices(batch, "text"):
+                sets = shingle_sets(part.column("text"), shingle)
+                named = [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_name(s) for s in sets], pa.int64())]
+                columns = [part.column("key"), part.column("digest"), *named, pa.nulls(len(sets), pa.int64())]
+                yield pa.RecordBatch.from_arrays(columns, ["key", "digest", "n", "set", "token"])
+                held.append(np.concatenate(sets))
+                if sum(map(len, held)) >= COUNTED_TOKENS:
+                    yield counted(held)
+                    held = []
+        if held:
+            yield counted(held)
+
+    return through_table(rows.mapInArrow(run, _DOCUMENT), "jaccard-documents")
+
+
+def _common_tokens(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent tokens of (token, n), sorted, with their place from rare to frequent.
+
+    At most `MOST_COMMON` (16 MB) are kept; they only order tokens, so the result does not depend on them.
+    """
+    total = counts.groupBy("token").agg(F.sum("n").alias("n"))
+    tokens = total.orderBy(F.desc("n"), "token").limit(MOST_COMMON).toArrow().column("token").to_numpy().view(np.uint64)
     order = np.argsort(tokens)
     return tokens[order], np.arange(len(tokens), 0, -1)[order]
 
@@ -153,19 +182,6 @@ def _sets_of(docs: DataFrame, common: tuple[np.ndarray, np.ndarray], shingle: in
     return docs.select("text", *[asked] * bool(asked)).mapInArrow(run, schema)
 
 
-def _named(rows: DataFrame, shingle: int) -> DataFrame:
-    """(key, digest, n, set) of each row."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in text_slices(batch, "text"):
-                sets = shingle_sets(part.column("text"), shingle)
-                columns = [pa.array([len(s) for s in sets], pa.int64()), pa.array([set_name(s) for s in sets], pa.int64())]
-                yield pa.RecordBatch.from_arrays([part.column("key"), part.column("digest"), *columns], ["key", "digest", "n", "set"])
-
-    return rows.mapInArrow(run, "key bigint, digest bigint, n bigint, set bigint")
-
-
 def _shared_enough(postings: DataFrame) -> DataFrame:
     """The sets of `postings` (token, set, need) that share at least `need` of their tokens with other sets."""
     tokens = Window.partitionBy("token")
@@ -238,19 +254,61 @@ def _open_group(group: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame({"left": sorted(found), "right": group["opened"].iloc[0]}, columns=["left", "right"]).astype("int64")
 
 
+def _linked_centres(best: DataFrame, sets: DataFrame) -> DataFrame:
+    """(label, opened) of the visitors (set, label, opened) that link with the centre of the group opened.
+
+    A group bears the name of its centre, which near copies of one source gather around.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            own, centre = (batch.column(c) for c in ("tokens", "centre"))
+            keep = [linked(*(c[i].values.to_numpy().view(np.uint64) for c in (own, centre))) for i in range(batch.num_rows)]
+            yield batch.select(["label", "opened"]).filter(pa.array(keep, pa.bool_()))
+
+    centres = sets.select(F.col("set").alias("opened"), F.col("tokens").alias("centre"))
+    pairs = best.join(sets.select("set", "tokens"), "set").join(centres, "opened").select("label", "opened", "tokens", "centre")
+    return pairs.mapInArrow(run, "label bigint, opened bigint")
+
+
+def _least_overlap(own: str, other: str) -> Column:
+    """How many first tokens two sets of these sizes share at least if they link.
+
+    They share 3/7 of both sizes together, and of those all but what lies behind the first tokens of the one whose
+    first tokens end earlier. Between a group's least and greatest size the bound is least at one of them.
+    """
+    rest = lambda n: F.greatest(F.expr(f"(3 * {n} + 3) div 4 - 1 - {n} div 16"), F.lit(0))
+    return F.expr(f"(3 * ({own} + {other}) + 6) div 7") - F.greatest(rest(own), rest(other))
+
+
 def _links_between(sets: DataFrame, labels: DataFrame) -> DataFrame:
     """(left, right): labels of merged groups that a link connects."""
     named = sets.join(labels, "set")
-    postings = named.select("set", "label", F.col("need"), F.explode("first").alias("token"))
+    # `rest` counts the first tokens of a set from this one on.
+    postings = named.select("set", "label", "n", "need", F.size("first").alias("held"), F.posexplode("first").alias("place", "token"))
+    postings = postings.withColumn("rest", F.col("held") - F.col("place")).drop("held", "place")
     tokens = Window.partitionBy("token")
     several = postings.withColumn("__several", F.min("label").over(tokens) != F.max("label").over(tokens)).filter("__several").drop("__several")
     several = through_table(several, "jaccard-postings")
     able = several.groupBy("set").agg(F.count("*").alias("shared"), F.max("need").alias("need")).filter("shared >= need").select("set")
     several = through_table(several.join(able, "set", "left_semi"), "jaccard-postings")
-    unions = several.select("token", F.col("label").alias("opened")).distinct()
-    met = several.join(unions, "token").filter(F.col("label") > F.col("opened"))
-    bound = met.groupBy("set", "label", "opened").agg(F.count("*").alias("shared"), F.max("need").alias("need"))
-    visits = through_table(bound.filter("shared >= need").select("set", "label", "opened"), "jaccard-visits")
+    unions = several.groupBy("token", F.col("label").alias("opened")).agg(
+        F.min("n").alias("least"), F.max("n").alias("most"), F.max("rest").alias("last")
+    )
+    sizes = (4 * F.col("n") >= 3 * F.col("least")) & (3 * F.col("n") <= 4 * F.col("most"))
+    # Sets that link share so many first tokens that the first one shared has as many behind it in either set.
+    enough = F.greatest(F.lit(1), F.least(_least_overlap("n", "least"), _least_overlap("n", "most")))
+    ahead = (F.col("rest") >= enough) & (F.col("last") >= enough)
+    met = several.join(unions, "token").filter((F.col("label") > F.col("opened")) & sizes & ahead)
+    visits = through_table(met.groupBy("set", "label", "opened").agg(F.count("*").alias("shared")), "jaccard-visits")
+    best = visits.groupBy("label", "opened").agg(F.max_by("set", F.struct("shared", "set")).alias("set"))
+    best = through_table(best.select("set", "label", "opened"), "jaccard-best")
+    near = through_table(_linked_centres(best, sets), "jaccard-links")
+    # A group of one set is its centre, so whoever has met the centre is done with it.
+    single = labels.groupBy(F.col("label").alias("opened")).agg(F.count("*").alias("size")).filter("size = 1").select("opened")
+    done = best.join(single, "opened").select("set", "label", "opened")
+    left = visits.drop("shared").join(near, ["label", "opened"], "left_anti").join(done, ["set", "label", "opened"], "left_anti")
+    visits = through_table(left, "jaccard-visits")
 
     visiting = visits.withColumn("visits", F.expr(f"(row_number() OVER (PARTITION BY opened ORDER BY label, set) - 1) div {VISITORS}"))
     members = labels.join(visits.select(F.col("opened").alias("label")).distinct(), "label").select("set", F.col("label").alias("opened"))
@@ -264,7 +322,8 @@ def _links_between(sets: DataFrame, labels: DataFrame) -> DataFrame:
         stay.select("set", none.alias("label"), "opened", "block", "turn", none.alias("visits"))
     )
     filled = both.join(sets.select("set", "tokens"), "set").withColumn("label", F.coalesce("label", F.lit(0)))
-    return filled.groupBy("opened", "block", "turn").applyInPandas(_open_group, "left bigint, right bigint")
+    far = filled.groupBy("opened", "block", "turn").applyInPandas(_open_group, "left bigint, right bigint")
+    return near.select(F.col("label").alias("left"), F.col("opened").alias("right")).unionAll(far)
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -290,8 +349,9 @@ def components(edges: DataFrame) -> DataFrame:
 
 def _components_of(rows: DataFrame, shingle: int) -> DataFrame:
     """(key, digest, n, component) of each row of (key, digest, text); the component is one of its sets."""
-    named = through_table(_named(rows, shingle), "jaccard-documents")
-    common = _common_tokens(rows, shingle)
+    told = _named_and_counted(rows, shingle)
+    named = told.filter(F.col("token").isNull()).drop("token")
+    common = _common_tokens(told.filter(F.col("token").isNotNull()).select("token", "n"))
     need = F.expr("1 + (3 * n + 3) div 4 div 16")
     short = _sets_of(rows, common, shingle).select("set", need.alias("need"), F.explode("first").alias("token"))
     chosen = through_table(_shared_enough(short), "jaccard-chosen")
