@@ -541,3 +541,8 @@ def test_group_variance_of_wide_vectors_travels_in_small_rows(spark, monkeypatch
     widest = [table.agg(F.max(F.size("data"))).first()[0] for table in stored]
     assert max(widest) <= max(similarity.TILE**2, 3 + dims)
     assert any(table.filter("tile >= 0").count() for table in stored)
+
+
+@pytest.mark.parametrize("tokens, tasks", [(0, 1), (374_309, 1), (4_100_000, 9), (26_035_968, 12), (280_000_000, 12), (1_680_000_000, 70)])
+def test_training_tasks_send_few_copies_of_the_vocabulary(tokens, tasks):
+    assert vectors.training_tasks(tokens) == tasks
