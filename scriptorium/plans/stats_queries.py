@@ -289,9 +289,10 @@ def style_with_variance(spark, sf_dir):
     """The styled corpus with the similarity variance of each document's own words, stored once."""
 
     def build():
-        words = word_table(t.word_vectors(spark, sf_dir, t.clean_corpus(spark, sf_dir)))
-        tokenized = t.styled_corpus(spark, sf_dir).withColumn("tokens", ml_tokenize("text_clean"))
-        made = with_word_moments(tokenized.drop("text", "text_clean"), "tokens", words, t.VECTOR_DIMS)
+        styled = through_table(t.styled_corpus(spark, sf_dir).drop("text"), "styled-corpus")
+        words = word_table(t.word_vectors(spark, sf_dir, styled))
+        tokenized = styled.withColumn("tokens", ml_tokenize("text_clean")).drop("text_clean")
+        made = with_word_moments(tokenized, "tokens", words, t.VECTOR_DIMS)
         return through_table(made.drop("tokens", "w2v_features"), "style-and-variance")
 
     return built_once(spark, sf_dir, "style with variance", build)
