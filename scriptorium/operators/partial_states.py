@@ -20,6 +20,7 @@ WORD_RANGES = 64
 _COLUMN_STATE = (
     "split string, column_name string, n_rows bigint, n_null bigint, n_chars bigint, n_words bigint, min_words int, max_words int"
 )
+_TEXT_STATE = "split string, source string, label int, word string, n bigint, n_words bigint"
 _SOURCE_STATE = "split string, source string, label int, n_texts bigint, n_words bigint"
 _WORD_STATE = "split string, word_range bigint, source string, word string, n bigint"
 
@@ -42,25 +43,42 @@ def column_state(wide: DataFrame, columns: Sequence[str]) -> DataFrame:
     return row.select(F.inline(F.array(*entries)))
 
 
-def source_state(clean: DataFrame) -> DataFrame:
-    """(source, label, n_texts, n_words) of cleaned texts; words as `word_count` counts them."""
-    words = F.sum(F.col("word_count").cast("bigint"))
-    return clean.groupBy("source", F.col("label").cast("int").alias("label")).agg(F.count("*").alias("n_texts"), words.alias("n_words"))
+def text_state(clean: DataFrame) -> DataFrame:
+    """(source, label, word, n, n_words): the words of cleaned texts, and without a word the texts and their `word_count`.
 
+    Texts are cleaned and split once for both; each task counts its own words before the shuffle.
+    """
+    none = F.array(F.lit(None).cast("string"))
+    found = F.concat(none, F.coalesce(clean_words("text_clean"), F.array().cast("array<string>")))
+    each = clean.select("source", F.col("label").cast("int").alias("label"), "word_count", F.explode(found).alias("word"))
+    words = F.sum(F.when(F.col("word").isNull(), F.col("word_count")).cast("bigint"))
+    return each.groupBy("source", "label", "word").agg(F.count("*").alias("n"), words.alias("n_words"))
+
+
+def source_state(texts: DataFrame) -> DataFrame:
+    """(source, label, n_texts, n_words) from `text_state`."""
+    counted = texts.filter(F.col("word").isNull()).groupBy("source", "label")
+    return counted.agg(F.sum("n").alias("n_texts"), F.sum("n_words").alias("n_words"))
 
-def word_state(clean: DataFrame, ranges: int = WORD_RANGES) -> DataFrame:
-    """(word_range, source, word, n): the words of each source, each task counting its own before the shuffle."""
-    words = clean.select("source", F.explode(clean_words("text_clean")).alias("word"))
-    counted = words.groupBy("source", "word").agg(F.count("*").alias("n"))
+
+def word_state(texts: DataFrame, ranges: int = WORD_RANGES) -> DataFrame:
+    """(word_range, source, word, n): the words of each source from `text_state`."""
+    counted = texts.filter(F.col("word").isNotNull()).groupBy("source", "word").agg(F.sum("n").alias("n"))
     return counted.select(hash_bucket("word", ranges).alias("word_range"), "source", "word", "n")
 
 
 def store_split(path: str, split: str, wide: DataFrame, clean: DataFrame, columns: Sequence[str]) -> None:
     """Store what one split contributes: `wide` has its text columns, `clean` its cleaned texts."""
-    states = {"columns": column_state(wide, columns), "sources": source_state(clean), "words": word_state(clean)}
-    for name, state in states.items():
+
+    def store(name: str, state: DataFrame) -> None:
         state.write.mode("overwrite").parquet(f"{path}/{name}/{SPLIT}={split}")
 
+    store("columns", column_state(wide, columns))
+    store("texts", text_state(clean))
+    texts = _read(clean.sparkSession, path, "texts", _TEXT_STATE).filter(F.col(SPLIT) == split)
+    store("sources", source_state(texts))
+    store("words", word_state(texts))
+
 
 def _read(spark: SparkSession, path: str, name: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{path}/{name}")
