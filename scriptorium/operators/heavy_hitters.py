@@ -21,6 +21,7 @@ from scriptorium.plans.bounds import WORD_BYTES, fits_in_memory
 from scriptorium.session import through_table
 
 HELD_ITEMS = 200_000
+PIECE_ITEMS = 1_000_000
 
 
 class BoundedCounts:
@@ -43,16 +44,24 @@ class BoundedCounts:
             self.table = left.filter(pc.greater(left.column("n"), 0)).combine_chunks()
 
 
+def pieces(groups: pa.Array, lists: pa.Array, most: int = PIECE_ITEMS) -> Iterator[tuple[pa.Array, pa.Array]]:
+    """The items of all lists with their rows' groups, at most `most` at a time."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    named, items, ends = groups.dictionary_encode(), lists.flatten(), np.cumsum(sizes)
+    for at in range(0, len(items), most):
+        piece = items.slice(at, most)
+        owners = np.searchsorted(ends, np.arange(at, at + len(piece)), side="right")
+        yield named.take(pa.array(owners)), piece
+
+
 def bounded_counts(rows: DataFrame, items: str, by: str, held: int = HELD_ITEMS) -> DataFrame:
     """(group, item, n, taken_off): each task's counts, and one row without an item with what it has taken off."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts = BoundedCounts(held)
         for batch in batches:
-            lists = batch.column("items")
-            sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
-            groups = batch.column("by").dictionary_encode().take(pa.array(np.repeat(np.arange(len(lists)), sizes)))
-            counts.add(groups, lists.flatten())
+            for groups, items in pieces(batch.column("by"), batch.column("items")):
+                counts.add(groups, items)
         table = counts.table.append_column("taken_off", pa.array(np.zeros(len(counts.table), np.int64)))
         yield from table.to_batches()
         last = {"group": pa.array([None], pa.string()), "item": pa.array([None], pa.string()), "n": [0], "taken_off": [counts.taken_off]}
