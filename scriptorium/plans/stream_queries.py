@@ -21,7 +21,8 @@ from scriptorium.sources import messages
 from scriptorium.sources import models as store
 from scriptorium.streaming import ledger, scoring
 
-_FILES_PER_BATCH = "4"
+_FEWEST_FILES_PER_BATCH = 4
+_BATCHES_PER_RUN = 4
 
 
 def message_files(spark, sf_dir):
@@ -36,9 +37,9 @@ def message_files(spark, sf_dir):
 
 
 def source(spark, sf_dir):
-    return messages.message_stream(
-        spark, "parquet", message_files(spark, sf_dir), maxFilesPerTrigger=_FILES_PER_BATCH
-    )
+    """The messages as a stream, whose batches keep all cores busy."""
+    files = max(_FEWEST_FILES_PER_BATCH, spark.sparkContext.defaultParallelism)
+    return messages.message_stream(spark, "parquet", message_files(spark, sf_dir), maxFilesPerTrigger=str(files))
 
 
 def run_to_table(records, name):
@@ -234,9 +235,12 @@ def stream_restart(spark, sf_dir):
     arriving, path, checkpoint = (new_path(spark, n) for n in ("arriving", "resumed", "resumed-checkpoint"))
     everything = t.envelopes(spark, sf_dir)
     early = F.unix_seconds("timestamp") % 2 == 0
+    # A file per task that reads the documents, so that no task holds a fixed share of them.
+    files = everything.rdd.getNumPartitions()
 
     def run(stored=None):
-        messages_so_far = messages.message_stream(spark, "parquet", arriving, maxFilesPerTrigger="1")
+        at_once = max(1, files // _BATCHES_PER_RUN)
+        messages_so_far = messages.message_stream(spark, "parquet", arriving, maxFilesPerTrigger=str(at_once))
         sink = ledger.ledger_sink(
             messages_so_far, parse_messages, path, checkpoint, available_now=True, stored=stored
         )
@@ -246,10 +250,10 @@ def stream_restart(spark, sf_dir):
         if batch_id == 1:
             raise _Interrupted
 
-    everything.filter(early).repartition(4).write.mode("append").parquet(arriving)
+    everything.filter(early).write.mode("append").parquet(arriving)
     with contextlib.suppress(StreamingQueryException):
         run(fail)
-    everything.filter(~early).repartition(2).write.mode("append").parquet(arriving)
+    everything.filter(~early).write.mode("append").parquet(arriving)
     run()
     schema = parse_messages(spark.read.parquet(arriving).limit(0)).schema
     return _seconds(ledger.read_records(spark, path, schema))

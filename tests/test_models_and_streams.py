@@ -7,7 +7,7 @@ from pyspark.sql.types import StructType
 
 from scriptorium.operators import classifiers as c
 from scriptorium.operators import corpus_stats, vectors
-from scriptorium.plans import model_queries, stream_queries, tables
+from scriptorium.plans import model_queries, stats_queries, stream_queries, tables
 from scriptorium.session import CHECKPOINT_KEY, new_path, shared_dir, through_table
 from scriptorium.sources import messages
 from scriptorium.streaming import ledger, scoring
@@ -201,3 +201,20 @@ def test_the_console_gets_heads_only(spark):
     progress = shown.lastProgress
     tasks = spark.read.parquet(arriving).rdd.getNumPartitions()
     assert progress["numInputRows"] == 360 and progress["sink"]["numOutputRows"] <= 2 * tasks
+
+
+def test_restarted_stream_writes_a_file_per_task(spark, sf_dir, monkeypatch):
+    folders = []
+    whole = messages.message_stream
+    monkeypatch.setattr(messages, "message_stream", lambda s, f, path, **options: folders.append(path) or whole(s, f, path, **options))
+    stream_queries.stream_restart(spark, sf_dir)
+    files = spark.read.parquet(folders[0]).select("_metadata.file_path").distinct().count()
+    assert len(set(folders)) == 1 and files > 6
+
+
+def test_variance_of_the_corpus_cleans_its_texts_once(spark, sf_dir, monkeypatch):
+    calls = []
+    whole = tables.clean_corpus
+    monkeypatch.setattr(tables, "clean_corpus", lambda *given: calls.append(1) or whole(*given))
+    stats_queries.style_with_variance(spark, f"{sf_dir}/.")
+    assert len(calls) == 1

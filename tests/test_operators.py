@@ -3,6 +3,7 @@ import random
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, MulticlassClassificationEvaluator
 from pyspark.ml.functions import array_to_vector, vector_to_array
@@ -546,3 +547,19 @@ def test_group_variance_of_wide_vectors_travels_in_small_rows(spark, monkeypatch
 @pytest.mark.parametrize("tokens, tasks", [(0, 1), (374_309, 1), (4_100_000, 9), (26_035_968, 12), (280_000_000, 12), (1_680_000_000, 70)])
 def test_training_tasks_send_few_copies_of_the_vocabulary(tokens, tasks):
     assert vectors.training_tasks(tokens) == tasks
+
+
+def test_pieces_hold_few_items_with_the_groups_of_their_rows():
+    lists = pa.array([["a", "b"], None, [], ["c"] * 5, ["d"]], pa.list_(pa.string()))
+    found = list(heavy_hitters.pieces(pa.array(["x", "y", "y", "z", "x"]), lists, most=3))
+    assert [len(items) for _, items in found] == [3, 3, 2]
+    pairs = [pair for groups, items in found for pair in zip(groups.to_pylist(), items.to_pylist())]
+    assert pairs == [("x", "a"), ("x", "b"), *[("z", "c")] * 5, ("x", "d")]
+
+
+def test_words_and_texts_of_a_split_come_from_one_count(spark):
+    rows = [("a", 0, 2, "x y"), ("a", 0, 1, ""), ("b", 1, 3, "x x z"), (None, None, None, None)]
+    texts = states.text_state(spark.createDataFrame(rows, "source string, label int, word_count int, text_clean string"))
+    assert {tuple(r) for r in states.source_state(texts).collect()} == {("a", 0, 2, 3), ("b", 1, 1, 3), (None, None, 1, None)}
+    words = states.word_state(texts).select("source", "word", "n")
+    assert {tuple(r) for r in words.collect()} == {("a", "x", 1), ("a", "y", 1), ("b", "x", 2), ("b", "z", 1)}
