@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import Counter
 from itertools import product
@@ -206,3 +207,21 @@ def test_empty_tables_have_empty_results(spark):
     assert periods.run_report(periods.collapse_runs(queries.planted_periods(docs))).count() == 0
     assert collocations.collocations(docs).count() == 0
     assert byte_repeats.cut_repeated_bytes(docs).count() == 0
+
+
+def test_byte_paths_of_pieces_equal_those_of_the_whole_in_less_memory():
+    rng = np.random.default_rng(3)
+    sizes = np.concatenate([rng.integers(0, 400, 300), [0, 49, 50, 51, 5000, 0]])
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+    data = rng.integers(97, 101, offsets[-1], dtype=np.uint8)
+    whole = byte_repeats.byte_paths(data, offsets, 50, 20, most=1 << 40)
+    for most in (1, 100, 3000):
+        pieces = byte_repeats.byte_paths(data, offsets, 50, 20, most)
+        assert all(a.dtype == b.dtype and np.array_equal(a, b) for a, b in zip(whole, pieces, strict=True))
+
+    data = rng.integers(97, 123, 2 << 20, dtype=np.uint8)
+    tracemalloc.start()
+    byte_repeats.byte_paths(data, np.arange(0, len(data) + 1, 4096, dtype=np.int64), 50, 20)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 20 * len(data)
