@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptorium.functions.profiles import UNICODE_BLANKS
-from scriptorium.functions.text import bigrams, clean_words, ml_tokenize, word_count
+from scriptorium.functions.text import clean_words, ml_tokenize, word_count
 from scriptorium.operators.heavy_hitters import HELD_ITEMS, leading_items
 from scriptorium.operators.reshape import nonempty_clean_filter
 
@@ -129,8 +129,7 @@ def top_words(df: DataFrame, n: int = 20, held: int = HELD_ITEMS) -> DataFrame:
 def top_bigrams(df: DataFrame, n: int = 10, held: int = HELD_ITEMS) -> DataFrame:
     """The leading bigrams with their exact counts; see `leading_items`."""
     tokens = nonempty_clean_filter(df).select(ml_tokenize("text_clean").alias("tokens"))
-    pairs = tokens.select(F.filter(bigrams("tokens"), lambda pair: pair != "").alias("bigrams"))
-    return leading_items(pairs, "bigrams", n, held=held).orderBy("rank").select(F.col("item").alias("bigram"), "n")
+    return leading_items(tokens, "tokens", n, held=held, width=2).orderBy("rank").select(F.col("item").alias("bigram"), "n")
 
 
 def delimited_word_count(table: DataFrame, column: str = "text_clean", position: int = 4) -> DataFrame:

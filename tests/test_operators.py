@@ -563,3 +563,30 @@ def test_words_and_texts_of_a_split_come_from_one_count(spark):
     assert {tuple(r) for r in states.source_state(texts).collect()} == {("a", 0, 2, 3), ("b", 1, 1, 3), (None, None, 1, None)}
     words = states.word_state(texts).select("source", "word", "n")
     assert {tuple(r) for r in words.collect()} == {("a", "x", 1), ("a", "y", 1), ("b", "x", 2), ("b", "z", 1)}
+
+
+def test_pieces_of_neighbours_stay_within_their_lists():
+    lists = pa.array([["a", "b", "c"], [], ["d"], None, ["e", "", "f", "g"]], pa.list_(pa.string()))
+    groups = pa.array(["x", "x", "y", "y", "z"])
+    expected = [("x", "a b"), ("x", "b c"), ("z", "e "), ("z", " f"), ("z", "f g")]
+    for most in (1, 2, 3, 100):
+        found = heavy_hitters.pieces(groups, lists, most=most, width=2)
+        assert [pair for g, items in found for pair in zip(g.to_pylist(), items.to_pylist(), strict=True)] == expected
+
+
+@pytest.mark.parametrize("held", [3, 1000])
+def test_leading_bigrams_are_exact_and_clean_their_texts_once(spark, held):
+    rng = random.Random(held)
+    texts = [" ".join(rng.choices("abcdefgh", [2.0**-i for i in range(8)], k=rng.randint(0, 30))) for _ in range(200)]
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def cleaned(text):
+        read.add(1)
+        return text
+
+    df = spark.createDataFrame([(t,) for t in texts], "text string").repartition(4)
+    got = stats.top_bigrams(df.select(cleaned.asNondeterministic()("text").alias("text_clean")), 5, held=held).collect()
+    pairs = Counter(f"{a} {b}" for t in texts for a, b in zip(t.split(), t.split()[1:]))
+    assert [(r.bigram, r.n) for r in got] == sorted(pairs.items(), key=lambda pair: (-pair[1], pair[0]))[:5]
+    assert read.value == len(texts)
