@@ -13,7 +13,7 @@ from scriptorium.plans import oracle_sql as o
 from scriptorium.plans import tables as t
 from scriptorium.plans.catalog import query
 from scriptorium.plans.text_queries import PAYLOAD, payload
-from scriptorium.session import new_path
+from scriptorium.session import new_path, through_table
 from scriptorium.sources import files, split_csv
 from scriptorium.sources.messages import send_payload
 
@@ -93,7 +93,7 @@ def mapreduce_word_count(spark, sf_dir):
 def sum_count_pairs(spark, sf_dir):
     """Counts per document as text lines, among them one without a count and one with a bad count each."""
     path = new_path(spark, "count-pairs")
-    clean = t.clean_corpus(spark, sf_dir)
+    clean = through_table(t.clean_corpus(spark, sf_dir).select("doc_id", "text_clean"), "clean-texts")
     counted = word_counts_per_document(clean.withColumn("w", clean_words("text_clean")), "doc_id", "w")
     good = counted.select(F.concat_ws("\t", "word", F.col("n").cast("string")).alias("value"))
     doc_id = F.col("doc_id").cast("string")

@@ -16,7 +16,7 @@ from scriptorium.functions.text import ml_tokenize
 from scriptorium.operators import corpus_stats as stats
 from scriptorium.operators import partial_states as states
 from scriptorium.operators import heavy_hitters, metrics, projected_vectors, reshape, sampling, similarity, vectors, word_moments
-from scriptorium.plans import tables
+from scriptorium.plans import io_queries, tables
 from scriptorium.plans.bounds import fits_in_memory, join_words
 from scriptorium.plans.prefix import with_row_numbers, with_running_totals
 from scriptorium.sources import files, split_csv
@@ -590,3 +590,19 @@ def test_leading_bigrams_are_exact_and_clean_their_texts_once(spark, held):
     pairs = Counter(f"{a} {b}" for t in texts for a, b in zip(t.split(), t.split()[1:]))
     assert [(r.bigram, r.n) for r in got] == sorted(pairs.items(), key=lambda pair: (-pair[1], pair[0]))[:5]
     assert read.value == len(texts)
+
+
+def test_count_pairs_clean_their_texts_once(spark, monkeypatch):
+    read = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def cleaned(text):
+        read.add(1)
+        return text
+
+    rows = spark.createDataFrame([(1, "a b a"), (2, ""), (2, "b"), (None, "c")], "doc_id bigint, text string")
+    clean = rows.select("doc_id", cleaned.asNondeterministic()("text").alias("text_clean"))
+    monkeypatch.setattr(io_queries.t, "clean_corpus", lambda spark, sf_dir: clean)
+    found = io_queries.sum_count_pairs(spark, "").collect()
+    assert {tuple(r) for r in found} - {("", 0)} == {("a", 2), ("b", 2), ("c", 1)}
+    assert read.value == 4
