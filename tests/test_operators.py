@@ -20,7 +20,7 @@ from scriptorium.plans import io_queries, tables
 from scriptorium.plans.bounds import fits_in_memory, join_words
 from scriptorium.plans.prefix import with_row_numbers, with_running_totals
 from scriptorium.sources import files, split_csv
-from scriptorium.session import new_path
+from scriptorium.session import new_path, through_table
 
 
 def test_wide_to_long_equals_direct_derivation(spark, sf_dir):
@@ -606,3 +606,8 @@ def test_count_pairs_clean_their_texts_once(spark, monkeypatch):
     found = io_queries.sum_count_pairs(spark, "").collect()
     assert {tuple(r) for r in found} - {("", 0)} == {("a", 2), ("b", 2), ("c", 1)}
     assert read.value == 4
+
+
+def test_stored_tables_are_compressed_well(spark):
+    stored = through_table(spark.range(10), "numbers").inputFiles()
+    assert stored and all(".zstd." in name for name in stored)
