@@ -129,15 +129,26 @@ def tfidf_terms(docs: DataFrame, key: str, tokens: str, min_doc_freq: int = MIN_
     return weighted.select(key, "word", F.col("n").alias("tf"), "idf", (F.col("n") * F.col("idf")).alias("tfidf"))
 
 
+def _tfidf_stages(text: str) -> list:
+    return [
+        Tokenizer(inputCol=text, outputCol="words"),
+        HashingTF(inputCol="words", outputCol="raw_features", numFeatures=HASH_FEATURES),
+        IDF(inputCol="raw_features", outputCol="tfidf_features", minDocFreq=MIN_DOC_FREQ),
+    ]
+
+
 def tfidf_fit(docs: DataFrame, text: str = "text_clean") -> PipelineModel:
     """Tokenizer, hashed term counts and inverse document frequency, fitted together."""
-    return Pipeline(
-        stages=[
-            Tokenizer(inputCol=text, outputCol="words"),
-            HashingTF(inputCol="words", outputCol="raw_features", numFeatures=HASH_FEATURES),
-            IDF(inputCol="raw_features", outputCol="tfidf_features", minDocFreq=MIN_DOC_FREQ),
-        ]
-    ).fit(docs)
+    return Pipeline(stages=_tfidf_stages(text)).fit(docs)
+
+
+def tfidf_fit_transform(docs: DataFrame, text: str = "text_clean") -> tuple[DataFrame, PipelineModel]:
+    """The rows with `tfidf_features` in place of their text, and the model of `tfidf_fit`. Texts are split and hashed once."""
+    *counting, weighing = _tfidf_stages(text)
+    counted = PipelineModel(counting).transform(docs).drop(text, "words")
+    counted = through_table(counted, "term-vectors")
+    weights = weighing.fit(counted)
+    return weights.transform(counted).drop("raw_features"), PipelineModel([*counting, weights])
 
 
 def assembler(

@@ -221,8 +221,7 @@ def tfidf_terms(spark, sf_dir):
 )
 def tfidf_fit(spark, sf_dir):
     """Tokenizer, hashing and IDF fitted together; the weight of every slot that a document's terms fall into."""
-    docs = stored_corpus(spark, sf_dir)
-    weighted = vectors.tfidf_fit(docs).transform(docs)
+    weighted = vectors.tfidf_fit_transform(stored_corpus(spark, sf_dir))[0]
     return _entries(weighted, "tfidf_features", "doc_id").select("doc_id", "slot", F.round("value", 6).alias("weight"))
 
 

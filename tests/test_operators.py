@@ -209,6 +209,18 @@ def test_rows_of_one_key_get_the_moments_of_their_own_tokens(spark, words):
     assert [r.f_embed_variance for r in moments(df, vec_df.limit(0)).collect()] == [0.0] * 4
 
 
+def test_terms_hashed_once_weigh_like_those_of_the_pipeline(spark, monkeypatch):
+    rows = [(i, "a b b" if i < 6 else "c  d" if i < 8 else "") for i in range(9)]
+    docs = spark.createDataFrame([*rows, (0, "a b b")], "id int, text_clean string")
+    stored = []
+    monkeypatch.setattr(vectors, "through_table", lambda df, name: stored.append(through_table(df, name)) or stored[-1])
+    weighted, model = vectors.tfidf_fit_transform(docs)
+    whole = vectors.tfidf_fit(docs)
+    assert stored[0].columns == ["id", "raw_features"]
+    assert sorted(map(str, weighted.collect())) == sorted(map(str, whole.transform(docs).select("id", "tfidf_features").collect()))
+    assert model.stages[-1].idf == whole.stages[-1].idf
+
+
 def test_word_table_of_any_size_serves_without_a_broadcast(spark):
     rng = np.random.default_rng(3)
     size = 60_000
