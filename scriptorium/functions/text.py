@@ -83,7 +83,7 @@ def clean_words(clean: Column | str) -> Column:
 def ml_tokenize(text: Column | str) -> Column:
     """Lower-case and split on each single whitespace character, keeping empty tokens but those at the end."""
     lowered = F.lower(_col(text))
-    kept = F.regexp_replace(lowered, r"\s+\z", "")
+    kept = F.rtrim(lowered, F.lit(" \t\n\x0b\f\r"))
     none = F.array().cast("array<string>")
     return F.when((lowered != "") & (kept == ""), none).otherwise(F.split(kept, r"\s"))
 

@@ -98,3 +98,9 @@ def test_cleaning_is_planned_without_python_and_only_once(spark, sf_dir):
     plan = tables.styled_corpus(spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan
     assert plan.count("[^؀-ۿ]+") == 1
+
+
+def test_ml_tokens_lose_only_blanks_at_the_end(spark):
+    assert one(spark, "a  b \t\n\x0b\f\r", text.ml_tokenize) == ["a", "", "b"]
+    assert one(spark, " \r\n ", text.ml_tokenize) == []
+    assert one(spark, "a\u00a0 \u2003", text.ml_tokenize) == ["a\u00a0", "\u2003"]
