@@ -93,9 +93,9 @@ def mean_word_vector(docs: DataFrame, key: str, tokens: str, words: DataFrame, d
 
     `words` is a stored table (word, vector); see `with_word_moments`.
     """
-    moments = with_word_moments(docs.select(key, tokens), tokens, words, dims, mean="mean_vector")
-    n_tokens = F.coalesce(F.size(tokens), F.lit(0)).cast("bigint").alias("n_tokens")
-    return moments.select(key, n_tokens, vector_to_array("mean_vector").alias("mean_vector"))
+    counted = docs.select(key, tokens, F.coalesce(F.size(tokens), F.lit(0)).cast("bigint").alias("n_tokens"))
+    moments = with_word_moments(counted, tokens, words, dims, mean="mean_vector", variance=None, keep_tokens=False)
+    return moments.select(key, "n_tokens", vector_to_array("mean_vector").alias("mean_vector"))
 
 
 def hashing_tf(
@@ -194,6 +194,6 @@ def full_feature_table(
     tokenized = docs.withColumn("tokens_w2v", ml_tokenize("text_clean"))
     word_model = word2vec_fit(tokenized, "tokens_w2v", partitions=partitions)
     words = word_table(word_model.getVectors())
-    complete = with_word_moments(tokenized, "tokens_w2v", words, word_model.getVectorSize()).drop("tokens_w2v")
+    complete = with_word_moments(tokenized, "tokens_w2v", words, word_model.getVectorSize(), keep_tokens=False)
     tfidf = tfidf_fit(docs)
     return tfidf.transform(complete).drop("words", "raw_features"), tfidf, word_model, words

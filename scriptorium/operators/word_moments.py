@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 
 from scriptorium.session import through_table
 
-SLICE_ROWS = 1000
+SLICE_ROWS = 2000
 VARIANCE = "f_embed_variance"
 _SLICE = "__slice"
 _HELD_DOUBLES = 4 * 1024 * 1024
@@ -95,21 +95,22 @@ def mean_vectors(vectors: np.ndarray, doc: np.ndarray, word: np.ndarray, tokens:
     """Sum of the known tokens' vectors over the count of all tokens, per document; `doc` must not fall."""
     means = np.zeros((len(tokens), vectors.shape[1]))
     step = max(1, _HELD_DOUBLES // max(vectors.shape[1], 1))
-    for at in range(0, len(doc), step):
-        here = doc[at : at + step]
-        begin = np.flatnonzero(np.append(True, here[1:] != here[:-1]))
-        means[here[begin]] += np.add.reduceat(vectors[word[at : at + step]], begin, axis=0)
+    begin = np.flatnonzero(np.diff(doc, prepend=-1))
+    for at, upto in zip(begin, np.append(begin[1:], len(doc))):
+        for i in range(at, upto, step):
+            means[doc[at]] += vectors[word[i : min(i + step, upto)]].sum(axis=0)
     return means / np.maximum(tokens, 1)[:, None]
 
 
-def _slice_moments(tokens: pa.Array, words: pa.Array, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(means, variances) of the documents of one slice."""
+def _slice_moments(tokens: pa.Array, words: pa.Array, vectors: np.ndarray, spread: bool) -> tuple[np.ndarray, np.ndarray | None]:
+    """(means, variances) of the documents of one slice; variances only if `spread`."""
     sizes = pc.fill_null(pc.list_value_length(tokens), 0).to_numpy(zero_copy_only=False).astype(np.int64)
     place = pc.fill_null(pc.index_in(tokens.flatten(), value_set=words), -1).to_numpy(zero_copy_only=False).astype(np.int64)
     doc = np.repeat(np.arange(len(sizes)), sizes)
     known = place >= 0
     doc, place = doc[known], place[known]
-    return mean_vectors(vectors, doc, place, sizes), pair_variances(unit_rows(vectors), doc, place, len(sizes))
+    variances = pair_variances(unit_rows(vectors), doc, place, len(sizes)) if spread else None
+    return mean_vectors(vectors, doc, place, sizes), variances
 
 
 def word_table(vectors: DataFrame, word: str = "word", vector: str = "vector") -> DataFrame:
@@ -120,31 +121,38 @@ def word_table(vectors: DataFrame, word: str = "word", vector: str = "vector") -
 
 
 def with_word_moments(
-    docs: DataFrame, tokens: str, words: DataFrame, dims: int, mean: str = "w2v_features", variance: str = VARIANCE
+    docs: DataFrame,
+    tokens: str,
+    words: DataFrame,
+    dims: int,
+    mean: str = "w2v_features",
+    variance: str | None = VARIANCE,
+    keep_tokens: bool = True,
 ) -> DataFrame:
-    """Add the mean word vector (an MLlib vector) and the variance of token similarity to every row.
+    """Add the mean word vector (an MLlib vector) and, unless `variance` is None, the variance of token similarity to every row.
 
     `words` is a stored table (word, vector) with distinct words, `tokens` an array column; the other columns
     must have plain SQL types. Unknown tokens count for the mean's divisor only. A row without tokens
     gets the zero vector; one with fewer than two known tokens the variance 0. Rows with equal keys or
-    equal tokens stay rows of their own.
+    equal tokens stay rows of their own. Without `keep_tokens` the tokens are not sent back.
     """
     sliced = docs.withColumn(_SLICE, F.expr(f"monotonically_increasing_id() div {SLICE_ROWS}"))
     rows = through_table(sliced, "word-slices")
     asked = rows.select(_SLICE, F.explode(tokens).alias("word")).distinct()
     known = asked.join(words.select("word", "vector"), "word").select(F.col(_SLICE).alias("__asked"), "word", "vector")
-    columns = [c for c in rows.columns if c != _SLICE]
+    columns = [c for c in rows.columns if c != _SLICE and (keep_tokens or c != tokens)]
 
     def moments(texts: pa.Table, held: pa.Table) -> pa.Table:
         flat = held.column("vector").combine_chunks().flatten().to_numpy(zero_copy_only=False)
         matrix = flat.astype(np.float64).reshape(-1, dims)
-        means, variances = _slice_moments(texts.column(tokens).combine_chunks(), held.column("word").combine_chunks(), matrix)
+        listed, known = texts.column(tokens).combine_chunks(), held.column("word").combine_chunks()
+        means, variances = _slice_moments(listed, known, matrix, variance is not None)
         ends = np.arange(len(means) + 1, dtype=np.int32) * dims
-        listed = pa.ListArray.from_arrays(pa.array(ends), pa.array(means.ravel()))
-        out = texts.select(columns)
-        return out.append_column(mean, listed).append_column(variance, pa.array(variances.astype(np.float32)))
+        out = texts.select(columns).append_column(mean, pa.ListArray.from_arrays(pa.array(ends), pa.array(means.ravel())))
+        return out if variances is None else out.append_column(variance, pa.array(variances.astype(np.float32)))
 
-    fields = [f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name != _SLICE]
-    schema = ", ".join([*fields, f"`{mean}` array<double>", f"`{variance}` float"])
+    fields = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in columns]
+    added = [f"`{mean}` array<double>", *([f"`{variance}` float"] if variance else [])]
+    schema = ", ".join([*fields, *added])
     done = rows.groupBy(_SLICE).cogroup(known.groupBy("__asked")).applyInArrow(moments, schema)
     return done.withColumn(mean, array_to_vector(mean))

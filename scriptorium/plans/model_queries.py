@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from functools import reduce
 
+from pyspark.ml.feature import VectorSizeHint
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import functions as F
 
@@ -28,8 +29,21 @@ def stored_corpus(spark, sf_dir):
     return built_once(spark, sf_dir, "clean corpus", build)
 
 
+def stored_styles(spark, sf_dir):
+    """(doc_id, text_clean, …) of the cleaned corpus with its style counts, stored: texts are cleaned once for both."""
+
+    def build():
+        return through_table(t.styled_corpus(spark, sf_dir).select("doc_id", "text_clean", *_SCALARS), "styled-corpus")
+
+    return built_once(spark, sf_dir, "styled corpus", build)
+
+
+def _tokenized(clean):
+    return clean.select("doc_id", ml_tokenize("text_clean").alias("tokens"))
+
+
 def tokenized_corpus(spark, sf_dir):
-    return stored_corpus(spark, sf_dir).select("doc_id", ml_tokenize("text_clean").alias("tokens"))
+    return _tokenized(stored_corpus(spark, sf_dir))
 
 
 def corpus_word_model(spark, sf_dir):
@@ -139,10 +153,10 @@ _DOC_VECTORS = (
 )
 
 
-def document_vectors(spark, sf_dir):
-    """(doc_id, n_tokens, mean_vector) over the word vectors derived from the embeddings table."""
-    words = word_table(t.word_vectors(spark, sf_dir, stored_corpus(spark, sf_dir)))
-    return vectors.mean_word_vector(tokenized_corpus(spark, sf_dir), "doc_id", "tokens", words, t.VECTOR_DIMS)
+def document_vectors(spark, sf_dir, clean):
+    """(doc_id, n_tokens, mean_vector) of a stored cleaned corpus over the word vectors derived from the embeddings table."""
+    words = word_table(t.word_vectors(spark, sf_dir, clean))
+    return vectors.mean_word_vector(_tokenized(clean), "doc_id", "tokens", words, t.VECTOR_DIMS)
 
 
 @query(
@@ -153,7 +167,7 @@ def document_vectors(spark, sf_dir):
 )
 def word2vec_document(spark, sf_dir):
     return (
-        document_vectors(spark, sf_dir)
+        document_vectors(spark, sf_dir, stored_corpus(spark, sf_dir))
         .select("doc_id", "n_tokens", F.posexplode("mean_vector").alias("pos", "value"))
         .withColumn("value", F.round("value", 6))
     )
@@ -242,10 +256,15 @@ _SCALARS = ("f_diacritics", "f_colons", "f_particles", "f_first_person", "char_c
     ),
 )
 def assemble_features(spark, sf_dir):
-    """Scalars and a document vector in one vector; the parts are read out of it again."""
-    means = document_vectors(spark, sf_dir).select("doc_id", array_to_vector("mean_vector").alias("mean_vector"))
-    inputs = t.styled_corpus(spark, sf_dir).select("doc_id", *_SCALARS).join(means, "doc_id")
-    assembled = vectors.assembler((*_SCALARS, "mean_vector")).transform(inputs)
+    """Scalars and a document vector in one vector; the parts are read out of it again.
+
+    The assembler is told the vector's size; else it would find it by a run over all documents.
+    """
+    styled = stored_styles(spark, sf_dir)
+    means = document_vectors(spark, sf_dir, styled).select("doc_id", array_to_vector("mean_vector").alias("mean_vector"))
+    inputs = styled.select("doc_id", *_SCALARS).join(means, "doc_id")
+    sized = VectorSizeHint(inputCol="mean_vector", size=t.VECTOR_DIMS).transform(inputs)
+    assembled = vectors.assembler((*_SCALARS, "mean_vector")).transform(sized)
     row = assembled.select("doc_id", vector_to_array("features_raw").alias("v"))
     tail = F.slice("v", len(_SCALARS) + 1, t.VECTOR_DIMS)
     return row.select(

@@ -209,6 +209,20 @@ def test_rows_of_one_key_get_the_moments_of_their_own_tokens(spark, words):
     assert [r.f_embed_variance for r in moments(df, vec_df.limit(0)).collect()] == [0.0] * 4
 
 
+def test_means_alone_neither_form_variances_nor_send_tokens_back(spark, words, token_docs, monkeypatch):
+    table, vec_df = words
+    docs, df = token_docs
+    monkeypatch.setattr(word_moments, "pair_variances", None)
+    stored = word_moments.word_table(vec_df)
+    out = word_moments.with_word_moments(df, "tokens", stored, 6, variance=None, keep_tokens=False)
+    assert "tokens" not in out.columns and "f_embed_variance" not in out.columns
+    got = {r.doc_id: (r.n_tokens, r.mean_vector) for r in vectors.mean_word_vector(df, "doc_id", "tokens", stored, 6).collect()}
+    for key, tokens in docs:
+        known = [table[w] for w in tokens if w in table]
+        assert got[key][0] == len(tokens)
+        assert got[key][1] == pytest.approx(list(np.sum(known, axis=0) / len(tokens) if known else np.zeros(6)), abs=1e-6)
+
+
 def test_terms_hashed_once_weigh_like_those_of_the_pipeline(spark, monkeypatch):
     rows = [(i, "a b b" if i < 6 else "c  d" if i < 8 else "") for i in range(9)]
     docs = spark.createDataFrame([*rows, (0, "a b b")], "id int, text_clean string")
