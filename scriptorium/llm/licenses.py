@@ -147,7 +147,8 @@ def scan_licenses(
     """
     named = files.select(F.col(key).alias("key"), F.col(path).alias("path"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     named = named.withColumn("file", F.struct(F.coalesce("path", F.lit("")).alias("path"), F.coalesce(F.col("key").cast("string"), F.lit("")).alias("key")))
-    named = named.withColumn("file", F.sha2(F.concat_ws("\u0001", "file.path", "file.key", F.xxhash64("text").cast("string")), 256))
+    hashed = F.sha2(F.concat_ws("\u0001", "file.path", "file.key", F.xxhash64("text").cast("string")), 256)
+    named = named.withColumn("file", F.unhex(hashed))
     directory = F.when(F.col("path").isNotNull(), F.regexp_replace("path", "/?[^/]*$", ""))
     units = through_table(license_units(named.select("file", "text"), templates, least), "license-units")
 

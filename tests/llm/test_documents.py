@@ -193,6 +193,18 @@ def test_genuine_texts_are_known_wrapped_or_not(spark):
     assert {k: (found[k], v) for k, v in expected.items() if found[k] != v} == {}
 
 
+def test_units_of_files_are_named_by_bytes(spark, monkeypatch):
+    stored = {}
+    keep = licenses.through_table
+    monkeypatch.setattr(licenses, "through_table", lambda df, name: stored.setdefault(name, keep(df, name)))
+    text = next(t for _, t in TEMPLATES)
+    files = spark.createDataFrame([(1, "a/x", text), (1, "a/x", text), (2, "a/y", text)], "doc_id int, path string, text string")
+    assert len(licenses.scan_licenses(files).collect()) == 3
+    for name in ("license-terms", "license-units"):
+        assert {len(r.file) for r in stored[name].select("file").collect()} == {32}
+    assert stored["license-units"].select("file").distinct().count() == 2
+
+
 def test_licences_of_awkward_rows(spark):
     data = [(1, "a/b/LICENSE", "Released under the MIT License."), (2, "a/b/c/x", "code"), (3, "a/y", None), (4, None, "All rights reserved.")]
     data += [(None, "a/b/z", ""), (2, "a/b/c/x", "code")]
