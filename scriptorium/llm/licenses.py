@@ -102,22 +102,26 @@ def units_of(files: DataFrame, telling: list[str]) -> DataFrame:
 def license_units(files: DataFrame, templates: Templates = TEMPLATES, least: float = LEAST_COSINE) -> DataFrame:
     """(file, total, kind, place, n_terms, license, score): the best template of every unit that reaches `least`.
 
-    Ties go by name. A file that is there twice has every count doubled, which leaves its cosines as they are.
+    Ties go by name. A file that is there twice counts once, as doubled counts would leave its cosines as they are.
     """
     spark = files.sparkSession
     weights, idf, other, frequency = template_weights(files, templates)
     unit = ["file", "total", "kind", "place"]
-    near = units_of(files, telling_terms(weights, frequency, least)).select(*unit, F.size("terms").alias("n_terms"), F.explode("terms").alias("term"))
-    counts = through_table(near.groupBy(*unit, "n_terms", "term").agg(F.count("*").alias("tf")), "license-terms")
+    # Units are dealt out once, as whole rows; all that follows goes by unit and moves nothing.
+    near = units_of(files, telling_terms(weights, frequency, least)).groupBy(*unit).agg(F.first("terms").alias("terms"))
+    counts = near.select(*unit, F.size("terms").alias("n_terms"), F.explode("terms").alias("term")).groupBy(*unit, "n_terms", "term").agg(F.count("*").alias("tf"))
     known = spark.createDataFrame([*idf.items()], "term string, idf double")
     weighted = counts.join(F.broadcast(known), "term", "left").withColumn("w", F.col("tf") * F.coalesce("idf", F.lit(other)))
+    told = F.collect_list(F.when(F.col("idf").isNotNull(), F.struct("term", "w"))).alias("told")
+    gathered = weighted.groupBy(*unit, "n_terms").agg(F.sum(F.col("w") * F.col("w")).alias("square"), told)
+    each = gathered.select(*unit, "n_terms", "square", F.explode("told").alias("t")).select(*unit, "n_terms", "square", "t.term", "t.w")
     table = spark.createDataFrame([(t, name, i, w) for name, i, t, w in weights], "term string, license string, template int, share double")
-    met = weighted.join(F.broadcast(table), "term")
-    squares = weighted.groupBy(*unit, "n_terms").agg(F.sum(F.col("w") * F.col("w")).alias("square"))
-    dots = met.groupBy(*unit, "license", "template").agg(F.sum(F.col("w") * F.col("share")).alias("dot"))
-    scored = dots.join(squares, unit).withColumn("score", F.round(F.col("dot") / F.sqrt("square"), 6))
+    met = each.join(F.broadcast(table), "term")
+    dots = met.groupBy(*unit, "n_terms", "license", "template").agg(F.sum(F.col("w") * F.col("share")).alias("dot"), F.first("square").alias("square"))
+    scored = dots.withColumn("score", F.round(F.col("dot") / F.sqrt("square"), 6))
+    reached = through_table(scored.filter(F.col("score") >= least).drop("dot", "square"), "license-terms")
     best = Window.partitionBy(*unit).orderBy(F.desc("score"), "license")
-    ranked = scored.filter(F.col("score") >= least).withColumn("nth", F.row_number().over(best)).filter("nth = 1")
+    ranked = reached.withColumn("nth", F.row_number().over(best)).filter("nth = 1")
     return ranked.select(*unit, "n_terms", "license", "score")
 
 

@@ -205,6 +205,17 @@ def test_units_of_files_are_named_by_bytes(spark, monkeypatch):
     assert stored["license-units"].select("file").distinct().count() == 2
 
 
+def test_units_of_files_are_dealt_out_once(spark, monkeypatch):
+    monkeypatch.setattr(licenses, "through_table", lambda df, name: df)
+    text = next(t for _, t in TEMPLATES)
+    files = spark.createDataFrame([(b"1", text), (b"1", text), (b"2", f"# {text}")], "file binary, text string")
+    units = licenses.license_units(files)
+    plan = units._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 1
+    kinds = [(bytes(r.file), r.kind, r.place) for r in units.collect()]
+    assert len(kinds) == len(set(kinds)) and {k[0] for k in kinds} == {b"1", b"2"}
+
+
 def test_licences_of_awkward_rows(spark):
     data = [(1, "a/b/LICENSE", "Released under the MIT License."), (2, "a/b/c/x", "code"), (3, "a/y", None), (4, None, "All rights reserved.")]
     data += [(None, "a/b/z", ""), (2, "a/b/c/x", "code")]
