@@ -10,6 +10,7 @@ partition's first token.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections.abc import Iterator
@@ -21,12 +22,14 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from scriptorium.llm.batches import BoundedDict, text_slices, whole_texts
+from scriptorium.llm.batches import AgingDict, BoundedDict, text_slices, whole_texts
 
 CHUNK_BITS = 8
 RANK_BITS = 512
 SEGMENT_TOKENS = 1 << 20
-CACHE_ENTRIES = 400_000
+CACHE_ENTRIES = 200_000
+CORE_ENTRIES = 300_000
+PIECES_A_CALL = 100
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _LEVEL = "struct<chunks: binary, more: binary, ranks: binary>"
 _SEGMENT = (
@@ -75,17 +78,18 @@ def join_levels(levels: list[dict[str, bytes]]) -> np.ndarray:
     return ids
 
 
-_TOKENIZERS: dict[str, tuple[Tokenizer, BoundedDict, BoundedDict]] = {}
+_TOKENIZERS: dict[str, tuple[Tokenizer, BoundedDict, AgingDict]] = {}
 
 
 def _encoder(vocabulary: str):
     """A function from texts to their ids as little-endian bytes, for tokenizers that drop blanks.
 
-    Each distinct word is given to the library once. ASCII words are lower-cased, and punctuation at the
+    Frequent words are given to the library once: what it makes of them outlives that of rare ones. ASCII words are lower-cased, and punctuation at the
     end of a word in Latin letters is encoded apart, as the tokenizer itself does both.
     """
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")  # Spark gives a core to each task
     if vocabulary not in _TOKENIZERS:
-        _TOKENIZERS[vocabulary] = Tokenizer.from_file(vocabulary), BoundedDict(CACHE_ENTRIES), BoundedDict(CACHE_ENTRIES)
+        _TOKENIZERS[vocabulary] = Tokenizer.from_file(vocabulary), BoundedDict(CACHE_ENTRIES), AgingDict(CORE_ENTRIES)
     tokenizer, known, cores = _TOKENIZERS[vocabulary]
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
     opening = re.compile(b"[" + b"".join({re.escape(s[0].encode()) for s in special}) + b"]")
@@ -102,21 +106,24 @@ def _encoder(vocabulary: str):
         return core if (last := core.decode()[-1]).isalpha() and ord(last) < 0x250 else b""
 
     def encode_apart(pieces: list[bytes]) -> None:
-        """Encode many pieces in one call, held apart by a special token that none of them holds."""
-        for at in range(0, len(pieces), 2000):
-            some = pieces[at : at + 2000]
+        """Encode many pieces in one call, held apart by a special token that none of them holds; no offsets are asked for."""
+        for at in range(0, len(pieces), PIECES_A_CALL):
+            some = pieces[at : at + PIECES_A_CALL]
             text = between.join(map(bytes.decode, some))
-            ids = np.array(tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+            ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
             raw, cuts = ids.tobytes(), (np.flatnonzero(ids == between_id) * 4).tolist()
             begins, ends = [0, *(c + 4 for c in cuts)], [*cuts, len(raw)]
             cores.update(zip(some, map(raw.__getitem__, map(slice, begins, ends)), strict=True))
 
     def learn(words: list[bytes]) -> None:
-        core = list(map(core_of, words))
-        rest = [w[len(c) :] if c else b"" for w, c in zip(words, core, strict=True)]
-        encode_apart([p for p in {*core, *rest} if p and p not in cores])
+        plain = {w: w.lower() for w in words if w.isalnum()}
+        other = [w for w in words if w not in plain]
+        core = list(map(core_of, other))
+        rest = [w[len(c) :] if c else b"" for w, c in zip(other, core, strict=True)]
+        encode_apart([p for p in cores.unknown({*plain.values(), *core, *rest}) if p])
         cores[b""] = b""
-        for w, c, r in zip(words, core, rest, strict=True):
+        known.update(zip(plain, map(cores.__getitem__, plain.values()), strict=True))
+        for w, c, r in zip(other, core, rest, strict=True):
             known[w] = cores[c] + cores[r] if c else np.array(tokenizer.encode(w.decode(), add_special_tokens=False).ids, "<u4").tobytes()
 
     def encode(texts: list[str]) -> list[bytes]:

@@ -112,3 +112,30 @@ def test_levels_give_every_id():
     assert [token_files.id_at(levels, i) for i in range(3000)] == ids.tolist()
     with pytest.raises(IndexError):
         token_files.id_at(levels, 3000)
+
+
+def test_frequent_words_are_given_to_the_library_once(monkeypatch):
+    library, given = Tokenizer.from_file(WORDS), []
+
+    class Watched:
+        @staticmethod
+        def from_file(_):
+            return Watched()
+
+        def __getattr__(self, name):
+            def call(texts, **options):
+                given.append(texts if isinstance(texts, str) else texts[0])
+                return getattr(library, name)(texts, **options)
+
+            return call if name.startswith("encode") else getattr(library, name)
+
+    monkeypatch.setattr(token_files, "CACHE_ENTRIES", 30)
+    monkeypatch.setattr(token_files, "CORE_ENTRIES", 30, raising=False)
+    monkeypatch.setattr(token_files, "_TOKENIZERS", {})
+    monkeypatch.setattr(token_files, "Tokenizer", Watched)
+    encode = token_files._encoder(WORDS)
+    for i in range(20):
+        text = "Frequent " + " ".join(f"rare{chr(97 + i)}{chr(97 + j)}" for j in range(20)) + " x1, l’été!"
+        assert encode([text]) == [little_endian(library.encode(text, add_special_tokens=False).ids)]
+        assert all(len(cache) <= 30 + 30 for cache in token_files._TOKENIZERS[WORDS][1:])
+    assert sum(text.count("frequent") for text in given) == 1
