@@ -202,6 +202,16 @@ def test_repeated_bytes_equal_brute_force(spark, window, anchor, hot):
     assert plain(found) == plain(expected) and sum(e[2] for e in expected) > 5000
 
 
+def test_what_buckets_tell_of_a_document_meets_in_one_row(spark, monkeypatch):
+    stored, keep = {}, byte_repeats.through_table
+    monkeypatch.setattr(byte_repeats, "through_table", lambda df, name: stored.setdefault(name, keep(df, name)))
+    docs = spark.createDataFrame(byte_rows(), SCHEMA).repartition(6)
+    assert byte_repeats.cut_repeated_bytes(docs).count() == docs.count()
+    found = stored["byte-paths"].cache()
+    assert found.count() == found.select("key", "digest").distinct().count() > 50
+    assert found.filter("size(settled) > 0").count() > 0 and found.filter("size(asked) > 0").count() > 0
+
+
 def test_empty_tables_have_empty_results(spark):
     docs = empty(spark)
     assert periods.run_report(periods.collapse_runs(queries.planted_periods(docs))).count() == 0
